@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, quality_rules, sharding, token_counts, url_filters
+from . import bpe, ngram_jaccard, quality_rules, sharding, token_counts, url_filters
 from .common import shared_dir
 
 #: The tokenizer file that the queries use; a parameter of the operators.
@@ -40,12 +40,16 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"))
 
 
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard.linked(table(spark, sf_dir, "documents"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary())
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_quality_rules, op4_url_filters, op5_token_counts, op6_sharding, op9_bpe)
+    f.__name__: f for f in (op3_quality_rules, op4_url_filters, op5_token_counts, op6_sharding, op8_ngram_jaccard, op9_bpe)
 }
 
 _STOP = ", ".join(f"'{w}'" for w in quality_rules.STOP_WORDS)
