@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, ngram_jaccard, quality_rules, sharding, token_counts, url_filters
+from . import bpe, license_scans, line_dedup, mixing, ngram_jaccard, quality_rules, sharding, token_counts, url_filters
 from .common import shared_dir
 
 #: The tokenizer file that the queries use; a parameter of the operators.
@@ -23,6 +23,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
@@ -48,13 +56,44 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scans.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_quality_rules, op4_url_filters, op5_token_counts, op6_sharding, op8_ngram_jaccard, op9_bpe)
+    f.__name__: f for f in (op1_mixing, op2_line_dedup, op3_quality_rules, op4_url_filters, op5_token_counts, op6_sharding, op8_ngram_jaccard, op9_bpe, op10_license_scans)
 }
 
 _STOP = ", ".join(f"'{w}'" for w in quality_rules.STOP_WORDS)
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_line_dedup": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+l AS (
+  SELECT r, doc_id, i, s[i] AS line, len(regexp_extract_all(s[i], '[^\x20\x09-\x0D]+')) AS w
+  FROM (SELECT r, doc_id, string_split(text, chr(10)) AS s FROM d), LATERAL (SELECT unnest(range(1, len(s) + 1)) AS i)),
+n AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY i) AS p FROM l WHERE w > 0),
+a AS (
+  SELECT r, doc_id, p, [i] AS at1, [i, lead(i) OVER v] AS at2, [i, lead(i) OVER v, lead(i, 2) OVER v] AS at3,
+         line AS t1, lead(line) OVER v AS t2, lead(line, 2) OVER v AS t3,
+         w AS w1, lead(w) OVER v AS w2, lead(w, 2) OVER v AS w3
+  FROM n WINDOW v AS (PARTITION BY r ORDER BY p)),
+windows AS (
+  SELECT r, doc_id, p, at1 AS places, t1 AS t FROM a WHERE w1 >= 50
+  UNION ALL SELECT r, doc_id, p, at2, t1 || chr(10) || t2 FROM a
+    WHERE t2 IS NOT NULL AND w1 + w2 >= 50 AND (w1 < 50 OR w2 < 50)
+  UNION ALL SELECT r, doc_id, p, at3, t1 || chr(10) || t2 || chr(10) || t3 FROM a
+    WHERE t3 IS NOT NULL AND (w1 + w2 < 50 OR w2 + w3 < 50)),
+gone AS (
+  SELECT DISTINCT r, unnest(places) AS i
+  FROM (SELECT *, row_number() OVER (PARTITION BY t ORDER BY doc_id, r, p) AS k FROM windows) WHERE k > 1),
+kept AS (
+  SELECT r, string_agg(line, chr(10) ORDER BY i) FILTER (WHERE g.i IS NULL) AS text,
+         count(*) FILTER (WHERE w > 0) AS n_lines, count(g.i) AS n_removed
+  FROM l LEFT JOIN gone g USING (r, i) GROUP BY r)
+SELECT d.doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CASE WHEN d.text IS NOT NULL THEN coalesce(kept.text, '') END AS text
+FROM d LEFT JOIN kept USING (r)""",
     "op3_quality_rules": rf"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
