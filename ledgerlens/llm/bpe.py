@@ -33,17 +33,22 @@ class Codec:
     """A tokenizer file of the ``tokenizers`` library; common text goes through ``tiktoken`` on the same vocabulary."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.slow = Tokenizer.from_file(path)
-        self.slow.no_truncation()
-        self.slow.no_padding()
+        self.path = path
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.plain = spec["normalizer"] is None and spec["pre_tokenizer"]["type"] == "ByteLevel" and not spec["pre_tokenizer"]["add_prefix_space"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.vocab = spec["model"]["vocab"]
 
+    @cached_property
+    def slow(self):
+        from tokenizers import Tokenizer
+
+        out = Tokenizer.from_file(self.path)
+        out.no_truncation()
+        out.no_padding()
+        return out
+
     @cached_property
     def fast(self):
         import tiktoken

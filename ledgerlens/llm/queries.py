@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, license_scans, line_dedup, mixing, ngram_jaccard, quality_rules, sharding, token_counts, url_filters
+from . import bpe, license_scans, line_dedup, media, mixing, ngram_jaccard, quality_rules, sharding, token_counts, url_filters
 from .common import shared_dir
 
 #: The tokenizer file that the queries use; a parameter of the operators.
@@ -48,6 +48,10 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"))
 
 
+def op7_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.stored_texts(table(spark, sf_dir, "documents"))
+
+
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard.linked(table(spark, sf_dir, "documents"))
 
@@ -61,7 +65,7 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mixing, op2_line_dedup, op3_quality_rules, op4_url_filters, op5_token_counts, op6_sharding, op8_ngram_jaccard, op9_bpe, op10_license_scans)
+    f.__name__: f for f in (op1_mixing, op2_line_dedup, op3_quality_rules, op4_url_filters, op5_token_counts, op6_sharding, op7_media_columns, op8_ngram_jaccard, op9_bpe, op10_license_scans)
 }
 
 _STOP = ", ".join(f"'{w}'" for w in quality_rules.STOP_WORDS)
