@@ -81,7 +81,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Fit on up to ``most`` labelled documents; a fifth of them sets the temperature. No label, no opinion."""
     picked = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max(F.struct("quality", "toxic")).alias("l"))
     picked = picked.select("doc_id", domain_of(F.col("l.quality"), F.col("l.toxic")).alias("domain")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    texts = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text")).join(picked, "doc_id")
+    texts = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text")).join(F.broadcast(picked), "doc_id")  # no more rows than ``most``
     sample = materialize(texts.select("domain", _features(F.col("text")).alias("features"), (F.pmod(F.xxhash64("doc_id", F.lit("held out")), F.lit(5)) == 0).alias("held")))
     train = sample.where("NOT held")
     known = [r["domain"] for r in train.select("domain").distinct().collect()]
@@ -136,7 +136,8 @@ def fit_rates(posts: DataFrame, targets: dict[str, float] = TARGETS, scale: floa
     gram = np.array([[first[f"g{i}{j}"] for j in range(k)] for i in range(k)])
     inverse = np.linalg.pinv(gram + 1e-9 * np.trace(gram) * np.eye(k))
     totals = np.array([first[f"e{i}"] for i in range(k)])
-    want = scale * totals[0] / targets[DOMAINS[0]] * np.array([targets[d] for d in DOMAINS])
+    # no domain is asked for more than ``scale`` times what it has
+    want = scale * np.minimum(totals[0] / targets[DOMAINS[0]] * np.array([targets[d] for d in DOMAINS]), totals)
     steps: list[list[float]] = []
     while len(steps) < most_steps and np.abs(totals - want).max() > close * want.sum():
         steps.append((inverse @ (totals - want)).tolist())
@@ -156,9 +157,12 @@ def mix(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return posts.withColumn("rate", F.round(rate(fit_rates(posts, targets, scale)), 6))
 
 
-def keep_drawn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", targets: dict[str, float] = TARGETS, scale: float = SCALE) -> DataFrame:
-    """The rows of ``docs`` that are drawn, at most once each: those whose hash in [0, 1) is below their rate."""
-    model = fit(docs, labels, id_col, text_col)
+def keep_drawn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", targets: dict[str, float] = TARGETS, scale: float = SCALE, labelled_docs: DataFrame | None = None) -> DataFrame:
+    """The rows of ``docs`` that are drawn, at most once each: those whose hash in [0, 1) is below their rate.
+
+    The labels may speak of ``labelled_docs``, where ``docs`` are what an earlier step has left of these.
+    """
+    model = fit(docs if labelled_docs is None else labelled_docs, labels, id_col, text_col)
     posts = materialize(classify(docs, model, id_col, text_col))
     steps = fit_rates(posts, targets, scale)
     drawn = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("drawn")), F.lit(1 << 30)) / float(1 << 30)
