@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from .queries import blocks, features, graph, names, reuse, scalars, scan, training  # noqa: F401  they register themselves
+from .queries.registry import ORACLE_SQL, QUERIES
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]
