@@ -49,7 +49,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     each = found.select("doc_id", "text_hash", F.inline("windows"))
     place = F.struct("doc_id", "text_hash", F.col("at")[0].alias("line"))
     again = materialize(each.groupBy("fingerprint", "window").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").select("fingerprint", "window", "first"))
-    later = each.join(again, ["fingerprint", "window"]).where(~place.eqNullSafe(F.col("first")))
+    later = each.join(again.hint("merge"), ["fingerprint", "window"]).where(~place.eqNullSafe(F.col("first")))
     return materialize(later.groupBy("doc_id", "text_hash").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("at")))).alias("removed")))
 
 
@@ -62,7 +62,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_l
     """
     gone = repeated_lines(docs, id_col, text_col, min_lines, min_words).select(F.col("doc_id").alias("gone_id"), "text_hash", "removed")
     rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("own_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("own_hash"))
-    met = rows.join(gone, F.col("own_id").eqNullSafe(F.col("gone_id")) & (F.col("own_hash") == F.col("text_hash")), "left")
+    met = rows.join(gone.hint("merge"), F.col("own_id").eqNullSafe(F.col("gone_id")) & (F.col("own_hash") == F.col("text_hash")), "left")
     kept = F.array_join(F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains("removed", i)), "\n")
     text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(kept)
     return met.select(*(text.alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns), F.coalesce(F.size("removed"), F.lit(0)).alias("line_dedup_removed"))
