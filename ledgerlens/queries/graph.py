@@ -157,7 +157,7 @@ def subgraph_preprocess(r: Relations) -> DataFrame:
     return ends.where("num_address <= 200").join(sizes, "center")
 
 
-@query("""WITH RECURSIVE e AS (SELECT DISTINCT deposit AS a, usr AS b FROM du UNION SELECT DISTINCT usr, deposit FROM du),
+@query("""WITH e AS (SELECT DISTINCT deposit AS a, usr AS b FROM du UNION SELECT DISTINCT usr, deposit FROM du),
 reach AS (SELECT a, a AS b FROM e UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a)
 SELECT a AS address, min(b) AS component FROM reach GROUP BY a""")
 def components(r: Relations) -> DataFrame:
