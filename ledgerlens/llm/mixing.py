@@ -84,12 +84,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     texts = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text")).join(F.broadcast(picked), "doc_id")  # no more rows than ``most``
     sample = materialize(texts.select("domain", _features(F.col("text")).alias("features"), (F.pmod(F.xxhash64("doc_id", F.lit("held out")), F.lit(5)) == 0).alias("held")))
     train = sample.where("NOT held")
-    known = [r["domain"] for r in train.select("domain").distinct().collect()]
-    if len(known) < 2:
-        prior = tuple(0.0 if d in known or not known else -20.0 for d in DOMAINS)
-        return Classifier(prior, tuple((0.0,) * BUCKETS for _ in DOMAINS))
+    sizes = {r["domain"]: r["count"] for r in train.groupBy("domain").count().collect()}
+    shares = tuple(math.log(sizes[d] / sum(sizes.values())) if d in sizes else -20.0 if sizes else 0.0 for d in DOMAINS)
+    by_share = Classifier(shares, tuple((0.0,) * BUCKETS for _ in DOMAINS))
+    if len(sizes) < 2:
+        return by_share
     labelled = train.select(F.array_position(F.array(*map(F.lit, DOMAINS)), F.col("domain")).cast("double").alias("place"), F.transform("features", lambda x: x.cast("string")).alias("words"))
     counter = CountVectorizer(inputCol="words", outputCol="vector", minDF=3.0, vocabSize=BUCKETS, binary=True).fit(labelled)
+    if not counter.vocabulary:  # too few labels for any word to recur
+        return by_share
     regression = LogisticRegression(labelCol="label", featuresCol="vector", family="multinomial", regParam=0.0007, elasticNetParam=0.5, maxIter=60, standardization=False)
     fitted = regression.fit(counter.transform(labelled.withColumn("label", F.col("place") - 1)))
     matrix, weights = fitted.coefficientMatrix.toArray(), np.zeros((len(DOMAINS), BUCKETS))
