@@ -55,10 +55,10 @@ class Relations:
         rest = ["l_orderkey", "l_linenumber", "l_extendedprice", "l_suppkey", "l_partkey"]
         user, deposit = concat("p", F.col("l_partkey"), "m", F.col("m")), concat("c", F.col("o_custkey"), "m", F.col("m"))
         at = lambda a, c: (F.col("d") + (F.col("l_orderkey") * a + F.col("l_linenumber") * c) % DAY).cast("long").alias("ts")
-        tok = F.col("p_brand").alias("tok")
-        one = b.select(F.lit(0).alias("leg"), user.alias("f"), deposit.alias("t"), tok, at(37, 101), F.col("l_quantity").alias("amt"), *rest)
-        two = b.select(F.lit(1).alias("leg"), deposit.alias("f"), concat("s", F.col("l_suppkey")).alias("t"), tok, at(53, 211), F.col("l_extendedprice").alias("amt"), *rest)
-        return one.unionByName(two)
+        leg = lambda n, f, t, ts, amt: F.struct(F.lit(n).alias("leg"), f.alias("f"), t.alias("t"), F.col("p_brand").alias("tok"), ts, F.col(amt).alias("amt"), *rest)
+        one = leg(0, user, deposit, at(37, 101), "l_quantity")
+        two = leg(1, deposit, concat("s", F.col("l_suppkey")), at(53, 211), "l_extendedprice")
+        return b.select(F.inline(F.array(one, two)))  # both legs from one pass over the joined lines
 
     def hot(self) -> DataFrame:
         nation = self.t("nation").select("n_nationkey", "n_name")
