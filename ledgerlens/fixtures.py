@@ -148,8 +148,8 @@ SQL = {
     "sub": "SELECT DISTINCT center, f, t FROM (SELECT center, f, t FROM hop1 UNION ALL SELECT h.center, i.f, i.t FROM hop1 h JOIN deg d ON h.o = d.address AND d.number_sent < 100 AND d.number_received < 100 JOIN inc i ON h.o = i.a JOIN vert v ON i.o = v.address WHERE NOT v.hot_wallet)",
     "toks": "SELECT p_brand AS tok FROM part GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 5",
     "sublogs": "SELECT s.center AS sg, l.f, l.t, l.tok, l.ts, l.amt, l.usd FROM sub s JOIN logs l ON s.f = l.f AND s.t = l.t WHERE l.usd IS NOT NULL",
-    "ffrom": "SELECT sg, f AS address, coalesce(k.tok, 'other_token') AS token, sum(CAST(m AS DECIMAL(38, 2)))::DOUBLE AS usd FROM (SELECT sg, f, t, tok, avg(usd) AS m FROM sublogs GROUP BY ALL) a LEFT JOIN toks k USING (tok) GROUP BY ALL",
-    "fto": "SELECT sg, t AS address, coalesce(k.tok, 'other_token') AS token, sum(CAST(m AS DECIMAL(38, 2)))::DOUBLE AS usd FROM (SELECT sg, f, t, tok, avg(usd) AS m FROM sublogs GROUP BY ALL) a LEFT JOIN toks k USING (tok) GROUP BY ALL",
+    "ffrom": "SELECT sg, f AS address, coalesce(k.tok, 'other_token') AS token, CAST(sum(CAST(floor(m * 10000 + 0.5) AS BIGINT)) AS DOUBLE) / 10000.0 AS usd FROM (SELECT sg, f, t, tok, avg(usd) AS m FROM sublogs GROUP BY ALL) a LEFT JOIN toks k USING (tok) GROUP BY ALL",
+    "fto": "SELECT sg, t AS address, coalesce(k.tok, 'other_token') AS token, CAST(sum(CAST(floor(m * 10000 + 0.5) AS BIGINT)) AS DOUBLE) / 10000.0 AS usd FROM (SELECT sg, f, t, tok, avg(usd) AS m FROM sublogs GROUP BY ALL) a LEFT JOIN toks k USING (tok) GROUP BY ALL",
     "merged": "SELECT sg, address, bool_or(s = 0) AS in_from, bool_or(s = 1) AS in_to FROM (SELECT sg, address, 0 AS s FROM ffrom UNION ALL SELECT sg, address, 1 FROM fto) GROUP BY ALL",
     "tp": "SELECT c.sg, c.x, m.address AS subx FROM (SELECT sg, coalesce(max(CASE WHEN address = sg THEN address END), min(address)) AS x FROM merged GROUP BY sg) c JOIN merged m ON m.sg = c.sg AND m.address <> c.x",
     "lp": "SELECT p.*, EXISTS (SELECT 1 FROM pairs q WHERE q.x_address = p.x AND q.subx_address = p.subx) AS label FROM tp p",

@@ -27,7 +27,8 @@ def token_usd(logs: DataFrame, tokens: DataFrame, side: str) -> DataFrame:
     means = logs.groupBy("sg", "f", "t", "tok").agg(F.avg("usd").alias("m"))
     named = means.join(tokens.select("tok", F.col("tok").alias("known")), "tok", "left")
     out = named.groupBy("sg", F.col(side).alias("address"), F.coalesce("known", F.lit("other_token")).alias("token"))
-    return out.agg(F.sum(F.col("m").cast("decimal(38,2)")).cast("double").alias("usd"))
+    # summed as whole ten-thousandths, so that the order of the rows doesn't show
+    return out.agg((F.sum(F.floor(F.col("m") * 10000 + 0.5)).cast("double") / 10000.0).alias("usd"))
 
 
 def hours(logs: DataFrame, side: str) -> DataFrame:
