@@ -33,9 +33,12 @@ def domain_of(quality: Column, toxic: Column) -> Column:
     return F.when(toxic == 1, "toxic").when(quality == 0, "low").otherwise("clean")
 
 
-def _features(text: Column) -> Column:
+def _words(text: Column) -> Column:
+    return F.array_remove(F.split(F.lower(text), r"[\x20\x09-\x0D.,]+"), "")
+
+
+def _features(text: Column, words: Column) -> Column:
     """Hash buckets of the distinct words and of a few traits of the whole text."""
-    words = F.array_remove(F.split(F.lower(text), r"[\x20\x09-\x0D.,]+"), "")
 
     def traits(w: Column, d: Column) -> Column:
         n = F.greatest(F.size(w), F.lit(1))
@@ -63,8 +66,10 @@ class Classifier:
     temperature: float = 1.0
 
     def scores(self, features: Column) -> list[Column]:
-        out = []
-        for prior, weights in zip(self.prior, self.weights, strict=True):
+        # posteriors depend on differences only, so the first domain's score is 0 and costs nothing
+        out, base = [F.lit(0.0)], self.weights[0]
+        for prior, own in list(zip(self.prior, self.weights, strict=True))[1:]:
+            prior, weights = prior - self.prior[0], [a - b for a, b in zip(own, base, strict=True)]
             table = F.split(F.lit(",".join(f"{w:.5g}" for w in weights)), ",").cast("array<double>")  # folded into a constant
             out.append(F.lit(prior) + let(table, lambda t: F.aggregate(features, F.lit(0.0), lambda a, i: a + F.get(t, i.cast("int")))))
         return out
@@ -82,7 +87,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     picked = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max(F.struct("quality", "toxic")).alias("l"))
     picked = picked.select("doc_id", domain_of(F.col("l.quality"), F.col("l.toxic")).alias("domain")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     texts = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text")).join(F.broadcast(picked), "doc_id")  # no more rows than ``most``
-    sample = materialize(texts.select("domain", _features(F.col("text")).alias("features"), (F.pmod(F.xxhash64("doc_id", F.lit("held out")), F.lit(5)) == 0).alias("held")))
+    sample = materialize(texts.select("domain", _features(F.col("text"), _words(F.col("text"))).alias("features"), (F.pmod(F.xxhash64("doc_id", F.lit("held out")), F.lit(5)) == 0).alias("held")))
     train = sample.where("NOT held")
     sizes = {r["domain"]: r["count"] for r in train.groupBy("domain").count().collect()}
     shares = tuple(math.log(sizes[d] / sum(sizes.values())) if d in sizes else -20.0 if sizes else 0.0 for d in DOMAINS)
@@ -112,9 +117,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def classify(docs: DataFrame, model: Classifier, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_tokens`` (words) and a posterior ``p_<domain>`` for each domain."""
+    """``doc_id, n_tokens`` (words between white space, commas and full stops) and a posterior ``p_<domain>`` for each domain."""
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
-    rows = rows.select("doc_id", F.size(F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), "")).cast("long").alias("n_tokens"), _features(F.col("text")).alias("f"))
+    rows = rows.withColumn("words", _words(F.col("text")))
+    rows = rows.select("doc_id", F.size("words").cast("long").alias("n_tokens"), _features(F.col("text"), F.col("words")).alias("f"))
     scored = rows.select("doc_id", "n_tokens", F.array(*model.scores(F.col("f"))).alias("s"))
     posts = model.posteriors([F.col("s")[k] for k in range(len(DOMAINS))], model.temperature)
     return scored.select("doc_id", "n_tokens", *(F.round(p, 9).alias(f"p_{d}") for p, d in zip(posts, DOMAINS, strict=True)))
