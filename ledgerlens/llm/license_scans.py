@@ -1,9 +1,10 @@
 """License scans: a trained classifier of paragraphs names the licence family, a template confirms it.
 
-Paragraphs are lines. Their features are one- and two-word n-grams; a sparse multinomial logistic regression,
-trained on the notices below and on text that only sounds like one, weighs those that matter. A paragraph is
-unknown if its best probability stays below a threshold calibrated on notices left out, or if too few of its
-n-grams stand in the family's templates.
+Paragraphs are lines. A notice may be a line, a sentence of it, or stand anywhere among its words, so each of these is
+classified. Their features are one- and two-word n-grams; a sparse multinomial logistic regression, trained on the
+notices below and on text that only sounds like one, weighs those that matter. A candidate is unknown if its best
+probability stays below a threshold calibrated on notices left out, or if too few of its n-grams stand in the
+family's templates.
 """
 
 from __future__ import annotations
@@ -139,13 +140,14 @@ def _small(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class Model:
-    """Families, intercepts, weights of the n-grams that have any, the threshold, and the templates' n-grams."""
+    """Families, intercepts, weights of the n-grams that have any, the threshold, and the templates' n-grams, by family and by template."""
 
     families: tuple[str, ...]
     intercepts: tuple[float, ...]
     weights: dict[str, tuple[float, ...]]
     threshold: float
     templates: dict[str, tuple[str, ...]]
+    whole: tuple[tuple[str, tuple[str, ...]], ...]
 
 
 _FITTED: dict[int, Model] = {}
@@ -173,8 +175,10 @@ def fit(spark: SparkSession, least_weight: float = 0.05, penalty: float = 0.002)
         if content and abs(column).max() >= least_weight:
             weights[gram] = tuple(float(column[k]) for k in order)
     templates: dict[str, set[str]] = {f: set() for f in families[:-1]}
+    whole = set()
     for row in table.where(F.col("label") < len(families) - 1).select("label", "grams").collect():
         templates[families[int(row["label"])]] |= set(row["grams"])
+        whole.add((families[int(row["label"])], tuple(sorted(row["grams"]))))
     intercepts = tuple(float(x) for x in fitted.interceptVector.toArray())
     # held out: half of the way between the surest other text and the least sure notice that is named rightly
     sure, doubt = [], [1.0 / len(families)]
@@ -185,52 +189,104 @@ def fit(spark: SparkSession, least_weight: float = 0.05, penalty: float = 0.002)
         (doubt if row["label"] == len(families) - 1 else sure if best == row["label"] else []).append(p[best] / sum(p))
     sure.sort()
     threshold = min(0.9, max(0.35, (max(doubt) + sure[len(sure) // 10]) / 2))
-    model = Model(families, intercepts, weights, threshold, {f: tuple(sorted(t)) for f, t in templates.items()})
+    model = Model(families, intercepts, weights, threshold, {f: tuple(sorted(t)) for f, t in templates.items()}, tuple(sorted(whole)))
     _FITTED[hash((least_weight, penalty))] = model
     return model
 
 
-def paragraphs(docs: DataFrame, model: Model, least_share: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, paragraph, family, probability, template_share`` of the paragraphs in which a licence is confirmed."""
+#: Lengths of windows in words, each half as long again as the one before; they move by a quarter of their length.
+#: A notice of 3 to 33 words stands whole in a window less than twice as long, so at least half of that is its own.
+WINDOWS = (4, 6, 9, 13, 19, 28, 42)
+SENTENCE, LINE, WINDOW = range(3)
+
+
+def _spans(line: Column, words: Column, known: Column) -> Column:
+    """``kind, start, words`` of a line's candidates: its sentences, the line, and windows in which half of the words are known."""
+    span = lambda kind, start, ws: F.struct(F.lit(kind).alias("kind"), start.cast("int").alias("start"), ws.alias("words"))
+    # the start is the number of words before
+    cut = F.aggregate(
+        F.split(line, r"(?<=[.!?;])\s+(?=\P{Nd})"),
+        F.array().cast("array<struct<kind:int,start:int,words:array<string>>>"),
+        lambda done, x: F.concat(done, F.array(span(SENTENCE, F.when(F.size(done) == 0, 0).otherwise(let(F.element_at(done, -1), lambda d: d["start"] + F.size(d["words"]))), words_of_line(x)))).cast("array<struct<kind:int,start:int,words:array<string>>>"),
+    )
+    out = [F.when(F.size(cut) > 1, cut).otherwise(F.slice(cut, 1, 0)), F.array(span(LINE, F.lit(0), words))]
+    for n in WINDOWS:
+        starts = F.when(F.size(words) > n, F.array_distinct(F.concat(F.sequence(F.lit(0), F.size(words) - n, F.lit(max(1, n // 4))), F.array(F.size(words) - n)))).otherwise(F.array().cast("array<int>"))
+        half = F.filter(starts, lambda i: 2 * F.size(F.filter(F.slice(known, i + 1, n), lambda k: k)) >= n)
+        out.append(F.transform(half, lambda i: span(WINDOW, i, F.slice(words, i + 1, n))))
+    return F.concat(*out)
+
+
+def _apart(found: Column) -> Column:
+    """The first of ``found``, an array of structs with ``start`` and ``stop``, and each that overlaps none of those taken before."""
+    meet = lambda x, y: (x["start"] < y["stop"]) & (y["start"] < x["stop"])
+    return F.aggregate(found, F.slice(found, 1, 0), lambda taken, x: F.when(F.exists(taken, lambda y: meet(x, y)), taken).otherwise(F.concat(taken, F.array(x))))
+
+
+def paragraphs(docs: DataFrame, model: Model, least_share: float = 0.5, id_col: str = "doc_id", text_col: str = "text", least_cover: float = 0.7) -> DataFrame:
+    """``doc_id, text_hash, paragraph, family, probability, template_share`` of the notices by which a licence is confirmed.
+
+    A notice is a sentence of the line, the line, or a window of its words, whichever comes first; others that overlap
+    it don't count. Each is classified by its own words, at least ``least_share`` of whose n-grams stand in the family's
+    templates. A window, which may be any fragment, must also hold ``least_cover`` of the n-grams of one template.
+    """
     spark = docs.sparkSession
-    # a paragraph without any of these words has no weighted n-gram, so it is unknown
+    # text without any of these words has no weighted n-gram, so it is unknown
     gate = sorted({next(w for w in sorted(g.split(), key=len, reverse=True) if w not in SMALL_WORDS) for g in model.weights})
-    lines = docs.select(F.col(id_col).alias("doc_id"), F.posexplode(F.split(text_of(text_col), "\n", -1)).alias("paragraph", "line"))
-    lines = lines.select("doc_id", "paragraph", words_of_line(F.col("line")).alias("words")).where(F.exists("words", lambda w: w.isin(gate)))
-    found = lines.select("doc_id", "paragraph", F.array_distinct(grams(F.col("words"))).alias("grams"))
-    held = sorted({g for t in model.templates.values() for g in t} | set(model.weights))
-    rows = [{"gram": g, "w": model.weights.get(g, (0.0,) * len(model.families)), "t": [f for f in model.families[:-1] if g in model.templates[f]]} for g in held]
-    table = _small(spark, rows, "gram:string,w:array<double>,t:array<string>")
-    each = found.select("doc_id", "paragraph", F.size("grams").alias("n"), F.explode("grams").alias("gram")).join(table, "gram", "left")
+    in_templates = sorted({g for t in model.templates.values() for g in t})
+    own = F.struct(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"))
+    lines = docs.select(own.alias("own"), F.posexplode(F.split(text_of(text_col), "\n", -1)).alias("paragraph", "line"))
+    lines = lines.select("own.*", "paragraph", "line", words_of_line(F.col("line")).alias("words")).where(F.exists("words", lambda w: w.isin(gate)))
+    known = F.transform("words", lambda w: w.isin([g for g in in_templates if " " not in g]))
+    spans = lines.select("doc_id", "text_hash", "paragraph", let(F.struct("line", "words", known.alias("known")), lambda r: _spans(r["line"], r["words"], r["known"])).alias("spans"))
+    meant = F.filter("spans", lambda x: F.exists(x["words"], lambda w: w.isin(gate)))
+    cut = F.transform(meant, lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), (x["start"] + F.size(x["words"])).alias("stop"), F.array_distinct(grams(x["words"])).alias("grams")))
+    likely = F.filter(cut, lambda x: F.size(F.filter(x["grams"], lambda g: g.isin(in_templates))) >= least_share * F.size(x["grams"]))
+    key = ["doc_id", "text_hash", "paragraph", "kind", "start", "stop"]
+    found = spans.select("doc_id", "text_hash", "paragraph", F.inline(likely))
+    held = sorted({*in_templates, *model.weights})
+    rows = [{"gram": g, "k": k, "w": model.weights.get(g, (0.0,) * len(model.families)), "t": [f for f in model.families[:-1] if g in model.templates[f]]} for k, g in enumerate(held)]
+    table = _small(spark, rows, "gram:string,k:int,w:array<double>,t:array<string>")
+    each = found.select(*key, F.size("grams").alias("n"), F.explode("grams").alias("gram")).join(table, "gram", "left")
     scores = [F.coalesce(F.sum(F.col("w")[k]), F.lit(0.0)).alias(f"s{k}") for k in range(len(model.families))]
     shares = [F.count_if(F.array_contains("t", f)).alias(f"t{k}") for k, f in enumerate(model.families[:-1])]
-    summed = each.groupBy("doc_id", "paragraph").agg(F.first("n").alias("n"), *scores, *shares)
+    summed = each.groupBy(*key).agg(F.first("n").alias("n"), F.collect_list("k").alias("ks"), *scores, *shares)
     families = model.families[:-1]
-    rows = summed.select("doc_id", "paragraph", "n", F.array(*(F.col(f"s{k}") + F.lit(b) for k, b in enumerate(model.intercepts))).alias("s"), F.array(*(F.col(f"t{k}") for k in range(len(families)))).alias("t"))
+    rows = summed.select(*key, "n", "ks", F.array(*(F.col(f"s{k}") + F.lit(b) for k, b in enumerate(model.intercepts))).alias("s"), F.array(*(F.col(f"t{k}") for k in range(len(families)))).alias("t"))
     powers = let(F.col("s"), lambda s: F.transform(s, lambda x: F.exp(x - F.array_max(s))))
     chances = let(powers, lambda e: F.transform(e, lambda x: x / F.aggregate(e, F.lit(0.0), lambda a, y: a + y)))
     named = F.transform(F.slice(chances, 1, len(families)), lambda p, k: F.struct(p.alias("p"), F.get(F.split(F.lit(",".join(families)), ","), k).alias("family"), F.get(F.col("t"), k).alias("t")))
-    judged = rows.select("doc_id", "paragraph", "n", F.array_max(named).alias("best"))
-    out = judged.select("doc_id", "paragraph", F.col("best.family").alias("family"), F.round("best.p", 6).alias("probability"), F.round(F.col("best.t") / F.col("n"), 6).alias("template_share"))
-    return out.where((F.col("probability") >= model.threshold) & (F.col("template_share") >= least_share))
+    judged = rows.select(*key, "n", "ks", F.array_max(named).alias("best"))
+    out = judged.select(*key, "ks", F.col("best.family").alias("family"), F.col("best.t").alias("t"), F.round("best.p", 6).alias("probability"), F.round(F.col("best.t") / F.col("n"), 6).alias("template_share"))
+    sure = out.where((F.col("probability") >= model.threshold) & (F.col("template_share") >= least_share))
+    # a family's templates by n-gram: number of the template and its share of the whole
+    numbers = {g: k for k, g in enumerate(held)}
+    parts = [{"k": numbers[g], "family": f, "i": i, "part": 1.0 / len(t)} for i, (f, t) in enumerate(model.whole) for g in t]
+    judged_so = ["family", "t", "probability", "template_share"]
+    met = sure.select(*key, *judged_so, F.explode("ks").alias("k")).join(_small(spark, parts, "k:int,family:string,i:int,part:double"), ["k", "family"])
+    covers = met.groupBy(*key, *judged_so, "i").agg(F.sum("part").alias("cover")).groupBy(*key, *judged_so).agg(F.max("cover").alias("cover"))
+    confirmed = covers.where((F.col("kind") < WINDOW) | (F.round("cover", 6) >= least_cover))
+    ranked = F.struct("kind", (-F.col("t")).alias("t"), (-F.col("probability")).alias("p"), "start", "stop", "family", "probability", "template_share")
+    taken = confirmed.groupBy("doc_id", "text_hash", "paragraph").agg(F.array_sort(F.collect_list(ranked)).alias("found"))
+    return taken.select("doc_id", "text_hash", "paragraph", F.inline(_apart(F.col("found")))).select("doc_id", "text_hash", "paragraph", "family", "probability", "template_share")
 
 
 def scan(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of ``docs``: ``doc_id, license, probability, n_paragraphs, families``.
 
-    ``license`` is the family of the surest paragraph, ties to the smaller name; ``families`` lists all that were
-    found, by name, joined by commas. Rows without a confirmed paragraph, null and empty texts among them, get
-    ``none``, a null probability, 0 and an empty list. Rows that repeat an id share what is found in any of them;
-    null ids are one id. An empty table gives an empty result; other columns are ignored.
+    ``license`` is the family of the surest notice, ties to the smaller name; ``n_paragraphs`` counts the lines that hold
+    any, and ``families`` lists all that were found, by name, joined by commas. Rows without a confirmed notice, null and
+    empty texts among them, get ``none``, a null probability, 0 and an empty list. Rows that repeat an id are judged by
+    their own text. An empty table gives an empty result; other columns are ignored.
     """
     model = model or fit(docs.sparkSession)
     found = paragraphs(docs, model, id_col=id_col, text_col=text_col)
-    best = found.groupBy("doc_id").agg(
-        F.max(F.struct("probability", F.col("family"))).alias("best"), F.count_distinct("paragraph").alias("n"), F.array_join(F.array_sort(F.collect_set("family")), ",").alias("families")
+    best = found.groupBy("doc_id", "text_hash").agg(
+        F.min(F.struct((-F.col("probability")).alias("p"), "family", "probability")).alias("best"), F.count_distinct("paragraph").alias("n"), F.array_join(F.array_sort(F.collect_set("family")), ",").alias("families")
     )
     best = materialize(best).withColumnRenamed("doc_id", "found_id")
-    rows = docs.select(F.col(id_col).alias("doc_id"))
-    met = rows.join(best, F.col("doc_id").eqNullSafe(F.col("found_id")), "left")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("own_hash"))
+    met = rows.join(best, F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("own_hash") == F.col("text_hash")), "left")
     return met.select(
         "doc_id", F.coalesce("best.family", F.lit("none")).alias("license"), F.col("best.probability").alias("probability"), F.coalesce("n", F.lit(0)).cast("long").alias("n_paragraphs"), F.coalesce("families", F.lit("")).alias("families")
     )

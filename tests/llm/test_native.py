@@ -192,3 +192,28 @@ def test_license_query_rows(spark):
     assert isinstance(got, pd.DataFrame) and len(got) == len(text)
     assert {i for i in got[got["license"] != "none"]["doc_id"]} == {i for i in has[has].index}
     assert d.where(F.col("doc_id").isNull()).isEmpty()
+
+
+def test_license_in_long_lines(spark):
+    model = license_scans.fit(spark)
+    prose = "the winter was long and the river froze early so the ferry did not run and people walked to the market".split()
+    mit, apache = "released under the MIT License", "licensed under the Apache License, Version 2.0"
+    texts = [
+        (1, "Copyright 2021 Acme Widgets Inc. and contributors. Released under the MIT License."),
+        (2, "The parser module was written by the data team in Berlin. Released under the MIT License."),
+        (3, "Photos by Anna Example, text by the editors of the weekly magazine. Licensed under CC BY-NC 4.0."),
+        (4, " ".join(prose * 20 + [mit] + prose * 20)),
+        (5, " ".join(prose * 7 + [apache] + prose * 9 + [mit] + prose)),
+        (6, " ".join(["you can obtain a copy of the report at the library free of charge", *prose] * 9)),
+        (7, "The team moved to Berlin. This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License. It rained."),
+        (8, mit), (8, " ".join(prose)),
+        (9, " ".join(prose[:7] + ["this program is distributed under the terms of the GNU Lesser General Public License"] + prose)),
+        *((100 + i, " ".join([*prose[:k], mit, *prose[k:]])) for i, k in enumerate(range(len(prose)))),
+    ]
+    got = [(r["doc_id"], r["families"]) for r in license_scans.scan(docs(spark, texts), model).collect()]
+    want = {1: "mit", 2: "mit", 3: "cc", 4: "mit", 5: "apache,mit", 6: "", 7: "lgpl", 9: "lgpl"}
+    assert {i: f for i, f in got if i < 100 and i != 8} == want
+    assert sorted(f for i, f in got if i == 8) == ["", "mit"]  # rows that share an id keep their own licence
+    assert {f for i, f in got if i >= 100} == {"mit"}
+    other = license_scans.scan(docs(spark, list(enumerate(license_scans.OTHER)) + [(99, " ".join(license_scans.OTHER))]), model).collect()
+    assert {r["license"] for r in other} == {"none"}
