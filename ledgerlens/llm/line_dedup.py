@@ -1,10 +1,10 @@
 """Line dedup: runs of lines that occurred before are deleted, wherever in the corpus they stand.
 
 A run is worth deleting from ``min_lines`` lines, or from ``min_words`` words if it has fewer. Its windows are the
-shortest runs that are: from each line forwards, and to each line backwards. Winnowing picks the smallest line hash
-of every window as its fingerprint, so that each repeated run is certain to share one. Occurrences meet on the
-fingerprint and the hash of the window around it; all but the first count as repeated, and a match grows both ways
-where the windows beside it match as well, one line at a time: their union is the repeated run, whole.
+shortest runs that are: from each line forwards, and to each line backwards. All windows are joined on their hashes,
+in place of winnowing: the smallest line hash of a window, its fingerprint, selects none of them and only makes the
+hash longer. All but the first occurrence of a window count as repeated; the union of these is the repeated run, whole.
+Shorter repeats, such as a single line of fewer words, stay.
 """
 
 from __future__ import annotations
