@@ -214,3 +214,19 @@ def test_smote_and_model(spark):
     assert rows(new, "a", "b") == rows(training.oversampled(df, ["a", "b"], "label"), "a", "b")
     model = training.train(df, ["a", "b"], "label", rounds=3)
     assert training.predict(model, df, ["a", "b"]).count() == 200
+
+
+def test_smote_whole(spark):
+    """The missing number exactly, each between a minority row and one of its five nearest."""
+    made = random.Random(3)
+    few = [(round(made.uniform(0, 900), 3), round(made.uniform(0, 900), 3)) for _ in range(39)]
+    few.append(few[0])
+    df = table(spark, [(a, b, 1) for a, b in few] + [(float(i), 1.0, 0) for i in range(133)], "a double, b double, label int")
+    new = training.oversampled(df, ["a", "b"], "label", block=8).collect()
+    assert len(new) == 93 and {r["label"] for r in new} == {1}
+    near = [(p, q) for i, p in enumerate(few) for q in sorted((x for j, x in enumerate(few) if j != i), key=lambda x: (x[0] - p[0]) ** 2 + (x[1] - p[1]) ** 2)[:5]]
+    on = lambda r, p, q: any(abs(p[0] + u * (q[0] - p[0]) - r["a"]) < 1e-6 and abs(p[1] + u * (q[1] - p[1]) - r["b"]) < 1e-6 for u in [((r["a"] - p[0]) / (q[0] - p[0])) if q[0] != p[0] else 0.0] if 0 <= u <= 1)
+    assert all(any(on(r, p, q) for p, q in near) for r in new)
+    assert training.oversampled(df.where("label = 0 OR a = 0").limit(5), ["a", "b"], "label").count() == 0
+    assert training.oversampled(table(spark, [(1.0, 1), (2.0, 1), (3.0, 0), (4.0, 0)], "a double, label int"), ["a"], "label").count() == 0
+    assert training.oversampled(table(spark, [(1.0, 1), (3.0, 0), (4.0, 0)], "a double, label int"), ["a"], "label").count() == 0
