@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, text_of
+from .common import as_often, materialize, text_of
 
 
 @dataclass(frozen=True)
@@ -85,6 +85,4 @@ def assign(docs: DataFrame, tree: tuple[Shard, ...] = regular_tree(), id_col: st
     placed = rows.join(before, ["shard", "bucket"]).withColumn(
         "start", F.expr("offset + sum(n) OVER (PARTITION BY shard, bucket ORDER BY doc_id, size, text_crc32) - n")
     )
-    return placed.select(
-        "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", F.explode(F.expr("sequence(start, start + n - 1)")).alias("slot"), "grown_shard"
-    )
+    return as_often(placed, "n", "i").select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", (F.col("start") + F.col("i")).alias("slot"), "grown_shard")
