@@ -1,10 +1,13 @@
-"""Line dedup: runs of lines that occurred before are deleted, wherever in the corpus they stand.
+"""Line dedup by winnowing: runs of lines that occurred before are deleted, wherever in the corpus they stand.
 
 A run is worth deleting from ``min_lines`` lines, or from ``min_words`` words if it has fewer. Its windows are the
-shortest runs that are: from each line forwards, and to each line backwards. All windows are joined on their hashes,
-in place of winnowing: the smallest line hash of a window, its fingerprint, selects none of them and only makes the
-hash longer. All but the first occurrence of a window count as repeated; the union of these is the repeated run, whole.
-Shorter repeats, such as a single line of fewer words, stay.
+shortest runs that are. Each window selects the line with its smallest hash, the last of equals, as its fingerprint:
+equal windows select the same line, so a repeated run is guaranteed to share one. Only selected positions are joined
+on their fingerprints; those that meet no other position end there. Matches are then extended both ways, line by line
+up to the windows that selected them: positions of one fingerprint that agree over ``l`` lines before and ``r`` lines
+after form a class, and all but its first lie in a later repeat. Classes stand in for pairs, of which a line that a
+third of all rows hold would make too many. Longer runs are the union of their windows. Shorter repeats, such as a
+single line of fewer words, stay.
 """
 
 from __future__ import annotations
@@ -15,22 +18,30 @@ from pyspark.sql import functions as F
 from .common import SPACE, let, materialize
 
 
-def _windows(lines: Column, min_lines: int, min_words: int) -> Column:
-    """Fingerprint, hash and line numbers of each window of ``lines``, an array of ``(i, h, g, w)``."""
+def _fingerprints(lines: Column, min_lines: int, min_words: int) -> Column:
+    """The lines that windows select: fingerprint, line number, and how far the match must reach to fill each of these windows.
 
-    def at(all_lines: Column, a: Column) -> Column:
+    ``lines`` is an array of ``(i, h, g, w)``. A reach has a hash of all its lines and their numbers.
+    """
+
+    def at(ls: Column, p: Column, own: Column) -> Column:
+        near = {k: F.get(ls, p + k) for k in range(1 - min_lines, min_lines) if k} | {0: own}
+        total = lambda ks: sum((near[k]["w"] for k in ks[1:]), near[ks[0]]["w"]) if ks else F.lit(0)
         out = []
         for n in range(1, min_lines + 1):
-            part = [F.get(all_lines, a + k) for k in range(n)]
-            total = lambda xs: sum((x["w"] for x in xs[1:]), xs[0]["w"]) if xs else F.lit(0)
-            shortest = (total(part[:-1]) < min_words) | (total(part[1:]) < min_words)
-            enough = F.lit(True) if n == min_lines else total(part) >= min_words
-            least = F.least(*(x["h"] for x in part)) if n > 1 else part[0]["h"]
-            window = F.struct(least.alias("fingerprint"), F.xxhash64(*(x["g"] for x in part)).alias("window"), F.array(*(x["i"] for x in part)).alias("at"))
-            out.append(F.when((a + n <= F.size(all_lines)) & enough & shortest, window))
-        return F.array(*out)
+            for before in range(n):
+                part = list(range(-before, n - before))
+                fits = (p >= before) & (p + n - before <= F.size(ls))
+                shortest = (total(part[:-1]) < min_words) | (total(part[1:]) < min_words)
+                enough = F.lit(True) if n == min_lines else total(part) >= min_words
+                least = F.lit(True)
+                for k in part:
+                    least = least & (near[k]["h"] >= own["h"] if k < 0 else near[k]["h"] > own["h"] if k > 0 else F.lit(True))
+                run = F.struct(F.xxhash64(*(near[k]["g"] for k in part)).alias("run"), F.array(*(near[k]["i"] for k in part)).alias("at"))
+                out.append(F.when(fits & enough & shortest & least, run))
+        return F.filter(F.array(*out), lambda x: x.isNotNull())
 
-    return let(lines, lambda ls: F.filter(F.flatten(F.transform(ls, lambda x, a: at(ls, a))), lambda x: x.isNotNull()))
+    return let(lines, lambda ls: F.filter(F.transform(ls, lambda x, p: F.struct(x["h"].alias("fingerprint"), x["i"].alias("line"), at(ls, p, x).alias("reach"))), lambda x: F.size(x["reach"]) > 0))
 
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = 3, min_words: int = 50) -> DataFrame:
@@ -45,11 +56,16 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         ),
         lambda x: x["w"] > 0,
     )
-    found = materialize(rows.where("text IS NOT NULL").select("doc_id", F.xxhash64("text").alias("text_hash"), _windows(lines, min_lines, min_words).alias("windows")))
-    each = found.select("doc_id", "text_hash", F.inline("windows"))
+    chosen = _fingerprints(lines, min_lines, min_words)
+    found = materialize(rows.where("text IS NOT NULL").select("doc_id", F.xxhash64("text").alias("text_hash"), chosen.alias("chosen")))
+    each = found.select("doc_id", "text_hash", F.inline("chosen"))
+    place = F.struct("doc_id", "text_hash", "line")
+    # positions whose fingerprint stands at another one too
+    met = each.groupBy("fingerprint").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").select("fingerprint")
+    grown = materialize(each.join(met.hint("merge"), "fingerprint").select("fingerprint", "doc_id", "text_hash", F.inline("reach")))
     place = F.struct("doc_id", "text_hash", F.col("at")[0].alias("line"))
-    again = materialize(each.groupBy("fingerprint", "window").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").select("fingerprint", "window", "first"))
-    later = each.join(again.hint("merge"), ["fingerprint", "window"]).where(~place.eqNullSafe(F.col("first")))
+    again = materialize(grown.groupBy("fingerprint", "run").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").select("fingerprint", "run", "first"))
+    later = grown.join(again.hint("merge"), ["fingerprint", "run"]).where(~place.eqNullSafe(F.col("first")))
     return materialize(later.groupBy("doc_id", "text_hash").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("at")))).alias("removed")))
 
 
