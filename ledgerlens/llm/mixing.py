@@ -2,13 +2,16 @@
 
 A classifier trained on the labelled table gives each document a posterior over the domains. Non-negative rates,
 one a document and all 1 at first, then follow the projected gradient of the squared difference between the
-expected token totals of the domains and their targets. A step needs only the totals, a sum for each domain; the
-rate of a document follows from its posterior and the few vectors that the steps have taken.
+expected token totals of the domains and their targets. Steps are summed and projected last (lazy projection), so
+the rate of a document follows from its posterior and one number a domain. A step is taken in the metric of the
+documents that no bound holds; its length is the best of a few that one pass over the posteriors compares. Steps end
+when every domain is within ``close`` of its target, or when no step lowers the objective, which is then reported.
 """
 
 from __future__ import annotations
 
 import math
+import warnings
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,9 +23,8 @@ from pyspark.sql import functions as F
 from .common import let, materialize, text_of
 
 DOMAINS = ("clean", "low", "toxic")
-#: Share of the expected tokens that each domain shall have, and the total as a multiple of the clean tokens.
+#: Share of the expected tokens that each domain shall have; by default the first domain keeps its own total.
 TARGETS = {"clean": 0.96, "low": 0.03, "toxic": 0.01}
-SCALE = 1.15
 BUCKETS = 1 << 14
 #: The classifier is fitted on no more labelled documents than these, those with the smallest hash.
 MOST_LABELLED = 6000
@@ -65,6 +67,11 @@ class Classifier:
     weights: tuple[tuple[float, ...], ...]
     temperature: float = 1.0
 
+    @property
+    def blind(self) -> bool:
+        """Whether every text gets the same posterior for every domain."""
+        return len(set(self.prior)) == 1 and not any(map(any, self.weights))
+
     def scores(self, features: Column) -> list[Column]:
         # posteriors depend on differences only, so the first domain's score is 0 and costs nothing
         out, base = [F.lit(0.0)], self.weights[0]
@@ -126,54 +133,113 @@ def classify(docs: DataFrame, model: Classifier, id_col: str = "doc_id", text_co
     return scored.select("doc_id", "n_tokens", *(F.round(p, 9).alias(f"p_{d}") for p, d in zip(posts, DOMAINS, strict=True)))
 
 
-def rate(steps: list[list[float]]) -> Column:
-    """The rate of a row of posteriors after ``steps`` projected steps from 1."""
-    if not steps:
-        return F.lit(1.0)
-    vectors = F.array(*(F.array(*(F.lit(float(x)) for x in s)) for s in steps))
-    move = lambda g: sum((F.col(f"p_{d}") * g[k] for k, d in list(enumerate(DOMAINS))[1:]), F.col(f"p_{DOMAINS[0]}") * g[0])
-    return F.aggregate(vectors, F.lit(1.0), lambda r, g: F.greatest(F.lit(0.0), r - move(g)))
+def rate(pull: list[float]) -> Column:
+    """The rate of a row of posteriors: 1 plus the summed steps ``pull``, projected."""
+    return F.greatest(F.lit(0.0), _unprojected(pull))
 
 
-def fit_rates(posts: DataFrame, targets: dict[str, float] = TARGETS, scale: float = SCALE, most_steps: int = 30, close: float = 1e-4) -> list[list[float]]:
-    """The steps of projected gradient, in the metric of the domains' overlap, where a step of 1 is safe."""
-    p = [F.col(f"p_{d}") for d in DOMAINS]
+def _unprojected(pull: list[float]) -> Column:
+    return sum((F.col(f"p_{d}") * float(x) for d, x in zip(DOMAINS, pull, strict=True)), F.lit(1.0))
+
+
+#: Lengths of which the best is taken.
+LENGTHS = (4.0, 2.0, 1.0, 0.25, 1 / 32, 1 / 1024)
+#: Weight of staying near the rates of 1, as a share of all tokens: it picks one of the many solutions.
+NEAR_ONE = 1e-9
+
+
+@dataclass(frozen=True)
+class Rates:
+    """What ``rate`` needs, the expected token totals that it gives, and those that were asked for."""
+
+    pull: tuple[float, ...]
+    totals: tuple[float, ...]
+    wanted: tuple[float, ...]
+
+    @property
+    def residual(self) -> float:
+        """The largest difference of a total from its target, as a share of that target."""
+        return max((abs(t - w) / w if w else float(t > 0) for t, w in zip(self.totals, self.wanted, strict=True)), default=0.0)
+
+
+def fit_rates(posts: DataFrame, targets: dict[str, float] = TARGETS, tokens: float | None = None, close: float = 1e-4) -> Rates:
+    """Rates whose expected token totals are ``targets`` (shares) of ``tokens``, by default such that the first domain keeps what it has.
+
+    Least squares with a slight pull towards 1. Where no non-negative rates meet the targets the least residual is
+    reached, and a warning gives it; a domain without documents leaves the others as they would be.
+    """
     k = len(DOMAINS)
-    first = posts.agg(*(F.sum(a * b * F.col("n_tokens")).alias(f"g{i}{j}") for i, a in enumerate(p) for j, b in enumerate(p)), *(F.sum(a * F.col("n_tokens")).alias(f"e{i}") for i, a in enumerate(p))).first()
-    if first["g00"] is None:
-        return []
-    gram = np.array([[first[f"g{i}{j}"] for j in range(k)] for i in range(k)])
-    inverse = np.linalg.pinv(gram + 1e-9 * np.trace(gram) * np.eye(k))
-    totals = np.array([first[f"e{i}"] for i in range(k)])
-    # no domain is asked for more than ``scale`` times what it has
-    want = scale * np.minimum(totals[0] / targets[DOMAINS[0]] * np.array([targets[d] for d in DOMAINS]), totals)
-    steps: list[list[float]] = []
-    while len(steps) < most_steps and np.abs(totals - want).max() > close * want.sum():
-        steps.append((inverse @ (totals - want)).tolist())
-        got = posts.withColumn("rate", rate(steps)).agg(*(F.sum(a * F.col("n_tokens") * F.col("rate")).alias(f"e{i}") for i, a in enumerate(p))).first()
-        totals = np.array([got[f"e{i}"] for i in range(k)])
-    return steps
-
-
-def mix(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", targets: dict[str, float] = TARGETS, scale: float = SCALE) -> DataFrame:
+    p = [F.col(f"p_{d}") for d in DOMAINS]
+
+    def sums(pull: np.ndarray, name: str) -> list[Column]:
+        # expected totals, the metric of the rows that move freely, and the integral of the rates
+        n, free, y = F.col("n_tokens"), F.col(f"y{name}") > 0, F.col(f"y{name}")
+        part = F.when(free, n * y).otherwise(0.0)
+        own = [F.sum(a * part).alias(f"e{name}_{i}") for i, a in enumerate(p)]
+        own += [F.sum(F.when(free, p[i] * p[j] * n).otherwise(0.0)).alias(f"g{name}_{i}_{j}") for i in range(k) for j in range(i, k)]
+        return [*own, F.sum(part * y / 2).alias(f"o{name}")]
+
+    def at(pulls: list[np.ndarray]) -> list[tuple[float, np.ndarray, np.ndarray]]:
+        held = posts.select("n_tokens", *p, *(_unprojected(x.tolist()).alias(f"y{i}") for i, x in enumerate(pulls)))
+        row = held.agg(*(c for i, x in enumerate(pulls) for c in sums(x, str(i)))).first()
+        return [(row[f"o{i}"], np.array([row[f"e{i}_{a}"] for a in range(k)]), np.array([[row[f"g{i}_{min(a, b)}_{max(a, b)}"] for b in range(k)] for a in range(k)])) for i in range(len(pulls))]
+
+    pull = np.zeros(k)
+    whole, totals, metric = at([pull])[0]
+    if totals[0] is None or not sum(totals) > 0:
+        return Rates((0.0,) * k, (0.0,) * k, (0.0,) * k)
+    share = np.array([targets[d] for d in DOMAINS], float)
+    wanted = share * (tokens if tokens is not None else totals[0] / share[0])
+    near = NEAR_ONE * totals.sum()
+
+    def height(whole: float, pull: np.ndarray) -> float:
+        return whole - pull @ wanted + near / 2 * pull @ pull
+
+    best = height(whole, pull)
+    while (np.abs(totals - wanted) > close * wanted).any():
+        slope = totals - wanted + near * pull
+        step = -np.linalg.pinv(metric, rcond=1e-7, hermitian=True) @ slope  # only where the rows that move freely reach
+        tried = [pull + x * step for x in LENGTHS]
+        found = at(tried)
+        lowest, i = min((height(got[0], x), i) for i, (got, x) in enumerate(zip(found, tried, strict=True)))
+        if not lowest < best - 1e-12 * abs(best):
+            break
+        best, pull, (_, totals, metric) = lowest, tried[i], found[i]
+    rates = Rates(tuple(pull.tolist()), tuple(totals.tolist()), tuple(wanted.tolist()))
+    if rates.residual > 10 * close:
+        warnings.warn(f"no rates meet the targets: expected totals {rates.totals} for {rates.wanted}", stacklevel=2)
+    return rates
+
+
+def _posteriors(docs: DataFrame, model: Classifier, text_col: str) -> DataFrame:
+    """``row`` with all columns of ``docs``, ``n_tokens`` and the posteriors, in the shared folder."""
+    return materialize(classify(docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text")), model, "row").withColumnRenamed("doc_id", "row"))
+
+
+def mix(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", targets: dict[str, float] = TARGETS, tokens: float | None = None) -> DataFrame:
     """One row for each row of ``docs``: ``doc_id, n_tokens, p_clean, p_low, p_toxic, rate``.
 
     Rates are how often a document shall be drawn; above 1 it repeats. Null and empty texts have no tokens and the
     rate of their posterior. Repeated rows count as often as they come; null ids and empty tables are allowed.
-    Without labels every domain is as likely as another. Columns of ``docs`` other than the two named are ignored.
+    Without labels there is no opinion, and every rate is 1. Columns of ``docs`` other than the two named are ignored.
     """
-    posts = materialize(classify(docs, fit(docs, labels, id_col, text_col), id_col, text_col))
-    return posts.withColumn("rate", F.round(rate(fit_rates(posts, targets, scale)), 6))
+    model = fit(docs, labels, id_col, text_col)
+    posts = materialize(classify(docs, model, id_col, text_col))
+    return posts.withColumn("rate", F.lit(1.0) if model.blind else F.round(rate(fit_rates(posts, targets, tokens).pull), 6))
 
 
-def keep_drawn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", targets: dict[str, float] = TARGETS, scale: float = SCALE, labelled_docs: DataFrame | None = None) -> DataFrame:
-    """The rows of ``docs`` that are drawn, at most once each: those whose hash in [0, 1) is below their rate.
+def drawn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", targets: dict[str, float] = TARGETS, tokens: float | None = None, labelled_docs: DataFrame | None = None) -> DataFrame:
+    """The rows of ``docs`` as often as they are drawn: the whole part of the rate, and once more by the hash of id and text.
 
-    The labels may speak of ``labelled_docs``, where ``docs`` are what an earlier step has left of these.
+    Equal rows are drawn alike, whatever their id, null among them; null and empty texts are drawn at the rate of
+    their posterior; columns of any name are kept as they are; an empty table stays empty. The labels may speak of
+    ``labelled_docs``, where ``docs`` are what an earlier step has left of these.
     """
     model = fit(docs if labelled_docs is None else labelled_docs, labels, id_col, text_col)
-    posts = materialize(classify(docs, model, id_col, text_col))
-    steps = fit_rates(posts, targets, scale)
-    drawn = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("drawn")), F.lit(1 << 30)) / float(1 << 30)
-    gone = materialize(posts.where(drawn >= rate(steps)).select(F.col("doc_id").alias("gone_id")).distinct())
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("gone_id")), "left_anti")
+    if model.blind:
+        return docs
+    posts = _posteriors(docs, model, text_col)
+    own = rate(fit_rates(posts, targets, tokens).pull)
+    chance = F.pmod(F.xxhash64(F.col("row").getField(id_col).cast("string"), F.col("row").getField(text_col), F.lit("drawn")), F.lit(1 << 30)) / float(1 << 30)
+    times = (F.floor(own) + F.when(chance < own - F.floor(own), 1).otherwise(0)).cast("int")
+    return posts.select("row", times.alias("times")).where("times > 0").select("row", F.explode(F.expr("sequence(1, times)"))).select("row.*")

@@ -77,6 +77,15 @@ def test_url_rules_between_slashes(spark):
     assert {r["page_id"]: (r["rule"], r["verdict"]) for r in url_filters.judge(pages, rules).collect()} == {1: ("a.com/pri", "block"), 2: ("a.com/priv/x", "allow"), 3: (None, "allow")}
 
 
+def test_url_long(spark):
+    """Addresses of many parts are not expanded into all of them; a row that repeats often comes back as often."""
+    host, path = "a." * 8000 + "example.com", "/en/" + "x/" * 20000
+    pages = spark.createDataFrame([(1, f"http://{host}{path}"), (2, f"http://{'b/' * 30000}"), (3, "http://" + "c" * 60000 + ".net/fr/")] + [(4, "http://x.net/es/")] * 3000, "page_id long, url string")
+    got = url_filters.judge(pages, url_filters.rule_table(spark)).collect()
+    assert {r["page_id"]: (r["rule"], r["verdict"]) for r in got} == {1: ("example.com/en/", "block"), 2: (None, "allow"), 3: ("net/fr/", "block"), 4: ("net/es/", "block")}
+    assert len(got) == 3003 and next(r["path"] for r in got if r["page_id"] == 1) == path
+
+
 def without_runs(texts, min_lines=3, min_words=50):
     """By brute force: a line goes if a run around it, long enough, occurs at a smaller place."""
     lines = {}
@@ -107,26 +116,75 @@ def test_line_dedup(spark):
     assert sorted(r["line_dedup_removed"] for r in twice) == [0, 5, 5]  # the null id comes first; equal rows are one
 
 
+def test_line_dedup_long(spark):
+    rng = np.random.default_rng(4)
+    long = ["\n".join(f"w{x}" for x in rng.integers(0, 12, 3000)) for _ in range(3)]
+    texts = [(i, t) for i, t in enumerate(long)] + [(3, "\n".join(["same"] * 20000)), (4, "word " * 60000), (5, "word " * 60000)]
+    seen, want = set(), {}
+    for i, t in texts:  # of one-word lines, only windows of three count, and each line of 50 words or more
+        lines, gone = t.split("\n"), set()
+        for n in (1, 3):
+            for a in range(len(lines) - n + 1):
+                run = tuple(lines[a : a + n])
+                if n == 3 or len(run[0].split()) >= 50:
+                    gone |= set(range(a, a + n)) if run in seen else set()
+                    seen.add(run)
+        want[i] = (len(gone), "\n".join(x for k, x in enumerate(lines) if k not in gone))
+    assert {r["doc_id"]: (r["line_dedup_removed"], r["text"]) for r in line_dedup.dedup(docs(spark, texts)).collect()} == want
+    assert want[1][0] > 100 and want[3][0] == 19999 and want[5] == (1, "")
+
+
+def nearest_rates(p, n, want, rounds=20000):
+    """Rates nearest to 1 with the wanted totals, by plain ascent on the multipliers with a safe fixed step."""
+    inverse, pull = np.linalg.inv((p * n[:, None]).T @ p), np.zeros(p.shape[1])
+    for _ in range(rounds):
+        pull += inverse @ (want - p.T @ (n * np.maximum(0, 1 + p @ pull)))
+    return np.maximum(0, 1 + p @ pull)
+
+
 def test_mixing_rates(spark):
     rng = np.random.default_rng(1)
-    p = rng.dirichlet([2, 1, 1], 300)
-    data = [(i, int(t), *map(float, x)) for i, (t, x) in enumerate(zip(rng.integers(1, 500, 300), p, strict=True))]
+    p = rng.dirichlet([2, 0.3, 0.3], 400)
+    data = [(i, int(t), *map(float, x)) for i, (t, x) in enumerate(zip(rng.integers(1, 500, 400), p, strict=True))]
     posts = spark.createDataFrame(data, "doc_id long, n_tokens long, p_clean double, p_low double, p_toxic double")
-    steps = mixing.fit_rates(posts)
-    t = np.array([d[1] for d in data], float)
-    gram = (p * t[:, None]).T @ p
-    inverse = np.linalg.pinv(gram + 1e-9 * np.trace(gram) * np.eye(3))
-    totals, rate = p.T @ t, np.ones(300)
-    want = mixing.SCALE * np.minimum(totals[0] / mixing.TARGETS["clean"] * np.array([mixing.TARGETS[d] for d in mixing.DOMAINS]), totals)
-    for s in steps:
-        move = inverse @ (totals - want)
-        assert np.allclose(move, s, rtol=1e-6, atol=1e-9)
-        rate = np.maximum(0, rate - p @ move)
-        totals = p.T @ (t * rate)
-    got = [r["rate"] for r in posts.withColumn("rate", mixing.rate(steps)).orderBy("doc_id").collect()]
-    assert np.allclose(got, rate, atol=1e-6) and min(got) >= 0
-    start = p.T @ t
-    assert np.abs(totals - want).sum() < 0.2 * np.abs(start - want).sum()
+    n = np.array([d[1] for d in data], float)
+    for tokens in (None, 40000.0):
+        rates = mixing.fit_rates(posts, tokens=tokens)
+        want = np.array([mixing.TARGETS[d] for d in mixing.DOMAINS]) * (tokens or (p.T @ n)[0] / mixing.TARGETS["clean"])
+        got = np.array([r["rate"] for r in posts.withColumn("rate", mixing.rate(rates.pull)).orderBy("doc_id").collect()])
+        assert got.min() == 0 and np.abs(p.T @ (n * got) / want - 1).max() < 1e-3 and rates.residual < 1e-3
+        assert np.abs(got - nearest_rates(p, n, want)).max() < 1e-2
+
+
+def test_mixing_rates_out_of_reach(spark):
+    posts = spark.createDataFrame([(1, 10, 1.0, 0.0, 0.0), (2, 10, 0.9, 0.1, 0.0)], "doc_id long, n_tokens long, p_clean double, p_low double, p_toxic double")
+    with pytest.warns(UserWarning, match="no rates meet"):
+        rates = mixing.fit_rates(posts)
+    assert rates.residual == 1 and abs(rates.totals[0] / rates.wanted[0] - 1) < 1e-3 and abs(rates.totals[1] / rates.wanted[1] - 1) < 1e-3
+    same = spark.range(5).selectExpr("10L AS n_tokens", "0.5D AS p_clean", "0.25D AS p_low", "0.25D AS p_toxic")
+    with pytest.warns(UserWarning, match="no rates meet"):
+        rates = mixing.fit_rates(same, tokens=50.0)
+    p, want = np.array([0.5, 0.25, 0.25]), 50 * np.array([mixing.TARGETS[d] for d in mixing.DOMAINS])
+    assert np.allclose(rates.totals, p * (p @ want) / (p @ p), rtol=1e-3)  # the least squares of one direction
+
+
+def test_mixing_query_meets_targets(spark):
+    got = queries.op1_mixing(spark, "/root/testdata/sf0.01").toPandas()
+    tokens = got["n_tokens"] * got["rate"]
+    totals = np.array([(got[f"p_{d}"] * tokens).sum() for d in mixing.DOMAINS])
+    want = (got["p_clean"] * got["n_tokens"]).sum() / mixing.TARGETS["clean"] * np.array([mixing.TARGETS[d] for d in mixing.DOMAINS])
+    assert np.abs(totals / want - 1).max() < 1e-3
+
+
+def test_mixing_drawn_totals(spark):
+    """What leaves the stage has the totals asked for, within the chance of the draws, and rates above 1 repeat."""
+    d, labels = (queries.table(spark, "/root/testdata/sf0.01", t) for t in ("documents", "labels"))
+    rates = mixing.mix(d, labels).toPandas().set_index("doc_id")
+    times = mixing.drawn(d, labels).groupBy("doc_id").count().toPandas().set_index("doc_id")["count"].reindex(rates.index).fillna(0)
+    assert ((times - rates["rate"]).abs() < 1 + 1e-6).all() and times.max() > 1
+    for x in mixing.DOMAINS:
+        mass, part = rates[f"p_{x}"] * rates["n_tokens"], rates["rate"] % 1
+        assert abs((mass * (times - rates["rate"])).sum()) < 5 * np.sqrt((mass**2 * part * (1 - part)).sum())
 
 
 def test_mixing_classifier(spark):
@@ -145,7 +203,10 @@ def test_mixing_odd(spark):
     assert got.count() == len(ODD) and got.where("rate IS NULL OR rate < 0").isEmpty()
     assert mixing.mix(docs(spark, []), labels).count() == 0
     assert mixing.mix(docs(spark, ODD), labels.limit(0)).where("abs(p_clean - p_toxic) > 1e-6").isEmpty()
-    assert mixing.keep_drawn(docs(spark, ODD), labels).columns == docs(spark, ODD).columns
+    assert mixing.mix(docs(spark, ODD), labels.limit(0)).where("rate <> 1").isEmpty()
+    assert mixing.drawn(docs(spark, ODD), labels).columns == docs(spark, ODD).columns
+    assert mixing.drawn(docs(spark, ODD), labels.limit(0)).count() == len(ODD)
+    assert mixing.drawn(docs(spark, []), labels).count() == 0
 
 
 def test_licenses(spark):
