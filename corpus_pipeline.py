@@ -27,9 +27,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn at the rates that bring the domains to their target weights."""
+    """Documents as often as they are drawn at the rates that bring the domains to their target weights.
+
+    Equal rows, ids and null texts: see ``mixing.drawn``; without labels all stay.
+    """
     labels, raw = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("labels", "documents"))
-    return mixing.keep_drawn(docs, labels, labelled_docs=raw)
+    return mixing.drawn(docs, labels, labelled_docs=raw)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
