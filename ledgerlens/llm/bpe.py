@@ -1,10 +1,11 @@
 """Byte-level BPE: encoding and decoding with content-defined chunks that documents share.
 
 Rolling-hash cuts depend on the bytes around them only, so a passage yields the same chunks wherever it stands.
-Documents are dealt out by their smallest line hash, which brings copies together; a task keeps a bounded cache of
-encoded chunks and encodes each chunk it meets once. A cut may split a token, so each join is repaired: the text
-around it is encoded again, from one point where any text splits to another, over a window that grows until its
-outer tokens agree with those of the chunks.
+Documents are dealt out by their smallest line hash, which brings copies together; a task keeps the encoded chunks
+that it has met, up to a bound on their text, and encodes each of them once. A cut may split a token, so each join is
+repaired: the text around it is encoded again over a window that doubles until its outer tokens agree with those of
+both chunks. Joins at which no window agrees are given up together, the chunks around them become one and are
+encoded anew, until every join agrees exactly.
 """
 
 from __future__ import annotations
@@ -36,9 +37,18 @@ class Codec:
         self.path = path
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        self.plain = spec["normalizer"] is None and spec["pre_tokenizer"]["type"] == "ByteLevel" and not spec["pre_tokenizer"]["add_prefix_space"]
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.vocab = spec["model"]["vocab"]
+        added, split, model = spec.get("added_tokens") or [], spec.get("pre_tokenizer") or {}, spec["model"]
+        self.special, self.vocab = {t["content"]: t["id"] for t in added}, model["vocab"]
+        #: Whether ``tiktoken`` does the same: bytes only, whole special strings, and merges in the order of their ids.
+        self.plain = (
+            spec.get("normalizer") is None and split.get("type") == "ByteLevel" and not split.get("add_prefix_space") and split.get("use_regex", True)
+            and model.get("type", "BPE") == "BPE" and not model.get("dropout") and not model.get("continuing_subword_prefix") and not model.get("end_of_word_suffix")
+            and not any(t.get(flag) for t in added for flag in ("lstrip", "rstrip", "single_word")) and self._ordered(model.get("merges") or [])
+        )
+
+    def _ordered(self, merges: list) -> bool:
+        ids = [self.vocab.get("".join(m.split(" ") if isinstance(m, str) else m)) for m in merges]
+        return bool(ids) and None not in ids and all(a < b for a, b in zip(ids, ids[1:], strict=False))
 
     @cached_property
     def slow(self):
@@ -63,18 +73,18 @@ class Codec:
         if self.plain and COMMON.match(text):
             try:
                 return self.fast.encode(text, allowed_special="all")
-            except BaseException as e:  # its pattern engine gives up on very long runs, with a panic
-                if isinstance(e, KeyboardInterrupt | SystemExit | MemoryError):
+            except BaseException as e:  # its pattern engine gives up on very long runs: a panic, whose class can't be imported
+                if type(e).__name__ != "PanicException":
                     raise
         return self.slow.encode(text, add_special_tokens=False).ids
 
     def decode_bytes(self, ids: list[int]) -> bytes:
-        return self.fast.decode_bytes(ids)
+        return self.fast.decode_bytes(ids) if self.plain else self.slow.decode(ids, skip_special_tokens=False).encode()
 
     @cached_property
     def lengths(self) -> np.ndarray:
         """Bytes of each token, by id."""
-        out = np.zeros(max(self.vocab.values(), default=0) + len(self.special) + 1, np.int32)
+        out = np.zeros(max([0, *self.vocab.values(), *self.special.values()]) + 1, np.int32)
         for token in (*self.vocab.values(), *self.special.values()):
             out[token] = len(self.fast.decode_single_token_bytes(token))
         return out
@@ -82,7 +92,7 @@ class Codec:
     @cached_property
     def names(self) -> list[str]:
         """Each id in decimal."""
-        return [str(i) for i in range(len(self.lengths))]
+        return [str(i) for i in range(max([0, *self.vocab.values(), *self.special.values()]) + 1)]
 
     def listed(self, ids: list[int]) -> str:
         names = self.names
@@ -118,103 +128,119 @@ def cuts(data: bytes, bits: int = 11, least: int = 512, most: int = 65536) -> li
 
 #: Any text splits before a white-space character that follows another kind, for this pattern and special tokens.
 SAFE = re.compile(rb"(?<=[!-~])[ \n](?=[!-~])")
+#: A cut needs two safe points among so many bytes on either side.
+NEAR = 256
 
 
 class Chunk:
-    """An encoded chunk: tokens to the second safe point, a middle, and tokens from the last safe point but one."""
-
-    __slots__ = ("data", "ids", "lead", "tail", "at", "mid", "mid_n", "mid_bytes")
-
-    def __init__(self, data: bytes, c: Codec, whole: bool):
-        ids = c.encode(data.decode())
-        self.data, self.ids, self.lead, self.tail = data, np.array(ids, np.int32), None, None
-        if whole:
-            self.mid, self.mid_n, self.mid_bytes = c.listed(ids), len(ids), c.decode_bytes(ids)
-            return
-        first, last = safe(data, 0, 2), safe(data, max(0, len(data) - 256), None)[-2:]
-        if len(first) == 2 and len(last) == 2 and first[1] < last[0]:
-            starts = np.concatenate([[0], np.cumsum(c.lengths[self.ids])])
-            at = np.searchsorted(starts, [*first, *last])
-            if starts[at].tolist() == [*first, *last]:
-                self.lead, self.tail, self.at = first, last, at.tolist()
-                mid = ids[self.at[1] : self.at[2]]
-                self.mid, self.mid_n, self.mid_bytes = c.listed(mid), len(mid), data[first[1] : last[0]]
-                if c.decode_bytes(mid) != self.mid_bytes:
-                    raise ValueError("tokens don't give their text")
-
-
-def safe(data: bytes, start: int, count: int | None) -> list[int]:
-    out = []
-    for m in SAFE.finditer(data, start):
-        out.append(m.start())
-        if len(out) == count:
-            break
-    return out
-
-
-def repair(c: Codec, left: Chunk, right: Chunk) -> list[int] | None:
-    """Tokens from the last safe point but one of ``left`` to the second of ``right``; None if they never agree."""
-    (la, lb), (ra, rb) = left.tail, right.lead
-    inner = c.encode((left.data[lb:] + right.data[:ra]).decode())
-    outer = c.encode((left.data[la:] + right.data[:rb]).decode())
-    own = left.ids[left.at[2] : left.at[3]].tolist() + inner + right.ids[right.at[0] : right.at[1]].tolist()
-    return outer if outer == own else None
+    """An encoded chunk and what its parts give, kept for the next document that holds it."""
+
+    __slots__ = ("c", "data", "ids", "starts", "parts")
+
+    def __init__(self, data: bytes, c: Codec):
+        self.c, self.data, self.ids, self.starts, self.parts = c, data, c.encode(data.decode()), None, {}
+
+    def point(self, k: int) -> tuple[int, int] | None:
+        """Byte and token of the ``k``-th safe point from the start, or from the end where ``k`` is negative."""
+        n, size = abs(k), NEAR * abs(k)
+        while True:
+            found = [m.start() for m in (SAFE.finditer(self.data, 0, size) if k > 0 else SAFE.finditer(self.data, max(0, len(self.data) - size)))]
+            if len(found) >= n:
+                break
+            if size >= len(self.data):
+                return None
+            size *= 2
+        if self.starts is None:
+            self.starts = np.concatenate([[0], np.cumsum(self.c.lengths[np.array(self.ids, np.int32)])])
+        byte = found[k - 1 if k > 0 else k]
+        token = int(np.searchsorted(self.starts, byte))
+        return (byte, token) if self.starts[token] == byte else None
+
+    def part(self, first: int, last: int) -> tuple[int, str, bytes]:
+        """Number of tokens, decimal ids and bytes from one token to another."""
+        if (first, last) not in self.parts:
+            ids = self.ids[first:last]
+            self.parts[first, last] = len(ids), self.c.listed(ids), self.c.decode_bytes(ids)
+        return self.parts[first, last]
+
+
+def repair(left: Chunk, right: Chunk) -> tuple[int, int, list[int]] | None:
+    """The token of ``left`` at which a window over the join begins, that of ``right`` at which it ends, and its own.
+
+    The window reaches ``width`` + 1 safe points to each side, and what it gives for the outermost of these must be
+    what the chunks have there; else the width doubles. None if the chunks end before that.
+    """
+    width = 1
+    while True:
+        ends = left.point(-width - 1), left.point(-width), right.point(width), right.point(width + 1)
+        if None in ends:
+            return None
+        (a, la), (_, lb), (_, ra), (b, rb) = ends
+        got = left.c.encode((left.data[a:] + right.data[:b]).decode())
+        head, foot = left.ids[la:lb], right.ids[ra:rb]
+        if len(got) >= len(head) + len(foot) and got[: len(head)] == head and got[len(got) - len(foot) :] == foot:
+            return la, rb, got
+        width *= 2
 
 
 class Encoder:
     """Encodes texts one after another; keeps chunks of up to ``limit`` bytes of text, least recently used first out."""
 
-    def __init__(self, path: str, limit: int = 8 << 20):
+    def __init__(self, path: str, limit: int = 16 << 20):
         self.c, self.limit, self.held, self.kept = codec(path), limit, 0, OrderedDict()
         self.encoded = self.reused = 0
 
-    def chunk(self, data: bytes, whole: bool) -> Chunk:
-        got = self.kept.get((data, whole))
+    def chunk(self, data: bytes) -> Chunk:
+        got = self.kept.get(data)
         if got is None:
-            got = self.kept[data, whole] = Chunk(data, self.c, whole)
+            got = self.kept[data] = Chunk(data, self.c)
             self.encoded += 1
             self.held += len(data)
             while self.held > self.limit and len(self.kept) > 1:
-                self.held -= len(self.kept.popitem(last=False)[0][0])
+                self.held -= len(self.kept.popitem(last=False)[0])
         else:
             self.reused += 1
-            self.kept.move_to_end((data, whole))
+            self.kept.move_to_end(data)
         return got
 
-    def pieces(self, text: str) -> list[tuple[list[int] | None, Chunk | None]]:
-        """The text as runs of tokens and middles of chunks, in order."""
+    def pieces(self, text: str) -> list[tuple[Chunk, int, int] | list[int]]:
+        """The text as parts of chunks, from one token to another, and tokens of repaired joins, in order."""
         data = text.encode()
-        ends = cuts(data)
-        if len(ends) > 1:
-            parts = [self.chunk(data[a:b], False) for a, b in zip([0, *ends], ends, strict=False)]
-            if all(p.tail is not None for p in parts):
-                joints = [repair(self.c, left, right) for left, right in zip(parts, parts[1:], strict=False)]
-                if None not in joints:
-                    out: list = [(parts[0].ids[: parts[0].at[1]].tolist(), None)]
-                    for part, joint in zip(parts, [*joints, parts[-1].ids[parts[-1].at[2] :].tolist()], strict=True):
-                        out += [(None, part), (joint, None)]
-                    return out
-        return [(None, self.chunk(data, True))]
+        ends, spread = (cuts(data) if self.c.plain else [len(data)]), 1
+        enough = lambda a, b: len(SAFE.findall(data, a, b)) > 1
+        ends = [e for e in ends[:-1] if enough(max(0, e - NEAR), e) and enough(e, e + NEAR)] + ends[-1:]
+        while True:
+            parts = [self.chunk(data[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
+            joints = [repair(x, y) for x, y in zip(parts, parts[1:], strict=False)]
+            failed = {i for i, j in enumerate(joints) if j is None}
+            # the windows of two joins must not overlap in the chunk between them
+            failed |= {i for i in range(1, len(joints)) if joints[i] and joints[i - 1] and joints[i - 1][1] > joints[i][0]}
+            if not failed:
+                break
+            gone = {i + k for i in failed for k in range(1 - spread, spread)}
+            ends, spread = [e for i, e in enumerate(ends) if i not in gone or i == len(ends) - 1], 2 * spread
+        out: list = []
+        for i, part in enumerate(parts):
+            out.append((part, joints[i - 1][1] if i else 0, joints[i][0] if i < len(joints) else len(part.ids)))
+            if i < len(joints):
+                out.append(joints[i][2])
+        return out
 
     def ids(self, text: str) -> list[int]:
         out: list[int] = []
-        for ids, part in self.pieces(text):
-            out += ids if part is None else (part.ids if part.tail is None else part.ids[part.at[1] : part.at[2]]).tolist()
+        for piece in self.pieces(text):
+            out += piece if isinstance(piece, list) else piece[0].ids[piece[1] : piece[2]]
         return out
 
     def digests(self, text: str) -> tuple[int, str, str]:
         """Tokens, SHA-256 of the decimal ids joined by commas, SHA-256 of the decoded text."""
         n, listed, decoded = 0, [], hashlib.sha256()
-        for ids, part in self.pieces(text):
-            if part is None:
-                n += len(ids)
-                if ids:
-                    listed.append(self.c.listed(ids))
-                    decoded.update(self.c.decode_bytes(ids))
-            elif part.mid_n:
-                n += part.mid_n
-                listed.append(part.mid)
-                decoded.update(part.mid_bytes)
+        for piece in self.pieces(text):
+            k, names, data = (len(piece), self.c.listed(piece), self.c.decode_bytes(piece)) if isinstance(piece, list) else piece[0].part(*piece[1:])
+            if k:
+                n += k
+                listed.append(names)
+                decoded.update(data)
         return n, hashlib.sha256(",".join(listed).encode()).hexdigest(), decoded.hexdigest()
 
 
