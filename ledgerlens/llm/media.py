@@ -1,14 +1,16 @@
 """Media columns: progressive JPEG in binary columns, decoded to full-resolution RGB tensors.
 
 Scans of spectral selection and successive approximation are accumulated into coefficient arrays; numpy inverts the
-transform, chroma is brought to full size and colours are converted. Where a scan's Huffman table leaves but one
-shape of code, its bits are read at a fixed stride; any other scan is read code by code. ``pack`` stores bytes
-losslessly in the format's own unit, the quantised coefficient, and ``unpack`` reads them back from a decoded file.
+transform, chroma is brought to full size and colours are converted. Codes are walked one after another, each from
+where the one before ends; what they mean is then worked out for a whole scan at once. Only refinements of AC bands,
+whose codes depend on the coefficients so far, are worked out code by code. ``pack`` stores bytes losslessly in the
+format's own unit, the quantised coefficient, and ``unpack`` reads them back from a decoded file.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
 import re
 import struct
 import zlib
@@ -89,36 +91,44 @@ class Huffman:
                 self.length[at : at + (1 << (16 - bits))] = bits
                 code, k = code + 1, k + 1
             code <<= 1
-        self.first_length = next((b for b, n in enumerate(counts, 1) if n), 0)
-
-
-def _extend(value, size):
-    """Signed values from their extra bits."""
-    return value - np.where(value < (1 << np.maximum(size - 1, 0)), (1 << size) - 1, 0)
+        # bits from the start of an AC code to the next: extra bits are as many as the size, or as the run of an end of band
+        run, size = self.symbol >> 4, self.symbol & 15
+        extra = np.where(size > 0, size, np.where(run < 15, run, 0))
+        self.stride = np.where(self.length > 0, self.length + extra, 255).astype(np.uint8)
+        self.step = np.minimum(self.length + self.symbol, 255).astype(np.uint8)  # the same for a DC code
+        # what an AC code adds to the place in its band: nothing where it ends the band
+        self.size, self.advance = size, np.where(size > 0, run + 1, np.where(run == 15, 16, 0))
+        # bits to the end of the last of four codes that 16 bits hold whole, and how many these are
+        self.leap, self.count = self.stride.astype(np.int32), np.ones(65536, np.int64)
+        for k in range(1, 4):
+            further = self.stride[(np.arange(65536) << np.minimum(self.leap, 16)) & 0xFFFF]
+            fits = (self.count == k) & (self.leap + further <= 16)
+            self.leap, self.count = self.leap + np.where(fits, further, 0), self.count + fits
+        self.leap = self.leap.astype(np.uint8)
+
+    def walk(self, w: np.ndarray) -> np.ndarray:
+        """Where each code begins, from the 16 bits at each place."""
+        leaps, n, p, starts = self.leap[w].tobytes(), len(w) - 16, 0, []  # four codes from the last start stay within
+        while p < n:
+            starts.append(p)
+            p += leaps[p]
+        at = np.array(starts, np.int64)
+        count = self.count[w[at]]
+        first, out = np.cumsum(count) - count, np.empty(int(count.sum()), np.int64)
+        k = 0
+        while len(at):
+            out[first + k] = at
+            more = count > k + 1
+            at, first, count, k = at[more] + self.stride[w[at[more]]], first[more], count[more], k + 1
+        return out
 
 
-class Bits:
-    def __init__(self, data: bytes):
-        self.size, self.at = 8 * len(data), 0
-        self.data = data + bytes(8)
+_HALF, _FULL = np.array([0, *(1 << np.arange(16))]), (1 << np.arange(17)) - 1
 
-    def peek(self, n: int = 16) -> int:
-        i = self.at >> 3
-        return (int.from_bytes(self.data[i : i + 5], "big") >> (40 - n - (self.at & 7))) & ((1 << n) - 1)
 
-    def take(self, n: int) -> int:
-        out = self.peek(n) if n else 0
-        self.at += n
-        return out
-
-    def code(self, table: Huffman) -> int:
-        if self.at >= self.size:
-            raise ValueError("a scan ends early")
-        w = self.peek()
-        if not table.length[w]:
-            raise ValueError("no such code")
-        self.at += int(table.length[w])
-        return int(table.symbol[w])
+def _extend(value, size):
+    """Signed values from their extra bits."""
+    return value - _FULL[size] * (value < _HALF[size])
 
 
 def _windows(data: bytes) -> np.ndarray:
@@ -137,14 +147,14 @@ def _dc(data: bytes, blocks: list[np.ndarray], order: np.ndarray, tables: list[H
             view[order[mine, 1], 0] |= bits[mine] << low
         return
     w = _windows(data)
-    at = np.arange(len(w))
-    steps = [(at + t.length[w] + t.symbol[w]).tolist() for t in tables]
+    steps = {id(t): t.step[w].tobytes() for t in {id(t): t for t in tables}.values()}
+    steps = [steps[id(t)] for t in tables]
     p, places, n = 0, [], len(w)
     for c in order[:, 0].tolist():
         if p >= n:
             raise ValueError("a scan ends early")
         places.append(p)
-        p = steps[c][p]
+        p += steps[c][p]
     places = np.array(places, np.int64)
     longer = np.concatenate([w, np.zeros(64, w.dtype)])
     for c, view in enumerate(blocks):
@@ -157,70 +167,57 @@ def _dc(data: bytes, blocks: list[np.ndarray], order: np.ndarray, tables: list[H
 
 def _ac_first(data: bytes, block: np.ndarray, table: Huffman, first: int, last: int, low: int) -> None:
     """``block``: the component's blocks in coded order."""
-    band = last - first + 1
-    only = table.symbols[0] if len(table.symbols) == 1 else 0
-    if only and only >> 4 == 0 and only & 15:
-        size, stride = only & 15, table.first_length + (only & 15)
-        n = len(block) * band
-        if stride == 8:
-            value = np.frombuffer(data, np.uint8)[:n].astype(np.int32) & ((1 << size) - 1)
-        else:
-            bits = np.unpackbits(np.frombuffer(data, np.uint8))[: n * stride].reshape(n, stride)[:, table.first_length :]
-            value = bits.astype(np.int32) @ (1 << np.arange(size)[::-1])
-        block[:, first : last + 1] = (_extend(value, size) << low).reshape(-1, band)
-        return
-    bits, skip = Bits(data), 0
-    for row in block:
-        if skip:
-            skip -= 1
-            continue
-        k = first
-        while k <= last:
-            run, size = divmod(bits.code(table), 16)
-            if size:
-                k += run
-                row[k] = int(_extend(bits.take(size), size)) << low
-            elif run < 15:
-                skip = (1 << run) + bits.take(run) - 1
-                break
-            else:
-                k += 15
-            k += 1
+    band, end = last - first + 1, len(block) * (last - first + 1)
+    w = _windows(data)
+    w = np.concatenate([w, np.zeros(64, w.dtype)])
+    places = table.walk(w)
+    here = w[places]
+    size, after = table.size[here], w[places + table.length[here]]
+    # places in the band, all blocks in a row: sums of runs, from which each end of band jumps to the start of a block
+    done = np.cumsum(table.advance[here])
+    ends = np.flatnonzero(table.advance[here] == 0)
+    if len(ends):
+        run = table.symbol[here[ends]] >> 4
+        blocks, jumps, shift = (1 << run) + (after[ends] >> (16 - run)), [0], 0
+        for at, n in zip(done[ends].tolist(), blocks.tolist(), strict=True):
+            shift = ((at + shift) // band + n) * band - at
+            jumps.append(shift)
+        done += np.repeat(jumps, np.diff(np.concatenate([[0], ends, [len(done)]])))
+    used = int(np.searchsorted(done, end)) + 1
+    if used > len(done) or not table.length[here[:used]].all():
+        raise ValueError("a scan ends early")
+    coded = np.flatnonzero(size[:used])
+    size = size[coded]
+    row, column = np.divmod(done[coded] - 1, band)
+    block[row, first + column] = _extend(after[coded] >> (16 - size), size) << low
 
 
 def _ac_refine(data: bytes, block: np.ndarray, table: Huffman, first: int, last: int, low: int) -> None:
-    part = block[:, first : last + 1]
-    band, step = last - first + 1, 1 << low
-    if all(not s & 15 and s >> 4 < 15 for s in table.symbols) and part.all():
-        reader, done, all_bits = Bits(data), 0, np.unpackbits(np.frombuffer(data, np.uint8))
-        while done < len(block):
-            run = reader.code(table) >> 4
-            n = min((1 << run) + reader.take(run), len(block) - done)
-            fixes = all_bits[reader.at : reader.at + n * band].astype(np.int32).reshape(n, band)
-            part[done : done + n] += np.where(part[done : done + n] > 0, step, -step) * fixes
-            reader.at += n * band
-            done += n
-        return
-    bits, skip = Bits(data), 0
-    for row in block:
-        k = first
-
-        def fix(k: int, row=row) -> None:
-            if bits.take(1) and not abs(int(row[k])) & step:
-                row[k] += step if row[k] > 0 else -step
-
+    step, band = 1 << low, last - first + 1
+    w = np.concatenate([_windows(data), np.zeros(64, np.int32)])
+    n, symbols, lengths, bit, word = len(w) - 64, table.symbol[w].tolist(), table.length[w].tolist(), (w >> 15).tolist(), w.tolist()
+    rows, p, skip = block[:, first : last + 1].tolist(), 0, 0
+    for row in rows:
+        k = 0
         if not skip:
-            while k <= last:
-                run, size = divmod(bits.code(table), 16)
-                new = 0
+            while k < band:
+                if p >= n or not lengths[p]:
+                    raise ValueError("a scan ends early")
+                run, size = divmod(symbols[p], 16)
+                p, new = p + lengths[p], 0
                 if size:
-                    new = step if bits.take(1) else -step
+                    new = step if bit[p] else -step
+                    p += 1
                 elif run < 15:
-                    skip = (1 << run) + bits.take(run)
+                    skip = (1 << run) + (word[p] >> (16 - run))
+                    p += run
                     break
-                while k <= last:
-                    if row[k]:
-                        fix(k)
+                while k < band:
+                    x = row[k]
+                    if x:
+                        if bit[p] and not abs(x) & step:
+                            row[k] = x + step if x > 0 else x - step
+                        p += 1
                     elif run:
                         run -= 1
                     else:
@@ -228,12 +225,19 @@ def _ac_refine(data: bytes, block: np.ndarray, table: Huffman, first: int, last:
                         k += 1
                         break
                     k += 1
+                if p > n:
+                    raise ValueError("a scan ends early")
         if skip:
-            while k <= last:
-                if row[k]:
-                    fix(k)
-                k += 1
+            for k in range(k, band):
+                x = row[k]
+                if x:
+                    if p >= n:
+                        raise ValueError("a scan ends early")
+                    if bit[p] and not abs(x) & step:
+                        row[k] = x + step if x > 0 else x - step
+                    p += 1
             skip -= 1
+    block[:, first : last + 1] = rows
 
 
 @lru_cache(maxsize=512)
@@ -335,69 +339,165 @@ def _segment(kind: int, body: bytes) -> bytes:
     return struct.pack(">BBH", 255, kind, len(body) + 2) + body
 
 
-def _filled(bits: np.ndarray) -> bytes:
-    """Bits as a scan's bytes: ones to the end of the last, and a zero after each 255."""
-    return np.packbits(np.concatenate([bits.astype(np.uint8), np.ones(-len(bits) % 8, np.uint8)])).tobytes().replace(b"\xff", b"\xff\x00")
-
-
-#: Tables of ``pack``: DC sizes 0 to 11 in four bits each; AC one code of one bit; refinement runs 0 to 14 in four.
-_DC_TABLE = (bytes([0, 0, 0, 12, *[0] * 12]), bytes(range(12)))
-_AC_TABLE = (bytes([1, *[0] * 15]), bytes([7]))
-_RUN_TABLE = (bytes([0, 0, 0, 15, *[0] * 12]), bytes(16 * i for i in range(15)))
+def _code_lengths(weights: dict[int, float]) -> dict[int, int]:
+    """Huffman's lengths for symbols by weight, with one code left over, as no code may be all ones."""
+    heap = [(w, i, (s,)) for i, (s, w) in enumerate(sorted(weights.items()))] + [(0.0, -1, (-1,))]
+    lengths = dict.fromkeys([*weights, -1], 0)
+    heapq.heapify(heap)
+    while len(heap) > 1:
+        (a, _, x), (b, i, y) = heapq.heappop(heap), heapq.heappop(heap)
+        for s in x + y:
+            lengths[s] += 1
+        heapq.heappush(heap, (a + b, i, x + y))
+    del lengths[-1]
+    return lengths
+
+
+def _huffman(weights: dict[int, float]) -> tuple[tuple[bytes, bytes], np.ndarray, np.ndarray]:
+    """A table as a file has it, and the code and length of each symbol."""
+    lengths = _code_lengths(weights)
+    symbols = sorted(lengths, key=lambda s: (lengths[s], s))
+    counts = bytes(sum(n == bits for n in lengths.values()) for bits in range(1, 17))
+    code, before, codes, sizes = 0, 0, np.zeros(256, np.int64), np.zeros(256, np.int64)
+    for s in symbols:
+        code <<= lengths[s] - before
+        codes[s], sizes[s], before = code, lengths[s], lengths[s]
+        code += 1
+    return (counts, bytes(symbols)), codes, sizes
+
+
+#: Bytes of ``pack`` from the most frequent in text on; a byte's rank gives its coefficient: 0, 1, -1, 2, -2, ...
+_FIRST = b" etaoinsrhldcumfpgwybvk,.\n-T0S1AI2CEMPWBDRHNL'x"
+RANKED = np.array([*_FIRST, *sorted(set(range(256)) - set(_FIRST), key=lambda b: (b > 127, b))], np.uint8)
+_VALUE = np.zeros(256, np.int32)
+_VALUE[RANKED] = [(r + 1) // 2 * (1 if r % 2 else -1) for r in range(256)]
+_SIZE = np.frexp(np.arange(512, dtype=np.float64))[1].astype(np.int64)
+
+#: Tables of ``pack``: DC sizes; runs and sizes of AC codes, with ends of band; and those of a refined band.
+_DC = _huffman({n: 2.0 ** -abs(n - 4) for n in range(12)})
+_AC = _huffman({run << 4 | size: max(0.83 * 0.17**run * 2.0 ** -abs(size - 2.6), 1e-4) for run in range(16) for size in range(1, 9)} | {run << 4: max(0.02 * 0.2**run, 1e-4) for run in range(16)})
+REFINED = 5  # coefficients 1 to 5 come in two scans
+_FIX = _huffman({0: 0.6} | {run << 4 | 1: 0.2 * 0.5**run for run in range(REFINED)})
+
+
+def _packed(code: np.ndarray, length: np.ndarray) -> bytes:
+    """Codes of up to 32 bits as a scan's bytes: ones to the end of the last, and a zero after each 255."""
+    stop = np.cumsum(length)
+    total = int(stop[-1])
+    start = stop - length
+    at, left = start >> 5, 64 - (start & 31) - length
+    words = code << np.minimum(left, 63)  # a code of no bits is 0
+    # each word of 32 bits is a sum of codes that share no bit
+    size = total // 32 + 2
+    high = np.bincount(at, (words >> 32) & 0xFFFFFFFF, size) + np.bincount(at + 1, words & 0xFFFFFFFF, size)
+    spare = -total % 8
+    high[total >> 5] += ((1 << spare) - 1) << (31 - (total + spare - 1 & 31)) if spare else 0
+    return high.astype(">u4").tobytes()[: (total + spare) // 8].replace(b"\xff", b"\xff\x00")
+
+
+def _coded(symbol: np.ndarray, value: np.ndarray, size: np.ndarray, table) -> tuple[np.ndarray, np.ndarray]:
+    """Each symbol's code followed by ``size`` bits of ``value``, one's complement where negative."""
+    return (table[1][symbol] << size) | np.where(value < 0, value + (1 << size) - 1, value), table[2][symbol] + size
+
+
+def _ac_scan(values: np.ndarray) -> bytes:
+    """The first scan of a band, a row a block: runs and sizes, and ends of band over as many blocks as they hold."""
+    n, band = values.shape
+    flat = values.ravel()
+    at = np.flatnonzero(flat)
+    value, block = flat[at], at // band
+    run = at.copy()
+    run[1:] -= at[:-1] + 1
+    run = np.minimum(run, at - block * band)
+    size = _SIZE[np.abs(value)]
+    code, length = _coded((run & 15) << 4 | size, value, size, _AC)
+    order = [4 * at + 1]
+    # blocks that end in zeros; the end of band of one counts the empty blocks after it too
+    last = np.full(n, -1)
+    last[block] = at % band
+    starts = np.flatnonzero((last < band - 1) & ~((last < 0) & (np.concatenate([[band], last[:-1]]) < band - 1)))
+    if len(starts):
+        full = np.append(np.flatnonzero(last >= 0), n)
+        part, place = full[np.searchsorted(full, starts, "right")] - starts, 4 * (starts * band + np.maximum(last[starts], 0)) + 2
+        while (part > 32767).any():
+            more = part > 32767
+            part, place = np.concatenate([np.minimum(part, 32767), part[more] - 32767]), np.concatenate([place, place[more]])
+        bits = np.frexp(part.astype(np.float64))[1].astype(np.int64) - 1
+        own = _coded(bits << 4, part - (1 << bits), bits, _AC)
+        code, length = np.concatenate([code, own[0]]), np.concatenate([length, own[1]])
+        order.append(place)
+    if len(run) and run.max() > 15:  # long runs of zeros come before their coefficient
+        zeros = np.repeat(4 * at, run >> 4)
+        code, length = np.concatenate([code, np.full(len(zeros), _AC[1][0xF0])]), np.concatenate([length, np.full(len(zeros), _AC[2][0xF0])])
+        order.append(zeros)
+    sort = np.argsort(np.concatenate(order), kind="stable")
+    return _packed(code[sort], length[sort])
+
+
+@lru_cache(maxsize=1)
+def _fixes() -> tuple[np.ndarray, np.ndarray]:
+    """The bits that refine a block, by its coefficients' states in base 5: none, new, new and negative, known with bit 0 or 1."""
+    code, length = np.zeros(5**REFINED, np.int64), np.zeros(5**REFINED, np.int64)
+    for i in range(5**REFINED):
+        bits, late, run = "", "", 0
+        name = lambda s: f"{_FIX[1][s]:0{_FIX[2][s]}b}"
+        for k in range(REFINED):
+            state = i // 5**k % 5
+            if state > 2:
+                late += "01"[state - 3]
+            elif state:
+                bits, late, run = bits + name(run << 4 | 1) + "10"[state - 1] + late, "", 0
+            else:
+                run += 1
+        bits += name(0) + late if run or late else ""
+        code[i], length[i] = int(bits or "0", 2), len(bits)
+    return code, length
 
 
-def _runs(bits: np.ndarray) -> bytes:
-    """A refinement scan in which every coefficient is known: runs of blocks, then a bit for each coefficient."""
-    out, done = [], 0
-    while done < len(bits):
-        n = min(len(bits) - done, 32767)
-        size = n.bit_length() - 1
-        head = (size << size) | (n - (1 << size))
-        out += [np.array([head >> i & 1 for i in range(4 + size)][::-1], np.uint8), bits[done : done + n].ravel()]
-        done += n
-    return _filled(np.concatenate(out))
+def _refine_scan(values: np.ndarray) -> bytes:
+    """The lowest bits of coefficients of which all others are known."""
+    big = np.abs(values)
+    state = np.where(big > 1, 3 + (big & 1), np.where(values > 0, 1, np.where(values < 0, 2, 0)))
+    code, length = _fixes()
+    at = state @ 5 ** np.arange(REFINED)
+    return _packed(code[at], length[at])
 
 
 def pack(payload: bytes) -> bytes:
     """A progressive 4:2:0 JPEG whose quantised coefficients are the bytes of ``payload``, 64 to a block.
 
-    A byte becomes a coefficient of eight bits: itself from 128, itself less 255 below. Blocks fill units of four
-    luma and two chroma blocks in a nearly square image; the count of the payload's blocks stands in a comment.
+    Frequent bytes become small coefficients, the space 0. Blocks fill units of four luma and two chroma blocks in a
+    nearly square image; the count of the payload's blocks stands in a comment. Scans: DC without its lowest bit, luma
+    AC 1 to 5 without theirs, luma AC 6 to 63, chroma AC whole, the lowest bits of DC and of luma AC 1 to 5.
     """
     n = len(payload) // 64
     units = max(1, -(-n // 6))
     across = int(np.ceil(np.sqrt(units)))
     down = -(-units // across)
-    raw = np.zeros(down * across * 384, np.uint8)
-    raw[: len(payload)] = np.frombuffer(payload, np.uint8)
-    value = raw.astype(np.int32)
-    value = np.where(value < 128, value - 255, value).reshape(down, across, 6, 64)
+    value = np.zeros(down * across * 384, np.int32)
+    value[: len(payload)] = _VALUE[np.frombuffer(payload, np.uint8)]
+    value = value.reshape(down, across, 6, 64)
     luma = value[:, :, :4].reshape(down, across, 2, 2, 64).transpose(0, 2, 1, 3, 4).reshape(-1, 64)
-    planes = [luma, value[:, :, 4].reshape(-1, 64), value[:, :, 5].reshape(-1, 64)]
-    out = [b"\xff\xd8", _segment(0xFE, b"blocks %d" % n), _segment(0xDB, b"\0" + bytes([1] * 64))]
+    out = [b"\xff\xd8", _segment(0xFE, b"blocks %d" % n), _segment(0xDB, b"\0" + bytes([8] * 64))]
     out.append(_segment(0xC2, struct.pack(">BHHB", 8, down * 16, across * 16, 3) + bytes([1, 0x22, 0, 2, 0x11, 0, 3, 0x11, 0])))
-    out.append(_segment(0xC4, b"\x00" + _DC_TABLE[0] + _DC_TABLE[1] + b"\x10" + _AC_TABLE[0] + _AC_TABLE[1] + b"\x11" + _RUN_TABLE[0] + _RUN_TABLE[1]))
+    out.append(_segment(0xC4, b"".join(where + counts + symbols for where, ((counts, symbols), _, _) in ((b"\x00", _DC), (b"\x10", _AC), (b"\x11", _FIX)))))
     scan = lambda ids, tables, first, last, high, low: _segment(0xDA, bytes([len(ids), *(x for i in ids for x in (i, tables)), first, last, high << 4 | low]))
 
-    first = value[:, :, :, 0].reshape(-1, 6)
+    first = value[:, :, :, 0].reshape(-1, 6).astype(np.int64)
     half = first >> 1
     step = np.empty_like(half)
-    flat = half[:, :4].ravel()
-    step[:, :4] = np.diff(flat, prepend=0).reshape(-1, 4)
+    step[:, :4] = np.diff(half[:, :4].ravel(), prepend=0).reshape(-1, 4)
     step[:, 4:] = np.diff(half[:, 4:], axis=0, prepend=0)
     step = step.ravel()
-    size = np.frexp(np.abs(step).astype(np.float64))[1].astype(np.int64)
-    code = (size << size) | np.where(step < 0, step + (1 << size) - 1, step)
-    length = 4 + size
-    k = np.arange(16)
-    out += [scan((1, 2, 3), 0x00, 0, 0, 0, 1), _filled(((code[:, None] >> np.maximum(length[:, None] - 1 - k, 0)) & 1)[k < length[:, None]])]
-    sizes = [np.abs(p[:, 1:]) for p in planes]
-    for i, (p, s) in enumerate(zip(planes, sizes, strict=True)):
-        coded = np.where(p[:, 1:] < 0, 127 - (s >> 1), s >> 1).astype(np.uint8)
-        out += [scan((i + 1,), 0x00, 1, 5, 0, 1), coded[:, :5].tobytes(), scan((i + 1,), 0x00, 6, 63, 0, 1), coded[:, 5:].tobytes()]
-    out += [scan((1, 2, 3), 0x00, 0, 0, 1, 0), _filled(first.ravel() & 1)]
-    for i, s in enumerate(sizes):
-        out += [scan((i + 1,), 0x01, 1, 63, 1, 0), _runs((s & 1).astype(np.uint8))]
+    size = _SIZE[np.abs(step)]
+    out += [scan((1, 2, 3), 0x00, 0, 0, 0, 1), _packed(*_coded(size, step, size, _DC))]
+    edge = REFINED + 1
+    near = luma[:, 1:edge]
+    out += [scan((1,), 0x00, 1, REFINED, 0, 1), _ac_scan(np.sign(near) * (np.abs(near) >> 1)), scan((1,), 0x00, edge, 63, 0, 0), _ac_scan(luma[:, edge:])]
+    for i in (4, 5):
+        out += [scan((i - 2,), 0x00, 1, 63, 0, 0), _ac_scan(value[:, :, i, 1:].reshape(-1, 63))]
+    low = (first & 1).ravel()
+    out += [scan((1, 2, 3), 0x00, 0, 0, 1, 0), _packed(low, np.ones_like(low)), scan((1,), 0x01, 1, REFINED, 1, 0), _refine_scan(near)]
     return b"".join([*out, b"\xff\xd9"])
 
 
@@ -409,7 +509,8 @@ def unpack(image: Image) -> bytes:
     value = np.empty((down, across, 6, 64), np.int32)
     value[:, :, :4] = y.reshape(down, 2, across, 2, 64).transpose(0, 2, 1, 3, 4).reshape(down, across, 4, 64)
     value[:, :, 4], value[:, :, 5] = cb, cr
-    return np.where(value < 0, value + 255, value).astype(np.uint8).ravel()[: 64 * n].tobytes()
+    value = value.ravel()[: 64 * n]
+    return RANKED[np.where(value > 0, 2 * value - 1, -2 * value)].tobytes()
 
 
 def feature(rgb: np.ndarray) -> str:

@@ -77,6 +77,42 @@ def test_repairs_any_text(library):
         assert e.ids(t) == library.encode(t, add_special_tokens=False).ids
 
 
+def test_repair_widens_until_exact(library, monkeypatch):
+    """Where the points that pass for safe are not, windows grow or joins are given up, and tokens stay exact."""
+    import re
+
+    rng = random.Random(3)
+    texts = [" ".join("".join(rng.choice("abcdelnrst") for _ in range(rng.randrange(1, 30))) for _ in range(700)) for _ in range(6)]
+    made = []
+    for unsafe in (rb"(?<=[a-z])(?=[a-z])", rb"(?<=[a-z ])(?=[a-f])", rb"(?=[ a])"):
+        monkeypatch.setattr(bpe, "SAFE", re.compile(unsafe))
+        e = bpe.Encoder(queries.vocabulary())
+        for t in texts:
+            assert e.ids(t) == library.encode(t, add_special_tokens=False).ids
+            made.append(len(e.pieces(t)))
+    assert max(made) > 1  # some joins agree even so
+
+
+def test_other_tokenizer_files(tmp_path):
+    """A file without the plain byte-level form goes through the library alone, both ways."""
+    import json
+
+    from tokenizers import Tokenizer
+
+    with open(queries.vocabulary()) as f:
+        spec = json.load(f)
+    assert bpe.Codec(queries.vocabulary()).plain
+    swapped = spec["model"]["merges"][:]
+    swapped[300], swapped[301] = swapped[301], swapped[300]
+    for k, other in enumerate([spec | {"pre_tokenizer": None, "decoder": spec.get("decoder")}, spec | {"model": spec["model"] | {"merges": swapped}}]):
+        path = tmp_path / f"{k}.json"
+        path.write_text(json.dumps(other))
+        c, lib = bpe.Codec(str(path)), Tokenizer.from_file(str(path))
+        text = "plainwords" * 200
+        assert not c.plain and bpe.Encoder(str(path)).ids(text) == lib.encode(text, add_special_tokens=False).ids
+        assert c.decode_bytes(c.encode(text)).decode() == lib.decode(lib.encode(text, add_special_tokens=False).ids, skip_special_tokens=False)
+
+
 def shard_by_hand(key, tree):
     def draw(level, name, weight):
         h = xxhash.xxh64_intdigest(f"{key}|{level}|{name}".encode(), 42)
@@ -275,6 +311,62 @@ def test_inverse_transform():
     assert media.ZIGZAG[:10].tolist() == [0, 1, 8, 16, 9, 2, 3, 10, 17, 24]
 
 
+def plain_rgb(image):
+    """RGB by sums over cosines, pixel by pixel, in double precision and without any array."""
+    def wave(x, u):
+        return math.cos((2 * x + 1) * u * math.pi / 16) * (math.sqrt(1 / 8) if u == 0 else 0.5)
+
+    order = sorted(((i, j) for i in range(8) for j in range(8)), key=lambda p: (p[0] + p[1], p[0] if (p[0] + p[1]) % 2 else p[1]))
+    hs, vs = max(c.h for c in image.components), max(c.v for c in image.components)
+
+    def sample(c, y, x):
+        y, x = y * c.v // vs, x * c.h // hs
+        block = c.coefficients[y // 8, x // 8].tolist()
+        q = image.quantisers[c.table].tolist()
+        total = sum(block[k] * q[k] * wave(y % 8, i) * wave(x % 8, j) for k, (i, j) in enumerate(order) if block[k])
+        return min(255, max(0, round(total + 128)))
+
+    out = []
+    for y in range(image.height):
+        for x in range(image.width):
+            a, b, r = (sample(c, y, x) for c in image.components)
+            rgb = a + 1.402 * (r - 128), a - 0.344136 * (b - 128) - 0.714136 * (r - 128), a + 1.772 * (b - 128)
+            out.append([min(255, max(0, round(v))) for v in rgb])
+    return np.array(out).reshape(image.height, image.width, 3)
+
+
+def plain_feature(rgb):
+    h, w, _ = rgb.shape
+    grey, cells = rgb.sum(axis=2).tolist(), ""
+    all_grey = sum(map(sum, grey))
+    for i in range(8):
+        for j in range(8):
+            part = [grey[y][x] for y in range(i * h // 8, (i + 1) * h // 8) for x in range(j * w // 8, (j + 1) * w // 8)]
+            cells += "01"[sum(part) * h * w > all_grey * len(part)]
+    mean = [sum(int(v) for v in rgb[:, :, k].ravel()) * 100 // (h * w) for k in range(3)]
+    return f"{w}x{h} {mean[0]} {mean[1]} {mean[2]} {int(cells, 2):016x}"
+
+
+@pytest.mark.parametrize("n", [1, 7, 20])
+def test_rgb_and_feature(n):
+    payload = " ".join(random.Random(n).choice(["Some words,", "123", "of text.", "Ünïcode", "    ", "~{}^"]) for _ in range(900)).encode()[: 64 * n]
+    image = media.decode(media.pack(payload))
+    rgb, want = image.rgb(), plain_rgb(image)
+    assert np.abs(rgb.astype(int) - want).max() <= 2 and (rgb != want).mean() < 0.01  # halves may round either way in single precision
+    assert media.feature(rgb) == plain_feature(rgb)
+
+
+def test_packed_files_are_walked():
+    """What ``pack`` writes has runs, ends of band over several blocks, and refined coefficients that were 0 before."""
+    rng = random.Random(2)
+    for payload in (b" " * 64 * 40000, b" " * 6400 + b"end." + b" " * 60, bytes(range(256)) * 3, b"e t a " * 320, bytes(rng.randrange(256) for _ in range(6400)), b" " * 63 + b"Z" + b"\0" * 640):
+        data = media.pack(payload)
+        assert media.unpack(media.decode(data)) == payload
+        with pytest.raises(ValueError):
+            media.decode(data[: data.rindex(b"\xff\xda") + 13])  # nothing left of the last scan
+    assert len(media.pack(b"the same words again and again, " * 2000)) < 0.8 * 64000
+
+
 def test_tensors(spark):
     files = spark.createDataFrame([(1, media.pack(b"a" * 6400)), (2, None), (3, b"no image"), (3, b"")], "media_id long, media binary")
     got = {(r["media_id"], r["width"], r["rgb"] and len(r["rgb"])) for r in media.tensors(files).collect()}
