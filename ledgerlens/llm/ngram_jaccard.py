@@ -7,8 +7,12 @@ it is one of the k, becomes equal when one shingle is left out. Signatures of th
 neighbourhoods are what Spark shuffles; k is chosen for each band by its number of documents. Pairs that share a
 signature pass a size and a parity-sketch bound, which never reject a link, and are then verified on the sets.
 
-Equal sets are one node. In each signature's bucket nodes first meet one hub; only nodes that are still in
-different components meet each other after that, so a group of copies costs links in proportion to its size.
+Equal sets are one node, a hash of the set. In each signature's bucket nodes first meet one hub; only nodes that are
+still in different components meet each other after that, so a group of copies costs links in proportion to its size.
+Where many such nodes share a bucket, as texts of one frame do, they meet only if the sketches agree too: the sketch is
+cut into groups of four parts, so many that linked sets differ in at most one part of some group, and nodes are dealt
+out by each group without one of its parts. That loses no link. Sets of more than about 300 shingles may differ in too
+many bits for that; they meet in their bucket, where the agreeing segment already holds many shingles.
 """
 
 from __future__ import annotations
@@ -144,12 +148,14 @@ def _described(docs: DataFrame, join: Join, lows: list[int], plans: list[tuple[i
 
 
 def _sets(docs: DataFrame, join: Join) -> DataFrame:
+    """``node, hashes`` of each row."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             got = [shingles(t, join.size).tobytes() for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(got, pa.binary())], names=["node", "hashes"])
+            yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(x) for x in got], pa.binary()), pa.array(got, pa.binary())], names=["digest", "hashes"])
 
-    return docs.mapInArrow(run, "node long, hashes binary")
+    return docs.mapInArrow(run, "digest binary, hashes binary").select(F.xxhash64("digest").alias("node"), "hashes")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
@@ -189,6 +195,23 @@ def _may_link(join: Join, p: str, q: str) -> Column:
     return (F.least(n, m) * join.den >= F.greatest(n, m) * join.num) & ((n + m) * (join.den - join.num) >= apart * (join.den + join.num))
 
 
+#: Nodes of a bucket from which on their sketches decide who meets.
+CROWD = 64
+
+
+def _parts(join: Join) -> Column:
+    """Keys of a node in a crowded bucket whose largest set has ``most`` shingles: each group of the sketch without one part."""
+    apart = F.floor(F.col("most") * (2 * (join.den - join.num)) / (join.den + join.num))
+    groups = F.when(apart > 31, 0)  # 2 * groups > apart, so some group has at most one part that differs
+    for g in (1, 2, 4, 8):
+        groups = groups.when(apart < 2 * g, g)
+    groups = groups.otherwise(16)
+    bits = F.concat(*(F.lpad(F.hex(f"k{i}"), 16, "0") for i in range(SKETCH)))
+    size = (F.lit(4 * SKETCH) / groups).cast("int")  # hex digits of a part
+    key = lambda i: F.xxhash64("sig", i, F.overlay(F.substr(bits, F.floor(i / 4).cast("int") * 4 * size + 1, 4 * size), F.lit("-"), F.pmod(i, F.lit(4)) * size + 1, size))
+    return F.when(groups == 0, F.array("sig")).otherwise(F.transform(F.sequence(F.lit(0), 4 * groups - 1), key))
+
+
 def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", join: Join = Join()) -> DataFrame:
     """One row for each row of ``docs``: ``doc_id, n_shingles, component_id, class_id``.
 
@@ -209,59 +232,64 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", join
         counts[at] = counts.get(at, 0) + r["n"]
     plans = allocate(join, lows, counts)
 
-    seen = materialize(_described(rows, join, lows, plans))
+    seen = materialize(_described(rows, join, lows, plans).withColumn("node", F.when(F.col("doc_id").isNotNull() & F.col("digest").isNotNull(), F.xxhash64("digest"))))
     marks = [f"k{i}" for i in range(SKETCH)]
-    known = seen.where("doc_id IS NOT NULL AND digest IS NOT NULL")
-    classes = materialize(known.groupBy("digest").agg(F.min("doc_id").alias("node")))
-    members = materialize(seen.select("doc_id", "n", "digest").join(classes, "digest", "left").select("doc_id", "n", "node"))
-    node = members.where("node IS NOT NULL").select("doc_id", "node").distinct()
-    twice = node.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("doc_id", "a")
-    again = node.join(twice, "doc_id").select("a", F.col("node").alias("b")).where("a <> b")
+    known = seen.where("node IS NOT NULL")
+    classes = materialize(known.groupBy("node").agg(F.min("doc_id").alias("doc")))
+    # different sets of one id link
+    twice = known.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("doc_id", "a")
+    again = known.join(twice, "doc_id").select("a", F.col("node").alias("b")).where("a <> b").distinct()
 
     # signatures whose buckets hold different sets, one of them in the band itself
-    one = F.xxhash64("digest").alias("set")
-    each = known.select("doc_id", one, F.explode("own").alias("sig"), F.lit(True).alias("own")).union(known.select("doc_id", one, F.explode("below").alias("sig"), F.lit(False).alias("own")))
+    each = known.select("node", F.explode("own").alias("sig"), F.lit(True).alias("own")).union(known.select("node", F.explode("below").alias("sig"), F.lit(False).alias("own")))
     shared = (
         each.groupBy("sig")
-        .agg(F.min("set").alias("least"), F.max("set").alias("most"), F.min(F.when(F.col("own"), F.col("doc_id").bitwiseXOR(F.col("sig")))).alias("hub"))
+        .agg(F.min("node").alias("least"), F.max("node").alias("most"), F.min(F.when(F.col("own"), F.col("node").bitwiseXOR(F.col("sig")))).alias("hub"))
         .where("least <> most AND hub IS NOT NULL")
         .select("sig", F.col("hub").bitwiseXOR(F.col("sig")).alias("hub"))
     )
     shared = materialize(shared)
-    met = each.select("doc_id", "sig", "own").join(shared, "sig")
-    bucket = materialize(met.join(node, "doc_id").groupBy("sig", "node").agg(F.max("own").alias("own"), F.first("hub").alias("hub")))
-    marked = materialize(known.select("doc_id", "n", *marks).join(bucket.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "node"))
+    bucket = materialize(each.join(shared, "sig").groupBy("sig", "node").agg(F.max("own").alias("own"), F.first("hub").alias("hub")))
+    marked = materialize(known.select("node", "n", *marks).join(bucket.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]))
 
     # every node meets the hubs of its buckets
-    hubs = bucket.join(node.select(F.col("doc_id").alias("hub"), F.col("node").alias("a")), "hub").select("a", F.col("node").alias("b")).where("a <> b").distinct()
+    hubs = bucket.select(F.col("hub").alias("a"), F.col("node").alias("b")).where("a <> b").distinct()
     star = hubs.join(marked.select(F.col("node").alias("a"), F.struct("n", *marks).alias("p")), "a").join(marked.select(F.col("node").alias("b"), F.struct("n", *marks).alias("q")), "b")
     star = materialize(star.where(_may_link(join, "p", "q")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
     def apart(labels: DataFrame) -> DataFrame:
         """Pairs that share a bucket, may link and are in different components so far."""
         placed = bucket.select("sig", "node", "own").join(labels, "node", "left").select("sig", "node", "own", F.coalesce("label", "node").alias("label"))
-        placed = materialize(placed)
-        mixed = materialize(placed.groupBy("sig").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l <> h").select("sig"))
-        side = materialize(placed.join(mixed, "sig").join(marked, "node"))
+        placed = materialize(placed.join(marked, "node"))
+        mixed = materialize(placed.groupBy("sig").agg(F.min("label").alias("l"), F.max("label").alias("h"), F.count("*").alias("nodes"), F.max("n").alias("most")).where("l <> h").select("sig", "nodes", "most"))
+        side = placed.join(mixed, "sig")
+        keys = F.when(F.col("nodes") < CROWD, F.array("sig")).otherwise(_parts(join))
+        side = materialize(side.withColumn("key", F.explode(keys)).select("key", "sig", "node", "own", "label", "n", *marks))
         p, q = side.alias("p"), side.where("own").alias("q")
-        fits = (F.col("p.sig") == F.col("q.sig")) & (F.col("p.label") != F.col("q.label")) & _may_link(join, "p", "q")
+        fits = (F.col("p.key") == F.col("q.key")) & (F.col("p.sig") == F.col("q.sig")) & (F.col("p.label") != F.col("q.label")) & _may_link(join, "p", "q")
         return p.join(q, fits).select(F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b")).distinct()
 
     across = materialize(apart(components(star)))
     asked = star.union(across).distinct()
-    ids = asked.select(F.col("a").alias("doc_id")).union(asked.select("b")).distinct()
-    sets = materialize(_sets(rows.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]), join))
+    ids = asked.select(F.col("a").alias("node")).union(asked.select("b")).distinct()
+    held = classes.join(ids, "node", "left_semi").select(F.col("doc").alias("doc_id")).distinct()
+    sets = materialize(_sets(rows.join(held, "doc_id", "left_semi"), join).join(ids, "node", "left_semi").dropDuplicates(["node"]))
     links = materialize(_verified(asked, sets, join).union(again))
     labels = components(links)
     rest = materialize(apart(labels).join(asked, ["a", "b"], "left_anti"))
     if not rest.isEmpty():
         labels = components(links.union(_verified(rest, sets, join)))
-    labels = labels.select("node", "label")
-    out = members.join(labels, "node", "left")
-    return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("label", "node", "doc_id").alias("component_id"), F.coalesce("node", "doc_id").alias("class_id"))
+    placed = classes.join(labels, "node", "left").select("node", "doc", F.coalesce("label", "node").alias("label"))
+    found = placed.join(placed.groupBy("label").agg(F.min("doc").alias("component")), "label").select("node", "doc", "component")
+    out = seen.select("doc_id", "n", "node").join(materialize(found), "node", "left")
+    return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"), F.coalesce("doc", "doc_id").alias("class_id"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", join: Join = Join()) -> DataFrame:
-    """The rows of ``docs`` without those that link to a smaller id, and with their own columns."""
+    """The rows of ``docs`` without those that link to a smaller id, and with their own columns, whatever they are called.
+
+    Rows that repeat an id are one document: all of them stay or go. Null ids, and texts that are null or have no
+    word, stay. An empty table stays empty.
+    """
     spare = linked(docs, id_col, text_col, join).where("component_id <> doc_id").select(F.col("doc_id").alias(id_col))
     return docs.join(spare, id_col, "left_anti")

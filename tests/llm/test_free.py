@@ -410,8 +410,9 @@ def planted(seed):
     return [(1000 + i, t) for i, t in enumerate(out)]
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_jaccard(spark, seed):
+@pytest.mark.parametrize("seed, crowd", [(1, 64), (2, 2)])
+def test_jaccard(spark, seed, crowd, monkeypatch):
+    monkeypatch.setattr(ngram_jaccard, "CROWD", crowd)
     texts = planted(seed) + [(i, t) for i, t in ODD if i != 6] + [(40, "A b C"), (41, "a B c"), (42, "a b"), (43, "a\tB"), (44, "a b c d")]
     got = ngram_jaccard.linked(docs(spark, texts)).collect()
     want = groups(texts)
@@ -431,6 +432,26 @@ def test_jaccard_odd(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3] and kept.columns == docs(spark, []).columns
 
 
+def test_jaccard_frames(spark):
+    """Texts of one frame share buckets without linking; near copies among them still link."""
+    rng = random.Random(6)
+    frame = [f"f{i}" for i in range(60)]
+    texts = [(i, " ".join(frame + [f"w{rng.randrange(10**6)}" for _ in range(12)])) for i in range(2000)]
+    texts += [(5000 + i, t + " z") for i, t in texts[:300]]
+    got = {r["doc_id"]: r["component_id"] for r in ngram_jaccard.linked(docs(spark, texts)).collect()}
+    assert got == {i: i % 5000 for i, _ in texts}
+
+
+def test_jaccard_ids_shared(spark):
+    """Different texts of one id keep their own links."""
+    a, b = (" ".join(f"{x}{i}" for i in range(200)) for x in "ab")
+    texts = [(1, a), (1, b), (2, a + " x"), (3, b + " y"), (4, "c " * 9), (None, a)]
+    got = [(r["doc_id"], r["component_id"], r["class_id"]) for r in ngram_jaccard.linked(docs(spark, texts)).collect()]
+    assert sorted(got, key=repr) == sorted([(1, 1, 1), (1, 1, 1), (2, 1, 2), (3, 1, 3), (4, 4, 4), (None, None, None)], key=repr)
+    kept = ngram_jaccard.keep_one(docs(spark, texts))
+    assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == [1, 1, 4, None]
+
+
 def test_plans_cover_the_difference():
     join = ngram_jaccard.Join()
     lows = join.bands(5000)
