@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import codec
-from .common import text_of
+from .common import materialize, text_of
 
 CACHE_SCHEMA = "digest binary, n_tokens long"
 
@@ -22,11 +22,11 @@ def tokenizer_version(path: str) -> str:
 
 
 def stored(spark, cache: str, version: str) -> DataFrame:
-    """The counts kept for one tokenizer; nothing, where none are kept yet."""
+    """The counts kept for one tokenizer, one row a digest even if a retried or second writer has appended some twice; nothing, where none are kept yet."""
     where = f"{cache}/tokenizer={version}"
     at = spark._jvm.org.apache.hadoop.fs.Path(where)
     if at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
-        return spark.read.schema(CACHE_SCHEMA).parquet(where)
+        return spark.read.schema(CACHE_SCHEMA).parquet(where).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
     return spark.createDataFrame([], CACHE_SCHEMA)
 
 
@@ -34,9 +34,10 @@ def count_tokens(docs: DataFrame, path: str, cache: str, id_col: str = "doc_id",
     """One row for each row of ``docs``: ``doc_id, n_bytes, n_tokens, over_limit``.
 
     Content is normalised by reading null as empty; nothing else may change, or counts would. Its SHA-256 and the
-    tokenizer's version make the key. Texts whose key is not in ``cache`` are reduced to one row a digest before
-    they are moved, encoded, and appended there, by one writer at a time; then every row takes its count from the
-    cache by a join whose hot digests Spark splits. Empty tables give empty results; other columns are ignored.
+    tokenizer's version make the key. Digests alone look for their counts in ``cache``; only texts of those that have
+    none are reduced to one row a digest, moved, encoded, and appended there; then every row takes its count from the
+    cache by a join whose hot digests Spark splits. Very long texts are encoded whole, rows that repeat get the same
+    count, null ids are kept, empty tables give empty results; other columns are ignored.
     """
     spark, version = docs.sparkSession, tokenizer_version(path)
 
@@ -47,8 +48,9 @@ def count_tokens(docs: DataFrame, path: str, cache: str, id_col: str = "doc_id",
 
     text = text_of("text")
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).select("doc_id", text.alias("text"), F.unhex(F.sha2(text.cast("binary"), 256)).alias("digest"))
-    distinct = rows.groupBy("digest").agg(F.first("text").alias("text"))
-    misses = distinct.join(stored(spark, cache, version), "digest", "left_anti")
+    known = stored(spark, cache, version)
+    wanted = rows if known.isEmpty() else rows.join(materialize(rows.select("digest").distinct().join(known, "digest", "left_anti")), "digest", "left_semi")
+    misses = wanted.groupBy("digest").agg(F.first("text").alias("text"))
     misses.mapInPandas(run, CACHE_SCHEMA).write.mode("append").parquet(f"{cache}/tokenizer={version}")
     sized = rows.select("doc_id", "digest", F.octet_length("text").cast("long").alias("n_bytes"))
     return sized.join(stored(spark, cache, version), "digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
