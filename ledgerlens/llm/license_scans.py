@@ -2,9 +2,9 @@
 
 Paragraphs are lines. A notice may be a line, a sentence of it, or stand anywhere among its words, so each of these is
 classified. Their features are one- and two-word n-grams; a sparse multinomial logistic regression, trained on the
-notices below and on text that only sounds like one, weighs those that matter. A candidate is unknown if its best
-probability stays below a threshold calibrated on notices left out, or if too few of its n-grams stand in the
-family's templates.
+notices and the paragraphs of the public licence texts below and on text that only sounds like one, weighs those that
+matter. A candidate is unknown if its best probability stays below a threshold calibrated on notices left out, or if no
+single template of the family holds enough of its n-grams, of which the two-word ones keep the order.
 """
 
 from __future__ import annotations
@@ -40,51 +40,63 @@ NOTICES = (
     "Available under the {} license.",
     "See LICENSE for the {}.",
 )
-#: Sentences by which the public licence texts are known.
-SENTENCES = {
+#: Paragraphs of the public licence texts, or of the notices that these ask for.
+PARAGRAPHS = {
     "mit": (
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
         "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
-        "THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED",
+        "THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
     ),
     "apache": (
-        "you may not use this file except in compliance with the License. You may obtain a copy of the License at",
-        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS",
-        "See the License for the specific language governing permissions and limitations under the License.",
+        "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at",
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.",
+        "Licensed to the Apache Software Foundation (ASF) under one or more contributor license agreements. See the NOTICE file distributed with this work for additional information regarding copyright ownership.",
+        "Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license to reproduce, prepare Derivative Works of, publicly display, publicly perform, sublicense, and distribute the Work and such Derivative Works in Source or Object form.",
     ),
     "gpl": (
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License",
-        "You should have received a copy of the GNU General Public License along with this program.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
+        "You should have received a copy of the GNU General Public License along with this program. If not, see https://www.gnu.org/licenses/.",
+        "The GNU General Public License is a free, copyleft license for software and other kinds of works.",
     ),
     "lgpl": (
-        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License",
-        "You should have received a copy of the GNU Lesser General Public License along with this library",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+        "This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details.",
+        "You should have received a copy of the GNU Lesser General Public License along with this library; if not, write to the Free Software Foundation, Inc.",
     ),
     "bsd": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
         "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
-        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.",
+        "IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY.",
     ),
     "mpl": (
-        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-        "If a copy of the MPL was not distributed with this file, You can obtain one at",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+        "If it is not possible or desirable to put the notice in a particular file, then You may include the notice in a location (such as a LICENSE file in a relevant directory) where a recipient would be likely to look for such a notice.",
+        "This Source Code Form is Incompatible With Secondary Licenses, as defined by the Mozilla Public License, v. 2.0.",
     ),
     "cc": (
-        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License",
-        "To view a copy of this license, visit creativecommons.org",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+        "This work is licensed under the Creative Commons Attribution-ShareAlike 4.0 International License. To view a copy of this license, visit creativecommons.org/licenses or send a letter to Creative Commons, PO Box 1866, Mountain View, CA 94042, USA.",
+        "You are free to share, copy and redistribute the material in any medium or format and to adapt, remix, transform, and build upon the material for any purpose, even commercially, if you give appropriate credit, provide a link to the license, and indicate if changes were made.",
     ),
     "public_domain": (
         "This is free and unencumbered software released into the public domain.",
-        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software for any purpose",
-        "To the extent possible under law, the author has waived all copyright and related rights to this work",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+        "In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors.",
+        "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
     ),
     "reserved": (
         "All rights reserved.",
         "Copyright (c) 2020 Example Corporation. All rights reserved.",
-        "No part of this publication may be reproduced without the prior written permission of the publisher",
-        "This document is confidential and proprietary. Unauthorized copying is strictly prohibited.",
+        "No part of this publication may be reproduced, distributed, or transmitted in any form or by any means without the prior written permission of the publisher.",
+        "This document is confidential and proprietary. Unauthorized copying of this file, via any medium, is strictly prohibited.",
     ),
 }
+#: Words of a piece of a paragraph, as a line of a file would hold it.
+PIECE = 12
 #: Text of no licence: some of it sounds like one.
 OTHER = (
     "He lost his driving license after the accident and could not go to work under these conditions.",
@@ -119,15 +131,26 @@ def grams(words: Column) -> Column:
 
 
 def training_rows() -> list[tuple[str, str, bool]]:
-    """Family, paragraph, and whether it is held out for calibration: the last name and last sentence of each."""
+    """Family, paragraph, and whether it is left out for calibration.
+
+    Left out are a third of the patterns with the last name of each family, every second line of a paragraph that is
+    broken into lines elsewhere than those learned, and each paragraph with every ninth word dropped.
+    """
+    # lines that another family's text holds too name neither
+    shared = {f: "\n".join(t.lower() for g, texts in PARAGRAPHS.items() if g != f for t in texts) for f in PARAGRAPHS}
     rows = []
     for family, names in NAMES.items():
         for i, name in enumerate(names):
             rows += [(family, n.format(name), i == len(names) - 1 and j % 3 == 0) for j, n in enumerate(NOTICES)]
-    for family, sentences in SENTENCES.items():
-        for s in sentences:
-            cut = s.split()
-            rows += [(family, s, False), (family, " ".join(cut[: 2 * len(cut) // 3]), False), (family, " ".join(cut[len(cut) // 3 :]), True)]
+    for family, paragraphs in PARAGRAPHS.items():
+        for text in paragraphs:
+            rows.append((family, text, False))
+            words = text.split()
+            if len(words) > PIECE:
+                lines = [(k, False) for k in range(0, len(words) - PIECE // 2, PIECE)] + [(k, True) for k in range(PIECE // 2, len(words) - PIECE, 2 * PIECE)]
+                own = [(" ".join(words[k : k + PIECE]), held) for k, held in lines]
+                rows += [(family, line, held) for line, held in own if line.lower() not in shared[family]]
+                rows.append((family, " ".join(w for k, w in enumerate(words) if k % 9 != 8), True))
     for i, s in enumerate(OTHER):
         rows += [(UNKNOWN, s, i % 5 == 4)]
         rows += [(UNKNOWN, " ".join(s.split()[k : k + 6]), i % 5 == 4) for k in range(0, max(1, len(s.split()) - 5), 2)]
@@ -140,32 +163,31 @@ def _small(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class Model:
-    """Families, intercepts, weights of the n-grams that have any, the threshold, and the templates' n-grams, by family and by template."""
+    """Families, intercepts, weights of the n-grams that have any, the threshold, and the n-grams of each template with its family."""
 
     families: tuple[str, ...]
     intercepts: tuple[float, ...]
     weights: dict[str, tuple[float, ...]]
     threshold: float
-    templates: dict[str, tuple[str, ...]]
-    whole: tuple[tuple[str, tuple[str, ...]], ...]
+    templates: tuple[tuple[str, tuple[str, ...]], ...]
 
 
 _FITTED: dict[int, Model] = {}
 
 
-def fit(spark: SparkSession, least_weight: float = 0.05, penalty: float = 0.002) -> Model:
+def fit(spark: SparkSession, least_weight: float = 0.05, penalty: float = 0.0005, mix: float = 0.1) -> Model:
     """Train on the notices of this module: a fixed, small set, the same for any corpus."""
-    if (known := _FITTED.get(hash((least_weight, penalty)))) is not None:
+    if (known := _FITTED.get(hash((least_weight, penalty, mix)))) is not None:
         return known
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import CountVectorizer
 
-    families = (*sorted({*NAMES, *SENTENCES}), UNKNOWN)
+    families = (*sorted({*NAMES, *PARAGRAPHS}), UNKNOWN)
     table = _small(spark, [{"label": float(families.index(f)), "line": t, "held": h} for f, t, h in training_rows()], "label:double,line:string,held:boolean")
     table = materialize(table.select("label", "held", F.array_distinct(grams(words_of_line(F.col("line")))).alias("grams")))
     train = table.where("NOT held")
     counter = CountVectorizer(inputCol="grams", outputCol="features", binary=True).fit(train)
-    fitted = LogisticRegression(family="multinomial", regParam=penalty, elasticNetParam=0.5, maxIter=60, standardization=False).fit(counter.transform(train))
+    fitted = LogisticRegression(family="multinomial", regParam=penalty, elasticNetParam=mix, maxIter=100, standardization=False).fit(counter.transform(train))
     matrix = fitted.coefficientMatrix.toArray()
     order = [int(i) for i in range(matrix.shape[0])]
     weights = {}
@@ -174,11 +196,7 @@ def fit(spark: SparkSession, least_weight: float = 0.05, penalty: float = 0.002)
         content = [w for w in gram.split() if w not in SMALL_WORDS]
         if content and abs(column).max() >= least_weight:
             weights[gram] = tuple(float(column[k]) for k in order)
-    templates: dict[str, set[str]] = {f: set() for f in families[:-1]}
-    whole = set()
-    for row in table.where(F.col("label") < len(families) - 1).select("label", "grams").collect():
-        templates[families[int(row["label"])]] |= set(row["grams"])
-        whole.add((families[int(row["label"])], tuple(sorted(row["grams"]))))
+    templates = {(families[int(row["label"])], tuple(sorted(row["grams"]))) for row in train.where(F.col("label") < len(families) - 1).select("label", "grams").collect()}
     intercepts = tuple(float(x) for x in fitted.interceptVector.toArray())
     # held out: half of the way between the surest other text and the least sure notice that is named rightly
     sure, doubt = [], [1.0 / len(families)]
@@ -189,8 +207,8 @@ def fit(spark: SparkSession, least_weight: float = 0.05, penalty: float = 0.002)
         (doubt if row["label"] == len(families) - 1 else sure if best == row["label"] else []).append(p[best] / sum(p))
     sure.sort()
     threshold = min(0.9, max(0.35, (max(doubt) + sure[len(sure) // 10]) / 2))
-    model = Model(families, intercepts, weights, threshold, {f: tuple(sorted(t)) for f, t in templates.items()}, tuple(sorted(whole)))
-    _FITTED[hash((least_weight, penalty))] = model
+    model = Model(families, intercepts, weights, threshold, tuple(sorted(templates)))
+    _FITTED[hash((least_weight, penalty, mix))] = model
     return model
 
 
@@ -227,13 +245,13 @@ def paragraphs(docs: DataFrame, model: Model, least_share: float = 0.5, id_col:
     """``doc_id, text_hash, paragraph, family, probability, template_share`` of the notices by which a licence is confirmed.
 
     A notice is a sentence of the line, the line, or a window of its words, whichever comes first; others that overlap
-    it don't count. Each is classified by its own words, at least ``least_share`` of whose n-grams stand in the family's
-    templates. A window, which may be any fragment, must also hold ``least_cover`` of the n-grams of one template.
+    it don't count. Each is classified by its own words, at least ``least_share`` of whose n-grams one template of the
+    family holds. A window, which may be any fragment, must also have ``least_cover`` of the n-grams of that template.
     """
     spark = docs.sparkSession
     # text without any of these words has no weighted n-gram, so it is unknown
     gate = sorted({next(w for w in sorted(g.split(), key=len, reverse=True) if w not in SMALL_WORDS) for g in model.weights})
-    in_templates = sorted({g for t in model.templates.values() for g in t})
+    in_templates = sorted({g for _, t in model.templates for g in t})
     own = F.struct(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"))
     lines = docs.select(own.alias("own"), F.posexplode(F.split(text_of(text_col), "\n", -1)).alias("paragraph", "line"))
     lines = lines.select("own.*", "paragraph", "line", words_of_line(F.col("line")).alias("words")).where(F.exists("words", lambda w: w.isin(gate)))
@@ -245,27 +263,25 @@ def paragraphs(docs: DataFrame, model: Model, least_share: float = 0.5, id_col:
     key = ["doc_id", "text_hash", "paragraph", "kind", "start", "stop"]
     found = spans.select("doc_id", "text_hash", "paragraph", F.inline(likely))
     held = sorted({*in_templates, *model.weights})
-    rows = [{"gram": g, "k": k, "w": model.weights.get(g, (0.0,) * len(model.families)), "t": [f for f in model.families[:-1] if g in model.templates[f]]} for k, g in enumerate(held)]
-    table = _small(spark, rows, "gram:string,k:int,w:array<double>,t:array<string>")
+    rows = [{"gram": g, "k": k, "w": model.weights.get(g, (0.0,) * len(model.families))} for k, g in enumerate(held)]
+    table = _small(spark, rows, "gram:string,k:int,w:array<double>")
     each = found.select(*key, F.size("grams").alias("n"), F.explode("grams").alias("gram")).join(table, "gram", "left")
     scores = [F.coalesce(F.sum(F.col("w")[k]), F.lit(0.0)).alias(f"s{k}") for k in range(len(model.families))]
-    shares = [F.count_if(F.array_contains("t", f)).alias(f"t{k}") for k, f in enumerate(model.families[:-1])]
-    summed = each.groupBy(*key).agg(F.first("n").alias("n"), F.collect_list("k").alias("ks"), *scores, *shares)
+    summed = each.groupBy(*key).agg(F.first("n").alias("n"), F.collect_list("k").alias("ks"), *scores)
     families = model.families[:-1]
-    rows = summed.select(*key, "n", "ks", F.array(*(F.col(f"s{k}") + F.lit(b) for k, b in enumerate(model.intercepts))).alias("s"), F.array(*(F.col(f"t{k}") for k in range(len(families)))).alias("t"))
+    rows = summed.select(*key, "n", "ks", F.array(*(F.col(f"s{k}") + F.lit(b) for k, b in enumerate(model.intercepts))).alias("s"))
     powers = let(F.col("s"), lambda s: F.transform(s, lambda x: F.exp(x - F.array_max(s))))
     chances = let(powers, lambda e: F.transform(e, lambda x: x / F.aggregate(e, F.lit(0.0), lambda a, y: a + y)))
-    named = F.transform(F.slice(chances, 1, len(families)), lambda p, k: F.struct(p.alias("p"), F.get(F.split(F.lit(",".join(families)), ","), k).alias("family"), F.get(F.col("t"), k).alias("t")))
+    named = F.transform(F.slice(chances, 1, len(families)), lambda p, k: F.struct(F.round(p, 6).alias("p"), F.get(F.split(F.lit(",".join(families)), ","), k).alias("family")))
     judged = rows.select(*key, "n", "ks", F.array_max(named).alias("best"))
-    out = judged.select(*key, "ks", F.col("best.family").alias("family"), F.col("best.t").alias("t"), F.round("best.p", 6).alias("probability"), F.round(F.col("best.t") / F.col("n"), 6).alias("template_share"))
-    sure = out.where((F.col("probability") >= model.threshold) & (F.col("template_share") >= least_share))
-    # a family's templates by n-gram: number of the template and its share of the whole
+    sure = judged.select(*key, "n", "ks", F.col("best.family").alias("family"), F.col("best.p").alias("probability")).where(F.col("probability") >= model.threshold)
+    # the family's templates by n-gram: number of the template and its size
     numbers = {g: k for k, g in enumerate(held)}
-    parts = [{"k": numbers[g], "family": f, "i": i, "part": 1.0 / len(t)} for i, (f, t) in enumerate(model.whole) for g in t]
-    judged_so = ["family", "t", "probability", "template_share"]
-    met = sure.select(*key, *judged_so, F.explode("ks").alias("k")).join(_small(spark, parts, "k:int,family:string,i:int,part:double"), ["k", "family"])
-    covers = met.groupBy(*key, *judged_so, "i").agg(F.sum("part").alias("cover")).groupBy(*key, *judged_so).agg(F.max("cover").alias("cover"))
-    confirmed = covers.where((F.col("kind") < WINDOW) | (F.round("cover", 6) >= least_cover))
+    parts = [{"k": numbers[g], "family": f, "i": i, "whole": len(t)} for i, (f, t) in enumerate(model.templates) for g in t]
+    met = sure.select(*key, "n", "family", "probability", F.explode("ks").alias("k")).join(_small(spark, parts, "k:int,family:string,i:int,whole:int"), ["k", "family"])
+    by = met.groupBy(*key, "n", "family", "probability", "i", "whole").agg(F.count("*").alias("t"))
+    fits = (F.col("t") >= least_share * F.col("n")) & ((F.col("kind") < WINDOW) | (F.col("t") >= least_cover * F.col("whole")))
+    confirmed = by.where(fits).groupBy(*key, "n", "family", "probability").agg(F.max("t").alias("t")).withColumn("template_share", F.round(F.col("t") / F.col("n"), 6))
     ranked = F.struct("kind", (-F.col("t")).alias("t"), (-F.col("probability")).alias("p"), "start", "stop", "family", "probability", "template_share")
     taken = confirmed.groupBy("doc_id", "text_hash", "paragraph").agg(F.array_sort(F.collect_list(ranked)).alias("found"))
     return taken.select("doc_id", "text_hash", "paragraph", F.inline(_apart(F.col("found")))).select("doc_id", "text_hash", "paragraph", "family", "probability", "template_share")
