@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import math
 import re
 import struct
 import zlib
@@ -61,20 +62,31 @@ class Image:
 
     def rgb(self) -> np.ndarray:
         """Height x width x 3 samples; chroma samples are repeated to full size."""
+        return tensors_of([self])[0]
+
+
+def tensors_of(images: list[Image]) -> list[np.ndarray]:
+    """The samples of several images, of which all blocks are transformed at once."""
+    parts = [(c.coefficients * i.quantisers[c.table]).reshape(-1, 64) for i in images for c in i.components]
+    samples = np.clip(np.rint(np.concatenate(parts).astype(np.float32) @ INVERSE) + 128, 0, 255)
+    out, at = [], 0
+    for image in images:
         planes = []
-        hs, vs = max(c.h for c in self.components), max(c.v for c in self.components)
-        for c in self.components:
+        hs, vs = max(c.h for c in image.components), max(c.v for c in image.components)
+        for c in image.components:
             rows, columns, _ = c.coefficients.shape
-            scaled = (c.coefficients * self.quantisers[c.table]).astype(np.float32).reshape(-1, 64)
-            samples = np.clip(np.rint(scaled @ INVERSE) + 128, 0, 255)
-            plane = samples.reshape(rows, columns, 8, 8).transpose(0, 2, 1, 3).reshape(rows * 8, columns * 8)
-            plane = plane.repeat(vs // c.v, axis=0).repeat(hs // c.h, axis=1)
-            planes.append(plane[: self.height, : self.width].astype(np.float32))
+            part, at = samples[at : at + rows * columns], at + rows * columns
+            plane = part.reshape(rows, columns, 8, 8).transpose(0, 2, 1, 3).reshape(rows * 8, columns * 8)
+            plane = plane.repeat(vs // c.v, axis=0).repeat(hs // c.h, axis=1) if (hs, vs) != (c.h, c.v) else plane
+            planes.append(plane[: image.height, : image.width])
         if len(planes) == 1:
-            return np.repeat(planes[0][:, :, None], 3, axis=2).astype(np.uint8)
+            out.append(np.repeat(planes[0][:, :, None], 3, axis=2).astype(np.uint8))
+            continue
         y, cb, cr = planes[0], planes[1] - 128, planes[2] - 128
-        out = np.stack([y + 1.402 * cr, y - 0.344136 * cb - 0.714136 * cr, y + 1.772 * cb], axis=2)
-        return np.clip(np.rint(out), 0, 255).astype(np.uint8)
+        colour = np.empty((*y.shape, 3), np.float32)
+        colour[:, :, 0], colour[:, :, 1], colour[:, :, 2] = y + 1.402 * cr, y - 0.344136 * cb - 0.714136 * cr, y + 1.772 * cb
+        out.append(np.clip(np.rint(colour), 0, 255).astype(np.uint8))
+    return out
 
 
 class Huffman:
@@ -106,21 +118,25 @@ class Huffman:
             self.leap, self.count = self.leap + np.where(fits, further, 0), self.count + fits
         self.leap = self.leap.astype(np.uint8)
 
-    def walk(self, w: np.ndarray) -> np.ndarray:
-        """Where each code begins, from the 16 bits at each place."""
-        leaps, n, p, starts = self.leap[w].tobytes(), len(w) - 16, 0, []  # four codes from the last start stay within
-        while p < n:
-            starts.append(p)
-            p += leaps[p]
+    def walk(self, w: np.ndarray, scans: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+        """Where each code begins, from the 16 bits at each place, and where each scan's codes end among these."""
+        leaps, starts, stops = self.leap[w].tobytes(), [], []
+        put = starts.append
+        for p, end in scans:
+            while p < end:
+                put(p)
+                p += leaps[p]
+            stops.append(len(starts))
         at = np.array(starts, np.int64)
         count = self.count[w[at]]
-        first, out = np.cumsum(count) - count, np.empty(int(count.sum()), np.int64)
+        last = np.cumsum(count)
+        first, out, ends = last - count, np.empty(int(last[-1]), np.int64), last[np.array(stops) - 1]
         k = 0
         while len(at):
             out[first + k] = at
             more = count > k + 1
             at, first, count, k = at[more] + self.stride[w[at[more]]], first[more], count[more], k + 1
-        return out
+        return out, ends
 
 
 _HALF, _FULL = np.array([0, *(1 << np.arange(16))]), (1 << np.arange(17)) - 1
@@ -131,113 +147,134 @@ def _extend(value, size):
     return value - _FULL[size] * (value < _HALF[size])
 
 
-def _windows(data: bytes) -> np.ndarray:
-    """The 16 bits from each bit of ``data``."""
-    b = np.frombuffer(data + bytes(2), np.uint8).astype(np.int32)
+def _windows(datas: list[bytes]) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """The 16 bits from each bit of the scans, in a row, and the bits of each; zeros follow each scan."""
+    spans, at = [], 0
+    for d in datas:
+        spans.append((8 * at, 8 * (at + len(d))))
+        at += len(d) + 8
+    b = np.frombuffer(b"".join([x for d in datas for x in (d, bytes(8))]), np.uint8).astype(np.int32)
     three = (b[:-2] << 16) | (b[1:-1] << 8) | b[2:]
-    return ((three[:, None] >> (8 - np.arange(8))) & 0xFFFF).ravel()
+    return ((three[:, None] >> (8 - np.arange(8))) & 0xFFFF).ravel(), spans
 
 
-def _dc(data: bytes, blocks: list[np.ndarray], order: np.ndarray, tables: list[Huffman], high: int, low: int) -> None:
-    """``blocks``: flat views of the components of a scan; ``order``: component and block, in coded order."""
+def _dc(datas: list[bytes], orders: list[np.ndarray], tables: list[Huffman], high: int, low: int) -> list[np.ndarray]:
+    """For each scan what its blocks' first coefficients get; ``orders``: component and block, in coded order."""
     if high:
-        bits = np.unpackbits(np.frombuffer(data, np.uint8))[: len(order)].astype(np.int32)
-        for c, view in enumerate(blocks):
-            mine = order[:, 0] == c
-            view[order[mine, 1], 0] |= bits[mine] << low
-        return
-    w = _windows(data)
+        return [np.unpackbits(np.frombuffer(d, np.uint8))[: len(o)].astype(np.int32) << low for d, o in zip(datas, orders, strict=True)]
+    w, spans = _windows(datas)
     steps = {id(t): t.step[w].tobytes() for t in {id(t): t for t in tables}.values()}
-    steps = [steps[id(t)] for t in tables]
-    p, places, n = 0, [], len(w)
-    for c in order[:, 0].tolist():
-        if p >= n:
-            raise ValueError("a scan ends early")
-        places.append(p)
-        p += steps[c][p]
-    places = np.array(places, np.int64)
-    longer = np.concatenate([w, np.zeros(64, w.dtype)])
-    for c, view in enumerate(blocks):
-        mine = order[:, 0] == c
-        here = places[mine]
-        size, start = tables[c].symbol[w[here]], here + tables[c].length[w[here]]
-        value = np.where(size > 0, longer[start] >> (16 - np.maximum(size, 1)), 0)
-        view[order[mine, 1], 0] = np.cumsum(_extend(value, size)) << low
-
-
-def _ac_first(data: bytes, block: np.ndarray, table: Huffman, first: int, last: int, low: int) -> None:
-    """``block``: the component's blocks in coded order."""
-    band, end = last - first + 1, len(block) * (last - first + 1)
-    w = _windows(data)
-    w = np.concatenate([w, np.zeros(64, w.dtype)])
-    places = table.walk(w)
+    steps, places = [steps[id(t)] for t in tables], []
+    for (p, end), order in zip(spans, orders, strict=True):
+        for c in order[:, 0].tolist():
+            if p >= end:
+                raise ValueError("a scan ends early")
+            places.append(p)
+            p += steps[c][p]
+    places, component = np.array(places, np.int64), np.concatenate([o[:, 0] for o in orders])
+    edges = np.cumsum([0, *map(len, orders)])
+    value = np.zeros(len(places), np.int64)
+    for c, table in enumerate(tables):
+        mine = np.flatnonzero(component == c)
+        here = w[places[mine]]
+        size, after = table.symbol[here], w[places[mine] + table.length[here]]
+        total = np.cumsum(_extend(after >> (16 - size), size))
+        # differences begin anew with each scan
+        begin = np.searchsorted(mine, edges)
+        value[mine] = total - np.repeat(np.concatenate([[0], total])[begin[:-1]], np.diff(begin))
+    return [value[a:b] << low for a, b in zip(edges, edges[1:], strict=False)]
+
+
+def _ac_first(datas: list[bytes], counts: list[int], table: Huffman, band: int, low: int) -> np.ndarray:
+    """The bands of all blocks of several scans, of ``counts`` blocks each."""
+    w, spans = _windows(datas)
+    places, stops = table.walk(w, spans)
     here = w[places]
-    size, after = table.size[here], w[places + table.length[here]]
+    size, after, advance = table.size[here], w[places + table.length[here]], table.advance[here]
     # places in the band, all blocks in a row: sums of runs, from which each end of band jumps to the start of a block
-    done = np.cumsum(table.advance[here])
-    ends = np.flatnonzero(table.advance[here] == 0)
-    if len(ends):
-        run = table.symbol[here[ends]] >> 4
-        blocks, jumps, shift = (1 << run) + (after[ends] >> (16 - run)), [0], 0
-        for at, n in zip(done[ends].tolist(), blocks.tolist(), strict=True):
-            shift = ((at + shift) // band + n) * band - at
+    done = np.cumsum(advance)
+    ends = np.flatnonzero(advance == 0)
+    run = table.symbol[here[ends]] >> 4
+    at, blocks = done[ends].tolist(), ((1 << run) + (after[ends] >> (16 - run))).tolist()
+    starts, where, jumps, k, base = [0, *stops[:-1].tolist()], [], [], 0, 0
+    before, split = np.concatenate([[0], done])[starts].tolist(), np.searchsorted(ends, stops).tolist()
+    order = ends.tolist()
+    for first, total, upto, n in zip(starts, before, split, counts, strict=True):
+        shift = base * band - total
+        where.append(first)
+        jumps.append(shift)
+        for k in range(k, upto):
+            shift = ((at[k] + shift) // band + blocks[k]) * band - at[k]
+            where.append(order[k])
             jumps.append(shift)
-        done += np.repeat(jumps, np.diff(np.concatenate([[0], ends, [len(done)]])))
-    used = int(np.searchsorted(done, end)) + 1
-    if used > len(done) or not table.length[here[:used]].all():
-        raise ValueError("a scan ends early")
-    coded = np.flatnonzero(size[:used])
+        k, base = upto, base + n
+    done += np.repeat(jumps, np.diff(np.array([*where, len(done)])))
+    coded = size > 0
+    base = 0
+    for first, stop, n in zip(starts, stops.tolist(), counts, strict=True):
+        base += n
+        used = first + int(np.searchsorted(done[first:stop], base * band)) + 1
+        if used > stop:
+            raise ValueError("a scan ends early")
+        coded[used:stop] = False
+    coded = np.flatnonzero(coded)
     size = size[coded]
-    row, column = np.divmod(done[coded] - 1, band)
-    block[row, first + column] = _extend(after[coded] >> (16 - size), size) << low
-
-
-def _ac_refine(data: bytes, block: np.ndarray, table: Huffman, first: int, last: int, low: int) -> None:
-    step, band = 1 << low, last - first + 1
-    w = np.concatenate([_windows(data), np.zeros(64, np.int32)])
-    n, symbols, lengths, bit, word = len(w) - 64, table.symbol[w].tolist(), table.length[w].tolist(), (w >> 15).tolist(), w.tolist()
-    rows, p, skip = block[:, first : last + 1].tolist(), 0, 0
-    for row in rows:
-        k = 0
-        if not skip:
-            while k < band:
-                if p >= n or not lengths[p]:
-                    raise ValueError("a scan ends early")
-                run, size = divmod(symbols[p], 16)
-                p, new = p + lengths[p], 0
-                if size:
-                    new = step if bit[p] else -step
-                    p += 1
-                elif run < 15:
-                    skip = (1 << run) + (word[p] >> (16 - run))
-                    p += run
-                    break
+    if not table.length[here[coded]].all():
+        raise ValueError("no such code")
+    out = np.zeros(base * band, np.int32)
+    out[done[coded] - 1] = _extend(after[coded] >> (16 - size), size) << low
+    return out.reshape(base, band)
+
+
+def _ac_refine(datas: list[bytes], bands: list[np.ndarray], table: Huffman, low: int) -> list[list[list[int]]]:
+    """The bands of each scan's blocks with one bit more."""
+    step, out = 1 << low, []
+    w, spans = _windows(datas)
+    symbols, lengths, bit, word = table.symbol[w].tolist(), table.length[w].tolist(), (w >> 15).tolist(), w.tolist()
+    for (p, n), values in zip(spans, bands, strict=True):
+        rows, skip, band = values.tolist(), 0, values.shape[1]
+        for row in rows:
+            k = 0
+            if not skip:
                 while k < band:
+                    if p >= n or not lengths[p]:
+                        raise ValueError("a scan ends early")
+                    run, size = divmod(symbols[p], 16)
+                    p, new = p + lengths[p], 0
+                    if size:
+                        new = step if bit[p] else -step
+                        p += 1
+                    elif run < 15:
+                        skip = (1 << run) + (word[p] >> (16 - run))
+                        p += run
+                        break
+                    while k < band:
+                        x = row[k]
+                        if x:
+                            if bit[p] and not abs(x) & step:
+                                row[k] = x + step if x > 0 else x - step
+                            p += 1
+                        elif run:
+                            run -= 1
+                        else:
+                            row[k] = new
+                            k += 1
+                            break
+                        k += 1
+                    if p > n:
+                        raise ValueError("a scan ends early")
+            if skip:
+                for k in range(k, band):
                     x = row[k]
                     if x:
+                        if p >= n:
+                            raise ValueError("a scan ends early")
                         if bit[p] and not abs(x) & step:
                             row[k] = x + step if x > 0 else x - step
                         p += 1
-                    elif run:
-                        run -= 1
-                    else:
-                        row[k] = new
-                        k += 1
-                        break
-                    k += 1
-                if p > n:
-                    raise ValueError("a scan ends early")
-        if skip:
-            for k in range(k, band):
-                x = row[k]
-                if x:
-                    if p >= n:
-                        raise ValueError("a scan ends early")
-                    if bit[p] and not abs(x) & step:
-                        row[k] = x + step if x > 0 else x - step
-                    p += 1
-            skip -= 1
-    block[:, first : last + 1] = rows
+                skip -= 1
+        out.append(rows)
+    return out
 
 
 @lru_cache(maxsize=512)
@@ -256,30 +293,60 @@ def _order(down: int, across: int, parts: tuple[tuple[int, ...], ...]) -> np.nda
     return np.concatenate(units, axis=1)
 
 
-def _scan(image: Image, parts: list[tuple[Component, Huffman | None, Huffman | None]], data: bytes, band: tuple[int, int], high: int, low: int, restart: int) -> None:
-    hs, vs = max(c.h for c in image.components), max(c.v for c in image.components)
-    across, down = -(-image.width // (8 * hs)), -(-image.height // (8 * vs))
-    views = [c.coefficients.reshape(-1, 64) for c, _, _ in parts]
-    order = _order(down, across, tuple((c.h, c.v, c.rows, c.columns, c.coefficients.shape[1]) for c, _, _ in parts))
-    pieces = re.split(rb"\xff[\xd0-\xd7]", data) if restart else [data]
-    for k, piece in enumerate(pieces):
-        some = order[k * restart : (k + 1) * restart] if restart else order
-        some, plain = some.reshape(-1, 2), piece.replace(b"\xff\x00", b"\xff")
-        if not len(some):
-            break
-        if band[0] == 0:
-            _dc(plain, views, some, [t for _, t, _ in parts], high, low)
-        else:
-            whole = len(some) == len(views[0])
-            block = views[0] if whole else views[0][some[:, 1]]
-            (_ac_refine if high else _ac_first)(plain, block, parts[0][2], *band, low)
-            if not whole:
-                views[0][some[:, 1]] = block
-
-
-def decode(data: bytes) -> Image:
-    """Coefficients of a progressive JPEG after all of its scans."""
-    image, dc, ac, restart, at = Image(), {}, {}, 0, 2
+@dataclass
+class Scan:
+    """A scan as a file has it: its components by number, their tables, the band, the bits, and the coded data."""
+
+    components: tuple[int, ...]
+    tables: tuple[Huffman | None, ...]
+    band: tuple[int, int]
+    high: int
+    low: int
+    restart: int
+    data: bytes
+
+    def pieces(self, image: Image) -> list[tuple[bytes, np.ndarray]]:
+        """The data between restarts, with the components and blocks of each in coded order."""
+        hs, vs = max(c.h for c in image.components), max(c.v for c in image.components)
+        across, down = -(-image.width // (8 * hs)), -(-image.height // (8 * vs))
+        parts = [image.components[i] for i in self.components]
+        order = _order(down, across, tuple((c.h, c.v, c.rows, c.columns, c.coefficients.shape[1]) for c in parts))
+        if not self.restart:
+            return [(self.data.replace(b"\xff\x00", b"\xff"), order.reshape(-1, 2))]
+        pieces = [(p.replace(b"\xff\x00", b"\xff"), order[k * self.restart : (k + 1) * self.restart].reshape(-1, 2)) for k, p in enumerate(re.split(rb"\xff[\xd0-\xd7]", self.data))]
+        return [p for p in pieces if len(p[1])]
+
+
+def _accumulate(group: list[tuple[Image, Scan]]) -> None:
+    """Put scans of one kind into the coefficients of their images."""
+    scan = group[0][1]
+    pieces = [(image, *p) for image, s in group for p in s.pieces(image)]
+    datas, orders = [p[1] for p in pieces], [p[2] for p in pieces]
+    if scan.band[0] == 0:
+        for (image, _, order), value in zip(pieces, _dc(datas, orders, list(scan.tables), scan.high, scan.low), strict=True):
+            for c, i in enumerate(scan.components):
+                mine = order[:, 0] == c if len(scan.components) > 1 else slice(None)
+                flat = image.components[i].coefficients.reshape(-1, 64)
+                if scan.high:
+                    flat[order[mine, 1], 0] |= value[mine]
+                else:
+                    flat[order[mine, 1], 0] = value[mine]
+        return
+    columns = slice(scan.band[0], scan.band[1] + 1)
+    views = [image.components[scan.components[0]].coefficients.reshape(-1, 64) for image, _, _ in pieces]
+    rows = [slice(None) if len(o) == len(v) else o[:, 1] for o, v in zip(orders, views, strict=True)]
+    if scan.high:
+        for view, row, new in zip(views, rows, _ac_refine(datas, [v[r, columns] for v, r in zip(views, rows, strict=True)], scan.tables[0], scan.low), strict=True):
+            view[row, columns] = new
+    else:
+        new, at = _ac_first(datas, [len(o) for o in orders], scan.tables[0], scan.band[1] - scan.band[0] + 1, scan.low), 0
+        for view, row, order in zip(views, rows, orders, strict=True):
+            view[row, columns], at = new[at : at + len(order)], at + len(order)
+
+
+def _parsed(data: bytes) -> tuple[Image, list[Scan]]:
+    """The empty image and the scans of a progressive JPEG."""
+    image, scans, dc, ac, restart, at = Image(), [], {}, {}, 0, 2
     if data[:2] != b"\xff\xd8":
         raise ValueError("not a JPEG")
     while at < len(data):
@@ -316,12 +383,30 @@ def decode(data: bytes) -> Image:
             found = MARKER.search(data, at)
             end = found.start() if found else len(data)
             n = body[0]
-            by = {c.ident: c for c in image.components}
-            parts = [(by[body[1 + 2 * i]], dc.get(body[2 + 2 * i] >> 4), ac.get(body[2 + 2 * i] & 15)) for i in range(n)]
-            first, last, approximation = body[1 + 2 * n : 4 + 2 * n]
-            _scan(image, parts, data[at:end], (first, last), approximation >> 4, approximation & 15, restart)
+            by = {c.ident: k for k, c in enumerate(image.components)}
+            first, last, bits = body[1 + 2 * n : 4 + 2 * n]
+            tables = tuple((ac.get(body[2 + 2 * i] & 15) if first else dc.get(body[2 + 2 * i] >> 4)) for i in range(n))
+            scans.append(Scan(tuple(by[body[1 + 2 * i]] for i in range(n)), tables, (first, last), bits >> 4, bits & 15, restart, data[at:end]))
             at = end
-    return image
+    return image, scans
+
+
+def decode_all(files: list[bytes]) -> list[Image]:
+    """Coefficients of progressive JPEGs after all of their scans; scans of one kind are worked out together."""
+    parsed = [_parsed(f) for f in files]
+    for k in range(max((len(s) for _, s in parsed), default=0)):
+        groups: dict[tuple, list[tuple[Image, Scan]]] = {}
+        for image, scans in parsed:
+            if k < len(scans):
+                s = scans[k]
+                groups.setdefault((s.components, tuple(map(id, s.tables)), s.band, s.high, s.low), []).append((image, s))
+        for group in groups.values():
+            _accumulate(group)
+    return [image for image, _ in parsed]
+
+
+def decode(data: bytes) -> Image:
+    return decode_all([data])[0]
 
 
 _TABLES: dict[tuple[bytes, bytes], Huffman] = {}
@@ -380,19 +465,24 @@ REFINED = 5  # coefficients 1 to 5 come in two scans
 _FIX = _huffman({0: 0.6} | {run << 4 | 1: 0.2 * 0.5**run for run in range(REFINED)})
 
 
-def _packed(code: np.ndarray, length: np.ndarray) -> bytes:
-    """Codes of up to 32 bits as a scan's bytes: ones to the end of the last, and a zero after each 255."""
-    stop = np.cumsum(length)
-    total = int(stop[-1])
-    start = stop - length
+def _packed(code: np.ndarray, length: np.ndarray, owner: np.ndarray, n: int) -> list[bytes]:
+    """Codes of up to 32 bits as the bytes of ``n`` scans: ones to the end of the last, and a zero after each 255.
+
+    ``owner`` is the scan of each code; codes of one scan stand together, scans in order.
+    """
+    bits = np.bincount(owner, length, n).astype(np.int64)
+    size = (bits + 7) // 8
+    base = 8 * (np.cumsum(size) - size)
+    start = np.cumsum(length) - length + (base - (np.cumsum(bits) - bits))[owner]
+    spare = 8 * size - bits
+    start, length, code = np.concatenate([start, base + bits]), np.concatenate([length, spare]), np.concatenate([code, (1 << spare) - 1])
     at, left = start >> 5, 64 - (start & 31) - length
     words = code << np.minimum(left, 63)  # a code of no bits is 0
     # each word of 32 bits is a sum of codes that share no bit
-    size = total // 32 + 2
-    high = np.bincount(at, (words >> 32) & 0xFFFFFFFF, size) + np.bincount(at + 1, words & 0xFFFFFFFF, size)
-    spare = -total % 8
-    high[total >> 5] += ((1 << spare) - 1) << (31 - (total + spare - 1 & 31)) if spare else 0
-    return high.astype(">u4").tobytes()[: (total + spare) // 8].replace(b"\xff", b"\xff\x00")
+    many = int(size.sum()) // 4 + 2
+    both = np.bincount(at, (words >> 32) & 0xFFFFFFFF, many + 1) + np.bincount(at + 1, words & 0xFFFFFFFF, many + 1)
+    data = both.astype(">u4").tobytes()
+    return [data[a : a + k].replace(b"\xff", b"\xff\x00") for a, k in zip((base // 8).tolist(), size.tolist(), strict=True)]
 
 
 def _coded(symbol: np.ndarray, value: np.ndarray, size: np.ndarray, table) -> tuple[np.ndarray, np.ndarray]:
@@ -400,8 +490,8 @@ def _coded(symbol: np.ndarray, value: np.ndarray, size: np.ndarray, table) -> tu
     return (table[1][symbol] << size) | np.where(value < 0, value + (1 << size) - 1, value), table[2][symbol] + size
 
 
-def _ac_scan(values: np.ndarray) -> bytes:
-    """The first scan of a band, a row a block: runs and sizes, and ends of band over as many blocks as they hold."""
+def _ac_scans(values: np.ndarray, counts: np.ndarray) -> list[bytes]:
+    """The first scans of a band, a row a block and ``counts`` blocks each: runs and sizes, and ends of band over as many blocks as they hold."""
     n, band = values.shape
     flat = values.ravel()
     at = np.flatnonzero(flat)
@@ -412,13 +502,17 @@ def _ac_scan(values: np.ndarray) -> bytes:
     size = _SIZE[np.abs(value)]
     code, length = _coded((run & 15) << 4 | size, value, size, _AC)
     order = [4 * at + 1]
-    # blocks that end in zeros; the end of band of one counts the empty blocks after it too
+    # blocks that end in zeros; the end of band of one counts the empty blocks after it too, up to the end of its scan
     last = np.full(n, -1)
     last[block] = at % band
-    starts = np.flatnonzero((last < band - 1) & ~((last < 0) & (np.concatenate([[band], last[:-1]]) < band - 1)))
+    edges = np.cumsum(counts)
+    follows = np.concatenate([[False], last[:-1] < band - 1])
+    follows[edges[:-1]] = False
+    starts = np.flatnonzero((last < band - 1) & ~((last < 0) & follows))
     if len(starts):
         full = np.append(np.flatnonzero(last >= 0), n)
-        part, place = full[np.searchsorted(full, starts, "right")] - starts, 4 * (starts * band + np.maximum(last[starts], 0)) + 2
+        part = np.minimum(full[np.searchsorted(full, starts, "right")], edges[np.searchsorted(edges, starts, "right")]) - starts
+        place = 4 * (starts * band + np.maximum(last[starts], 0)) + 2
         while (part > 32767).any():
             more = part > 32767
             part, place = np.concatenate([np.minimum(part, 32767), part[more] - 32767]), np.concatenate([place, place[more]])
@@ -430,8 +524,10 @@ def _ac_scan(values: np.ndarray) -> bytes:
         zeros = np.repeat(4 * at, run >> 4)
         code, length = np.concatenate([code, np.full(len(zeros), _AC[1][0xF0])]), np.concatenate([length, np.full(len(zeros), _AC[2][0xF0])])
         order.append(zeros)
-    sort = np.argsort(np.concatenate(order), kind="stable")
-    return _packed(code[sort], length[sort])
+    order = np.concatenate(order)
+    sort = np.argsort(order, kind="stable")
+    owner = np.repeat(np.arange(len(counts)), counts)[order[sort] // (4 * band)]
+    return _packed(code[sort], length[sort], owner, len(counts))
 
 
 @lru_cache(maxsize=1)
@@ -454,51 +550,74 @@ def _fixes() -> tuple[np.ndarray, np.ndarray]:
     return code, length
 
 
-def _refine_scan(values: np.ndarray) -> bytes:
+def _refine_scans(values: np.ndarray, counts: np.ndarray) -> list[bytes]:
     """The lowest bits of coefficients of which all others are known."""
     big = np.abs(values)
     state = np.where(big > 1, 3 + (big & 1), np.where(values > 0, 1, np.where(values < 0, 2, 0)))
     code, length = _fixes()
     at = state @ 5 ** np.arange(REFINED)
-    return _packed(code[at], length[at])
+    return _packed(code[at], length[at], np.repeat(np.arange(len(counts)), counts), len(counts))
 
 
-def pack(payload: bytes) -> bytes:
-    """A progressive 4:2:0 JPEG whose quantised coefficients are the bytes of ``payload``, 64 to a block.
+@lru_cache(maxsize=512)
+def _raster(down: int, across: int) -> np.ndarray:
+    """The luma blocks of an image row by row, as numbers of units and of blocks in these."""
+    return np.arange(down * across * 4).reshape(down, across, 2, 2).transpose(0, 2, 1, 3).ravel()
+
+
+def _heading(kind: int, ids: tuple[int, ...], tables: int, first: int, last: int, high: int, low: int) -> bytes:
+    return _segment(kind, bytes([len(ids), *(x for i in ids for x in (i, tables)), first, last, high << 4 | low]))
+
+
+def pack_all(payloads: list[bytes]) -> list[bytes]:
+    """Progressive 4:2:0 JPEGs whose quantised coefficients are the bytes of each payload, 64 to a block.
 
     Frequent bytes become small coefficients, the space 0. Blocks fill units of four luma and two chroma blocks in a
     nearly square image; the count of the payload's blocks stands in a comment. Scans: DC without its lowest bit, luma
-    AC 1 to 5 without theirs, luma AC 6 to 63, chroma AC whole, the lowest bits of DC and of luma AC 1 to 5.
+    AC 1 to 5 without theirs, luma AC 6 to 63, chroma AC whole, the lowest bits of DC and of luma AC 1 to 5. Each
+    file is what it would be alone.
     """
-    n = len(payload) // 64
-    units = max(1, -(-n // 6))
-    across = int(np.ceil(np.sqrt(units)))
-    down = -(-units // across)
-    value = np.zeros(down * across * 384, np.int32)
-    value[: len(payload)] = _VALUE[np.frombuffer(payload, np.uint8)]
-    value = value.reshape(down, across, 6, 64)
-    luma = value[:, :, :4].reshape(down, across, 2, 2, 64).transpose(0, 2, 1, 3, 4).reshape(-1, 64)
-    out = [b"\xff\xd8", _segment(0xFE, b"blocks %d" % n), _segment(0xDB, b"\0" + bytes([8] * 64))]
-    out.append(_segment(0xC2, struct.pack(">BHHB", 8, down * 16, across * 16, 3) + bytes([1, 0x22, 0, 2, 0x11, 0, 3, 0x11, 0])))
-    out.append(_segment(0xC4, b"".join(where + counts + symbols for where, ((counts, symbols), _, _) in ((b"\x00", _DC), (b"\x10", _AC), (b"\x11", _FIX)))))
-    scan = lambda ids, tables, first, last, high, low: _segment(0xDA, bytes([len(ids), *(x for i in ids for x in (i, tables)), first, last, high << 4 | low]))
-
-    first = value[:, :, :, 0].reshape(-1, 6).astype(np.int64)
+    units = [max(1, -(-len(p) // 384)) for p in payloads]
+    across = [math.isqrt(u - 1) + 1 for u in units]
+    down = [-(-u // a) for u, a in zip(units, across, strict=True)]
+    counts = np.array([a * b for a, b in zip(down, across, strict=True)])
+    begin = np.cumsum(counts) - counts
+    value = np.zeros(int(counts.sum()) * 384, np.int32)
+    for p, at in zip(payloads, (begin * 384).tolist(), strict=True):
+        value[at : at + len(p)] = _VALUE[np.frombuffer(p, np.uint8)]
+    value = value.reshape(-1, 6, 64)
+    luma = value[:, :4].reshape(-1, 64)[np.concatenate([_raster(d, a) + 4 * b for d, a, b in zip(down, across, begin.tolist(), strict=True)])]
+
+    first = value[:, :, 0].astype(np.int64)
     half = first >> 1
     step = np.empty_like(half)
     step[:, :4] = np.diff(half[:, :4].ravel(), prepend=0).reshape(-1, 4)
     step[:, 4:] = np.diff(half[:, 4:], axis=0, prepend=0)
-    step = step.ravel()
+    step[begin, 0], step[begin, 4:] = half[begin, 0], half[begin, 4:]
+    step, owner = step.ravel(), np.repeat(np.arange(len(payloads)), 6 * counts)
     size = _SIZE[np.abs(step)]
-    out += [scan((1, 2, 3), 0x00, 0, 0, 0, 1), _packed(*_coded(size, step, size, _DC))]
-    edge = REFINED + 1
-    near = luma[:, 1:edge]
-    out += [scan((1,), 0x00, 1, REFINED, 0, 1), _ac_scan(np.sign(near) * (np.abs(near) >> 1)), scan((1,), 0x00, edge, 63, 0, 0), _ac_scan(luma[:, edge:])]
-    for i in (4, 5):
-        out += [scan((i - 2,), 0x00, 1, 63, 0, 0), _ac_scan(value[:, :, i, 1:].reshape(-1, 63))]
-    low = (first & 1).ravel()
-    out += [scan((1, 2, 3), 0x00, 0, 0, 1, 0), _packed(low, np.ones_like(low)), scan((1,), 0x01, 1, REFINED, 1, 0), _refine_scan(near)]
-    return b"".join([*out, b"\xff\xd9"])
+    low, near, edge = (first & 1).ravel(), luma[:, 1 : REFINED + 1], REFINED + 1
+    scans = [
+        (_heading(0xDA, (1, 2, 3), 0x00, 0, 0, 0, 1), _packed(*_coded(size, step, size, _DC), owner, len(payloads))),
+        (_heading(0xDA, (1,), 0x00, 1, REFINED, 0, 1), _ac_scans(np.sign(near) * (np.abs(near) >> 1), 4 * counts)),
+        (_heading(0xDA, (1,), 0x00, edge, 63, 0, 0), _ac_scans(luma[:, edge:], 4 * counts)),
+        (_heading(0xDA, (2,), 0x00, 1, 63, 0, 0), _ac_scans(value[:, 4, 1:], counts)),
+        (_heading(0xDA, (3,), 0x00, 1, 63, 0, 0), _ac_scans(value[:, 5, 1:], counts)),
+        (_heading(0xDA, (1, 2, 3), 0x00, 0, 0, 1, 0), _packed(low, np.ones_like(low), owner, len(payloads))),
+        (_heading(0xDA, (1,), 0x01, 1, REFINED, 1, 0), _refine_scans(near, 4 * counts)),
+    ]
+    quantiser = _segment(0xDB, b"\0" + bytes([8] * 64))
+    tables = _segment(0xC4, b"".join(where + counts + symbols for where, ((counts, symbols), _, _) in ((b"\x00", _DC), (b"\x10", _AC), (b"\x11", _FIX))))
+    out = []
+    for i, (p, d, a) in enumerate(zip(payloads, down, across, strict=True)):
+        frame = _segment(0xC2, struct.pack(">BHHB", 8, d * 16, a * 16, 3) + bytes([1, 0x22, 0, 2, 0x11, 0, 3, 0x11, 0]))
+        coded = [x for heading, datas in scans for x in (heading, datas[i])]
+        out.append(b"".join([b"\xff\xd8", _segment(0xFE, b"blocks %d" % (len(p) // 64)), quantiser, frame, tables, *coded, b"\xff\xd9"]))
+    return out
+
+
+def pack(payload: bytes) -> bytes:
+    return pack_all([payload])[0]
 
 
 def unpack(image: Image) -> bytes:
@@ -554,18 +673,31 @@ def stored_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     counts as empty: 64 zero bytes. Equal texts give equal values. Empty tables give empty results.
     """
 
-    def one(text: str) -> tuple:
-        data = text.encode()
-        media = pack(data + bytes(-len(data) % 64 or 64 * (not data)))
-        image = decode(media)
-        payload = unpack(image)
-        return len(data), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(media), hashlib.sha256(media).hexdigest(), feature(image.rgb())
+    def many(texts: list[str]) -> list[tuple]:
+        datas = [t.encode() for t in texts]
+        files = pack_all([d + bytes(-len(d) % 64 or 64 * (not d)) for d in datas])
+        images = decode_all(files)
+        rows = []
+        for data, file, image, rgb in zip(datas, files, images, tensors_of(images), strict=True):
+            payload = unpack(image)
+            rows.append((len(data), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(file), hashlib.sha256(file).hexdigest(), feature(rgb)))
+        return rows
+
+    def together(texts: list[str]) -> Iterator[list[str]]:
+        part: list[str] = []
+        for t in texts:
+            part.append(t)
+            if len(part) == 64 or sum(map(len, part)) > 1 << 17:
+                yield part
+                part = []
+        if part:
+            yield part
 
     names = ["n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = pd.DataFrame([one(t) for t in b["text"]], columns=names)
+            out = pd.DataFrame([row for part in together(b["text"].tolist()) for row in many(part)], columns=names)
             yield pd.concat([b[["doc_id"]].reset_index(drop=True), out], axis=1)
 
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
