@@ -7,11 +7,14 @@ years the tables span; exchanges own the odd suppliers. Every row of the tables
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .sources.store import written
+
 DAY = 86400
 #: Retention border of the pruning queries: 1997-01-01, in seconds.
 BORDER = 852076800
@@ -35,20 +38,43 @@ def concat(*parts: str | Column) -> Column:
     return F.concat(*(F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts))
 
 
+def wallet_of(address: str) -> Column:
+    """The address without its month."""
+    return F.regexp_replace(address, "m[0-9]{6}$", "")
+
+
 class Relations:
-    """The relations of one directory of tables; each is built when asked for and stays lazy."""
+    """The relations of one directory of tables; each is built when asked for and stays lazy.
+
+    After ``share`` those that several parts of a query need are written once and read back.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.dir = spark, sf_dir
+        self.spark, self.dir, self.shared = spark, sf_dir, False
+        self.made: dict[str, DataFrame] = {}
+
+    def share(self) -> Relations:
+        self.shared = True
+        return self
+
+    def kept(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        if not self.shared:
+            return make()
+        if name not in self.made:
+            self.made[name] = written(make())
+        return self.made[name]
 
     def t(self, name: str) -> DataFrame:
         return table(self.spark, self.dir, name)
 
     def base(self) -> DataFrame:
+        return self.kept("base", self._base)
+
+    def _base(self) -> DataFrame:
         lines = self.t("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate")
         orders, parts = self.t("orders").select("o_orderkey", "o_custkey"), self.t("part").select("p_partkey", "p_brand")
         joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        return joined.withColumns({"m": F.date_format("l_shipdate", "yyyyMM"), "d": seconds("l_shipdate")})
+        return joined.drop("o_orderkey", "p_partkey").withColumns({"m": F.date_format("l_shipdate", "yyyyMM"), "d": seconds("l_shipdate")})
 
     def transfers(self) -> DataFrame:
         b = self.base()
@@ -167,7 +193,7 @@ def sql(body: str) -> str:
                 visit(SQL[name])
 
     visit(body)
-    used = ",\n".join(f"{n} AS ({SQL[n]})" for n in order if n in needed)
+    used = ",\n".join(f"{n} AS MATERIALIZED ({SQL[n]})" for n in order if n in needed)
     if not used:
         return body
     # RECURSIVE allows recursion and asks for none

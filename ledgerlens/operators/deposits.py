@@ -21,6 +21,11 @@ def exchange_deposits(transfers: DataFrame, hot: DataFrame, burn: DataFrame) ->
     return sent.select(F.col("f").alias("address"), "exchange").distinct().join(excluded(hot, burn), "address", "left_anti")
 
 
+def by_address(deposits: DataFrame) -> DataFrame:
+    """``address, exchanges``: the sorted set of exchanges that each wallet deposits to."""
+    return deposits.select("address", "exchange").distinct().groupBy("address").agg(F.array_sort(F.collect_list("exchange")).alias("exchanges"))
+
+
 def deposit_users(transfers: DataFrame, deposits: DataFrame, hot: DataFrame, burn: DataFrame) -> DataFrame:
     """``deposit, usr``: who has sent to a deposit wallet; neither end is a hot or burn wallet."""
     out, no = excluded(hot, burn), senders(transfers, deposits).distinct()

@@ -89,6 +89,21 @@ def numbered(df: DataFrame, *order: Column | str) -> DataFrame:
     return cut.withColumn("_within", within).join(F.broadcast(before), "_range").withColumn("place", F.col("_before") + F.col("_within")).drop("_range", "_before", "_within")
 
 
+def ahead(df: DataFrame, keys: list[str], order: list[str], reach: int, width: int = 8192) -> DataFrame:
+    """With ``ahead``: up to ``reach`` rows of the same ``keys`` that follow in a total order, as an array of structs.
+
+    Rows are numbered by keys and order and cut into blocks of ``width``; the first rows of a block come with the
+    block before too. So a key that holds most rows is spread over as many tasks as it needs.
+    """
+    rows = numbered(df, *keys, *order).withColumn("_block", F.floor(F.col("place") / width))
+    early = rows.where((F.col("place") % width < reach) & (F.col("_block") > 0)).withColumns({"_block": F.col("_block") - 1, "_own": F.lit(False)})
+    both = rows.withColumn("_own", F.lit(True)).unionByName(early)
+    w = W.partitionBy("_block").orderBy("place")
+    same = lambda x: F.when(F.struct(*(x[k] for k in keys)).eqNullSafe(F.struct(*keys)), x)
+    after = F.array_compact(F.array(*(same(F.lead(F.struct(*df.columns), d).over(w)) for d in range(1, reach + 1))))
+    return both.withColumn("ahead", after).where("_own").select(*df.columns, "ahead")
+
+
 def split_by_address(rows: DataFrame, ratio: float, seed: str = "42") -> DataFrame:
     """With ``part``: train for the pairs of the first share of centres in hash order, one at least and not all."""
     centres = numbered(rows.select("x").distinct().withColumn("h", F.md5(F.concat(F.lit(seed), "x"))), "h", "x")
@@ -99,9 +114,16 @@ def split_by_address(rows: DataFrame, ratio: float, seed: str = "42") -> DataFra
 
 
 def split_balanced(rows: DataFrame, ratio: float, seed: str = "42") -> DataFrame:
-    """With ``part``: as many rows of either label train, by hash; all others test."""
-    n = rows.groupBy("label").count()
-    least = n.agg(F.floor(F.min("count") * ratio).alias("n"))
+    """With ``part``: as many rows of either label train, by hash; all others test.
+
+    Where a label has no rows, or too few for any to train, the first share of all rows in hash order trains.
+    """
+    pos, neg = rows.agg(F.count_if("label"), F.count_if(~F.col("label"))).first()
+    each = int(min(pos, neg) * min(1.0, max(0.0, ratio)))
     keyed = rows.withColumn("h", F.md5(F.concat_ws("|", F.lit(seed), "sg", "x", "subx")))
-    parts = [numbered(keyed.where(F.col("label") == value), "h", "sg", "x", "subx") for value in (False, True)]
-    return parts[0].unionByName(parts[1]).join(F.broadcast(least)).withColumn("part", F.when(F.col("place") < F.col("n"), "train").otherwise("test")).drop("n", "h", "place")
+    if each:
+        parts = [numbered(keyed.where(F.col("label") == value), "h", "sg", "x", "subx") for value in (False, True)]
+        placed = parts[0].unionByName(parts[1])
+    else:
+        placed, each = numbered(keyed, "h", "sg", "x", "subx"), int((pos + neg) * min(1.0, max(0.0, ratio)))
+    return placed.withColumn("part", F.when(F.col("place") < each, "train").otherwise("test")).drop("h", "place")

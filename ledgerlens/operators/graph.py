@@ -134,6 +134,21 @@ def two_hop(centres: DataFrame, edges: DataFrame, vertices: DataFrame, degree: D
     return first.select("center", "f", "t").union(second).distinct()
 
 
+def preprocess(sub: DataFrame, most: int = 200) -> DataFrame:
+    """``center, x_address, num_address, members, num_edges`` of the subgraphs of up to ``most`` members.
+
+    Edges without an end don't count. ``x_address`` is the centre's own address: the column of that name where the
+    subgraphs have one and it isn't null, else the centre.
+    """
+    own = F.coalesce("x_address", "center") if "x_address" in sub.columns else F.col("center")
+    edges = sub.where("f IS NOT NULL AND t IS NOT NULL").withColumn("x_address", own)
+    ends = edges.select("center", F.explode(F.array("f", "t")).alias("a")).distinct()
+    small = ends.groupBy("center").agg(F.count("*").alias("num_address")).where(F.col("num_address") <= most)
+    members = ends.join(small, "center").groupBy("center", "num_address").agg(F.array_sort(F.collect_list("a")).alias("members"))
+    sizes = edges.groupBy("center").agg(F.count("*").alias("num_edges"), F.min("x_address").alias("x_address"))
+    return members.join(sizes, "center").select("center", "x_address", "num_address", "members", "num_edges")
+
+
 def components(edges: DataFrame, cut: Cut, key: list[str] | None = None) -> DataFrame:
     """``address, component`` (with the columns ``key`` before): the smallest address that edges lead to.
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .blocks import latest
+
 
 def merge_events(events: DataFrame) -> DataFrame:
     """``node, kind, name, new_address, block_number``: registered names with their last address, and addresses
@@ -20,17 +21,23 @@ def merge_events(events: DataFrame) -> DataFrame:
     )
 
 
-def reverse_records(events: DataFrame) -> DataFrame:
+def reverse_records(events: DataFrame, step: int = 1024) -> DataFrame:
     """``node, claimed_at, named_at``: each reverse claim with the first name set on its node after it, if any."""
-    order = W.partitionBy("node").orderBy("block_number").rowsBetween(1, W.unboundedFollowing)
-    some = events.where(F.col("event_type").isin("REVERSECLAIMED", "RVERSENAMESET"))
-    after = F.min(F.when(F.col("event_type") == "RVERSENAMESET", F.col("block_number"))).over(order)
-    return some.withColumn("named_at", after).where("event_type = 'REVERSECLAIMED' AND named_at IS NOT NULL").select("node", F.col("block_number").alias("claimed_at"), "named_at")
+    # looking back in blocks counted downwards, from the block after the claim
+    claims = events.where("event_type = 'REVERSECLAIMED'").select("node", (-F.col("block_number") - 1).alias("at"))
+    named = events.where("event_type = 'RVERSENAMESET'").select("node", (-F.col("block_number")).alias("at"), (-F.col("block_number")).alias("value"))
+    met = latest(claims, named, ["node"], step).where("value IS NOT NULL")
+    return met.select("node", (-F.col("at") - 1).alias("claimed_at"), (-F.col("value")).alias("named_at"))
 
 
-def enrich(vertices: DataFrame, names: DataFrame) -> DataFrame:
+def enrich(vertices: DataFrame, names: DataFrame, key: str = "address") -> DataFrame:
     """Vertices that have a name, with it added once to their ``names``."""
-    return vertices.join(names, "address").withColumn("names", F.array_union("names", F.array("name"))).drop("name")
+    return vertices.join(names, key).withColumn("names", F.array_union("names", F.array("name"))).drop("name")
+
+
+def forget(vertices: DataFrame, names: DataFrame, key: str = "address") -> DataFrame:
+    """All vertices, those of ``names`` without the name that stands there."""
+    return vertices.join(names, key, "left").withColumn("names", F.when(F.col("name").isNotNull(), F.array_remove("names", F.col("name"))).otherwise(F.col("names"))).drop("name")
 
 
 #: The rotation of each lane of the permutation, and the feedback of the register behind its constants.

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..fixtures import Relations, concat
+from ..fixtures import Relations, concat, wallet_of
 from ..operators import features
-from ..sources.store import written
 from .graph import logs, subgraphs
 from .registry import query
 from .reuse import reuse
@@ -15,7 +14,7 @@ from .scan import top
 
 
 def entries(r: Relations) -> DataFrame:
-    return written(features.subgraph_logs(subgraphs(r), logs(r)))
+    return r.share().kept("entries", lambda: features.subgraph_logs(subgraphs(r), logs(r)))
 
 
 @query("SELECT sg, f, t, tok, ts, amt, usd FROM sublogs")
@@ -62,7 +61,7 @@ def features_to_literal(r: Relations) -> DataFrame:
 
 def merged(r: Relations) -> DataFrame:
     e = entries(r)
-    return features.merge(features.hours(e, "f"), features.hours(e, "t"))
+    return r.kept("merged", lambda: features.merge(features.hours(e, "f"), features.hours(e, "t")))
 
 
 @query("SELECT sg, address, in_from, in_to FROM merged")
@@ -77,14 +76,15 @@ def time_sum(r: Relations) -> DataFrame:
 
 
 def embeddings(r: Relations) -> DataFrame:
-    e, odd = r.t("embeddings"), F.col("vec_id") % 2 == 1
-    own = concat("p", F.col("vec_id"), "m199506")
-    return e.select(F.when(odd, own).alias("sg"), F.when(odd, own).otherwise(concat("c", F.col("vec_id"), "m199506")).alias("address"), "embedding")
+    """Vectors of the members' wallets in every month: those with odd numbers hold in their own subgraph only."""
+    odd = F.col("vec_id") % 2 == 1
+    wallets = r.t("embeddings").select(F.when(odd, concat("p", F.col("vec_id"))).otherwise(concat("c", F.col("vec_id"))).alias("wallet"), odd.alias("own"), "embedding")
+    members = merged(r).select("address", wallet_of("address").alias("wallet")).distinct()
+    return members.join(wallets, "wallet").select(F.when(F.col("own"), F.col("address")).alias("sg"), "address", "embedding")
 
 
-@query("""WITH e AS (SELECT CASE WHEN vec_id % 2 = 1 THEN 'p' || vec_id || 'm199506' END AS sg,
-  CASE WHEN vec_id % 2 = 1 THEN 'p' ELSE 'c' END || vec_id || 'm199506' AS address, embedding[1] AS x FROM embeddings)
-SELECT m.sg, m.address, round(CAST(e.x AS DOUBLE), 6) AS first_value FROM merged m LEFT JOIN e ON m.address = e.address AND (e.sg IS NULL OR e.sg = m.sg)""")
+@query("""WITH e AS (SELECT CASE WHEN vec_id % 2 = 1 THEN 'p' ELSE 'c' END || vec_id AS wallet, vec_id % 2 = 1 AS own, embedding[1] AS x FROM embeddings)
+SELECT m.sg, m.address, round(CAST(e.x AS DOUBLE), 6) AS first_value FROM merged m LEFT JOIN e ON regexp_replace(m.address, 'm[0-9]{6}$', '') = e.wallet AND (NOT e.own OR m.address = m.sg)""")
 def attach_embeddings(r: Relations) -> DataFrame:
     met = features.attach_embeddings(merged(r).select("sg", "address"), embeddings(r))
     return met.select("sg", "address", F.round(F.get("embedding", 0).cast("double"), 6).alias("first_value"))
@@ -101,32 +101,31 @@ def build_pairs(r: Relations) -> DataFrame:
 
 
 def labelled(r: Relations) -> DataFrame:
-    return written(features.label(features.pairs(merged(r)), reuse(r)))
+    return r.share().kept("labelled", lambda: features.label(features.pairs(merged(r)), reuse(r)))
 
 
 @query("SELECT sg, x, subx, label FROM lp")
 def label_pairs(r: Relations) -> DataFrame:
-    return features.label(features.pairs(merged(r)), reuse(r)).select("sg", "x", "subx", "label")
+    return labelled(r).select("sg", "x", "subx", "label")
 
 
 @query("SELECT label, count(*) AS n FROM lp GROUP BY label")
 def label_counts(r: Relations) -> DataFrame:
-    return features.label(features.pairs(merged(r)), reuse(r)).groupBy("label").agg(F.count("*").alias("n"))
+    return labelled(r).groupBy("label").agg(F.count("*").alias("n"))
 
 
-@query("SELECT sg, x, subx, label FROM lp WHERE x <> '' AND subx <> ''")
+@query("SELECT DISTINCT lp.sg, x, subx, label FROM lp JOIN ffrom f ON lp.sg = f.sg AND (f.address = lp.x OR f.address = lp.subx) WHERE x <> '' AND subx <> ''")
 def dedupe_pairs(r: Relations) -> DataFrame:
-    """Rows written twice are kept once, in a fixed order."""
-    rows = labelled(r).where("x <> '' AND subx <> ''")
-    twice = rows.unionByName(rows)
-    return twice.groupBy("sg", "x", "subx").agg(F.max("label").alias("label"))
+    """Pairs come once for each token value of either member, and are kept once."""
+    rows = features.long_features(labelled(r).where("x <> '' AND subx <> ''"), features.token_usd(entries(r), top(r), "f"))
+    return rows.join(labelled(r), ["sg", "x", "subx"]).groupBy("sg", "x", "subx").agg(F.max("label").alias("label"))
 
 
 @query("""SELECT p.sg, p.x, p.subx, 'X_From_' || token AS feature, usd FROM tp p JOIN ffrom f ON p.sg = f.sg AND p.x = f.address
 UNION ALL SELECT p.sg, p.x, p.subx, 'SubX_From_' || token, usd FROM tp p JOIN ffrom f ON p.sg = f.sg AND p.subx = f.address""")
 def pair_features_long(r: Relations) -> DataFrame:
     e = entries(r)
-    pairs = features.pairs(features.merge(features.hours(e, "f"), features.hours(e, "t")))
+    pairs = features.pairs(merged(r))
     return features.long_features(pairs, features.token_usd(e, top(r), "f"))
 
 

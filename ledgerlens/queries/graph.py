@@ -12,36 +12,36 @@ from .registry import query
 
 
 def admitted(r: Relations) -> DataFrame:
-    return graph.admit(r.transfers(), r.hot(), r.burn())
+    return r.kept("admitted", lambda: graph.admit(r.transfers(), r.hot(), r.burn()))
 
 
 def logs(r: Relations) -> DataFrame:
-    return graph.fold_logs(graph.price(admitted(r), r.prices()), LAST)
+    return r.kept("logs", lambda: graph.fold_logs(graph.price(admitted(r), r.prices()), LAST))
 
 
 def edges(r: Relations) -> DataFrame:
     """The edges alone need neither prices nor the fold."""
-    return graph.edges_of(admitted(r))
+    return r.kept("edges", lambda: graph.edges_of(admitted(r)))
 
 
 def vertices(r: Relations) -> DataFrame:
-    return graph.vertices_of(admitted(r), r.hot())
+    return r.kept("vertices", lambda: graph.vertices_of(admitted(r), r.hot()))
 
 
 def degree(r: Relations) -> DataFrame:
-    return graph.degrees(edges(r))
+    return r.kept("degree", lambda: graph.degrees(edges(r)))
 
 
 def vertices_with_degree(r: Relations) -> DataFrame:
     return vertices(r).join(degree(r), "address")
 
 
-def subgraphs(r: Relations) -> DataFrame:
-    t = r.transfers()
+def subgraphs(r: Relations, bots: DataFrame | None = None) -> DataFrame:
+    """Around each user of an exchange deposit, without the neighbours that are ``bots``."""
+    t = r.share().transfers()
     found = deposits.exchange_deposits(t, r.hot(), r.burn()).select("address").distinct()
     centres = deposits.deposit_users(t, found, r.hot(), r.burn()).select(F.col("usr").alias("center")).distinct()
-    e = written(edges(r))
-    return graph.two_hop(centres, e, written(vertices(r)), written(graph.degrees(e)))
+    return graph.two_hop(centres, edges(r), vertices(r), degree(r), bots=bots)
 
 
 @query("SELECT leg, f, t, tok, ts, amt FROM adm")
@@ -91,6 +91,7 @@ def vertices_to_prune(r: Relations) -> DataFrame:
 
 @query(f"SELECT (SELECT count(*) FROM vert WHERE last_transfer_at < {BORDER}) AS vertices, (SELECT count(*) FROM edges WHERE oldest < {BORDER}) AS edges")
 def prune_counts(r: Relations) -> DataFrame:
+    r.share()
     v = graph.vertices_to_prune(vertices(r), BORDER).select(F.lit("v").alias("kind"))
     e = graph.edges_to_prune(edges(r), BORDER).select(F.lit("e").alias("kind"))
     return v.union(e).agg(F.count_if(F.col("kind") == "v").alias("vertices"), F.count_if(F.col("kind") == "e").alias("edges"))
@@ -98,6 +99,7 @@ def prune_counts(r: Relations) -> DataFrame:
 
 @query(f"SELECT l.f, l.t, l.tok, l.ts FROM logs l WHERE l.f IN (SELECT address FROM vert WHERE last_transfer_at >= {BORDER}) AND l.t IN (SELECT address FROM vert WHERE last_transfer_at >= {BORDER})")
 def prune_vertices(r: Relations) -> DataFrame:
+    r.share()
     return graph.prune_vertices(vertices(r), logs(r), BORDER)[1].select("f", "t", "tok", "ts")
 
 
@@ -114,17 +116,20 @@ _MARKED = f"""SELECT v.address, hot_wallet, number_sent > {BOT_SENT} AND NOT coa
 
 @query(_MARKED)
 def tag_bots(r: Relations) -> DataFrame:
+    r.share()
     return graph.tag_bots(vertices_with_degree(r), r.contracts(), BOT_SENT).select("address", "hot_wallet", "bot", "contract", "number_sent", "number_received")
 
 
 @query(f"SELECT address FROM ({_MARKED}) x JOIN vert v USING (address) WHERE NOT (x.hot_wallet OR bot OR contract) AND last_transfer_at < {BORDER}")
 def vertices_to_refresh(r: Relations) -> DataFrame:
+    r.share()
     tagged = graph.tag_bots(vertices_with_degree(r), r.contracts(), BOT_SENT).withColumn("last_updated_at", F.col("last_transfer_at"))
     return graph.to_refresh(tagged, BORDER).select("address")
 
 
 @query(f"""SELECT address FROM vert WHERE address NOT IN (SELECT f FROM logs WHERE ts >= {BORDER} UNION SELECT t FROM logs WHERE ts >= {BORDER})""")
 def dangling_vertices(r: Relations) -> DataFrame:
+    r.share()
     left = graph.degrees(graph.edges_of(graph.prune_logs(logs(r), BORDER)))
     fresh = vertices(r).join(left, "address", "left").na.fill(0, ["number_sent", "number_received"])
     return graph.dangling(fresh).select("address")
@@ -138,6 +143,7 @@ SELECT y.address, s > {BOT_SENT} AND NOT coalesce(is_contract, false) AS bot, s
   CASE WHEN s > {BOT_SENT} THEN NULL ELSE CAST(s AS BIGINT) END AS number_sent, CAST(r AS BIGINT) AS number_received
 FROM young y JOIN n USING (address) LEFT JOIN contracts c ON y.address = c.address""")
 def prune_graph(r: Relations) -> DataFrame:
+    r.share()
     kept, _ = graph.prune_graph(vertices(r), logs(r), r.contracts(), BORDER, BOT_SENT)
     return kept.select("address", "bot", "contract", "number_sent", "number_received")
 
@@ -147,20 +153,28 @@ def two_hop_subgraph(r: Relations) -> DataFrame:
     return subgraphs(r)
 
 
+@query(f"""WITH bots AS (SELECT address FROM vd JOIN contracts USING (address) WHERE number_sent > {BOT_SENT} UNION SELECT address FROM vd WHERE number_sent > {BOT_SENT}),
+first AS (SELECT * FROM hop1 WHERE o NOT IN (SELECT address FROM bots))
+SELECT DISTINCT center, f, t FROM (SELECT center, f, t FROM first UNION ALL SELECT h.center, i.f, i.t FROM first h JOIN deg d ON h.o = d.address AND d.number_sent < 100 AND d.number_received < 100 JOIN inc i ON h.o = i.a JOIN vert v ON i.o = v.address WHERE NOT v.hot_wallet)""")
+def two_hop_without_bots(r: Relations) -> DataFrame:
+    """First neighbours that send to many addresses are left out, contracts or not."""
+    tagged = graph.tag_bots(vertices_with_degree(r.share()), r.contracts(), BOT_SENT)
+    return subgraphs(r, tagged.where("bot OR contract").select("address"))
+
+
 @query("""WITH v AS (SELECT center, f AS a FROM sub UNION SELECT center, t FROM sub),
-n AS (SELECT center, count(*) AS num_address FROM v GROUP BY center HAVING count(*) <= 200)
-SELECT center, num_address, count(*) AS num_edges FROM n JOIN sub USING (center) GROUP BY ALL""")
+n AS (SELECT center, count(*) AS num_address, string_agg(a, ',' ORDER BY a) AS members FROM v GROUP BY center HAVING count(*) <= 200)
+SELECT center, center AS x_address, num_address, members, count(*) AS num_edges FROM n JOIN sub USING (center) GROUP BY ALL""")
 def subgraph_preprocess(r: Relations) -> DataFrame:
-    s = subgraphs(r).where("f IS NOT NULL AND t IS NOT NULL")
-    sizes = s.groupBy("center").agg(F.count("*").alias("num_edges"))
-    ends = s.select("center", F.explode(F.array("f", "t")).alias("a")).distinct().groupBy("center").agg(F.count("*").alias("num_address"))
-    return ends.where("num_address <= 200").join(sizes, "center")
+    """Subgraphs of up to 200 members with the list of these; the cap holds before the list is made."""
+    return graph.preprocess(written(subgraphs(r))).withColumn("members", F.array_join("members", ","))
 
 
 @query("""WITH e AS (SELECT DISTINCT deposit AS a, usr AS b FROM du UNION SELECT DISTINCT usr, deposit FROM du),
 reach AS (SELECT a, a AS b FROM e UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a)
 SELECT a AS address, min(b) AS component FROM reach GROUP BY a""")
 def components(r: Relations) -> DataFrame:
+    r.share()
     t = r.transfers()
     found = deposits.exchange_deposits(t, r.hot(), r.burn()).select("address").distinct()
     users = deposits.deposit_users(t, found, r.hot(), r.burn())

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..fixtures import Relations, concat
+from ..fixtures import Relations, concat, wallet_of
 from ..operators import names
 from .graph import vertices
 from .registry import query
@@ -25,12 +25,27 @@ def ens_reverse(r: Relations) -> DataFrame:
     return names.reverse_records(r.name_events())
 
 
-@query("""SELECT v.address, 'first,' || n.name AS names FROM vert v JOIN
-  (SELECT DISTINCT 'c' || substr(node, 2) || 'm199506' AS address, name FROM nev WHERE event_type = 'NAMEREGISTERED') n USING (address)""")
+_REGISTERED = "(SELECT DISTINCT 'c' || substr(node, 2) AS wallet, name FROM nev WHERE event_type = 'NAMEREGISTERED')"
+
+
+def registered(r: Relations) -> DataFrame:
+    return r.name_events().where("event_type = 'NAMEREGISTERED'").select(concat("c", F.substring("node", 2, 20)).alias("wallet"), "name").distinct()
+
+
+@query(f"SELECT v.address, 'first,' || n.name AS names FROM vert v JOIN {_REGISTERED} n ON regexp_replace(v.address, 'm[0-9]{{6}}$', '') = n.wallet")
 def ens_enrich(r: Relations) -> DataFrame:
-    known = r.name_events().where("event_type = 'NAMEREGISTERED'").select(concat("c", F.substring("node", 2, 20), "m199506").alias("address"), "name").distinct()
-    held = vertices(r).select("address", F.array(F.lit("first")).alias("names"))
-    return names.enrich(held, known).select("address", F.array_join("names", ",").alias("names"))
+    """A wallet's name holds in every month in which the wallet occurs."""
+    held = vertices(r).select("address", wallet_of("address").alias("wallet"), F.array(F.lit("first")).alias("names"))
+    return names.enrich(held, registered(r), "wallet").select("address", F.array_join("names", ",").alias("names"))
+
+
+@query(f"SELECT v.address, 'first' AS names, n.name IS NOT NULL AS had_name FROM vert v LEFT JOIN {_REGISTERED} n ON regexp_replace(v.address, 'm[0-9]{{6}}$', '') = n.wallet")
+def ens_forget(r: Relations) -> DataFrame:
+    """What enriching has added is gone again, and nothing else."""
+    held = vertices(r).select("address", wallet_of("address").alias("wallet"), F.array(F.lit("first")).alias("names"))
+    named = held.drop("names").join(registered(r), "wallet", "left").withColumn("names", F.when(F.col("name").isNotNull(), F.array(F.lit("first"), F.col("name"))).otherwise(F.array(F.lit("first"))))
+    left = names.forget(named.withColumnRenamed("name", "had"), registered(r), "wallet")
+    return left.select("address", F.array_join("names", ",").alias("names"), F.col("had").isNotNull().alias("had_name"))
 
 
 @query()

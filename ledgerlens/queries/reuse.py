@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..fixtures import Relations
-from ..operators import deposits, graph
-from ..sources.store import written
-from .graph import edges, vertices
+from ..operators import deposits
+from .graph import degree, edges, vertices
 from .registry import query
 from .scan import users
 
@@ -23,27 +22,33 @@ def exchange_deposit_wallets(r: Relations) -> DataFrame:
     return deposits.exchange_deposits(r.transfers(), r.hot(), r.burn())
 
 
+@query("SELECT address, string_agg(exchange, ',' ORDER BY exchange) AS exchanges, count(*) AS n FROM dep GROUP BY address")
+def exchanges_by_deposit(r: Relations) -> DataFrame:
+    """The set of exchanges of each deposit wallet, as one row; there are no more than exchanges."""
+    found = deposits.exchange_deposits(r.share().transfers(), r.hot(), r.burn())
+    return deposits.by_address(found).select("address", F.array_join("exchanges", ",").alias("exchanges"), F.size("exchanges").cast("long").alias("n"))
+
+
 @query("SELECT deposit, count(*) AS num_users, min(usr) AS first_user, max(usr) AS last_user FROM du GROUP BY deposit")
 def deposit_users(r: Relations) -> DataFrame:
-    return users(r).groupBy("deposit").agg(F.count("*").alias("num_users"), F.min("usr").alias("first_user"), F.max("usr").alias("last_user"))
+    return users(r.share()).groupBy("deposit").agg(F.count("*").alias("num_users"), F.min("usr").alias("first_user"), F.max("usr").alias("last_user"))
 
 
 @query("SELECT deposit, count(*) AS num_users, 0 AS updating FROM du GROUP BY deposit")
 def num_users(r: Relations) -> DataFrame:
-    docs = users(r).groupBy("deposit").agg(F.collect_set("usr").alias("user_wallets")).withColumn("updating", F.lit(1))
-    return docs.select("deposit", F.size("user_wallets").cast("long").alias("num_users"), F.when(F.col("updating") == 1, 0).otherwise(F.col("updating")).alias("updating"))
+    """Counts from the pairs themselves, and the mark of a running update cleared."""
+    counts = users(r.share()).groupBy("deposit").agg(F.count("*").alias("num_users"))
+    return counts.withColumn("updating", F.lit(0))
 
 
 @query("SELECT DISTINCT usr FROM du")
 def flatten_users(r: Relations) -> DataFrame:
-    docs = users(r).groupBy("deposit").agg(F.collect_set("usr").alias("user_wallets"))
-    return docs.select(F.explode("user_wallets").alias("usr")).distinct()
+    return users(r.share()).select("usr").distinct()
 
 
 def parts(r: Relations) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Edges, degrees and qualified deposits; the edges are folded once for all three."""
-    e = written(edges(r))
-    d = graph.degrees(e)
+    """Edges, degrees and qualified deposits, from one pass over the transfers."""
+    e, d = edges(r.share()), degree(r)
     return e, d, deposits.qualified(vertices(r).join(d, "address"))
 
 
@@ -71,7 +76,7 @@ def non_bot_users(r: Relations) -> DataFrame:
 
 
 def reuse(r: Relations) -> DataFrame:
-    return deposits.reuse_pairs(written(non_bot_users(r)))
+    return deposits.reuse_pairs(r.kept("non_bot_users", lambda: non_bot_users(r)))
 
 
 @query("SELECT x_address, subx_address, deposit_address FROM pairs")

@@ -7,7 +7,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..fixtures import Relations, seconds
-from ..functions import scalars
+from ..functions import chains, scalars, schedule
+from ..operators import features
+from ..sources import store
 from .registry import query
 
 _T = "(SELECT event_id, CAST(floor(epoch(ts)) AS BIGINT) AS t FROM events)"
@@ -66,8 +68,8 @@ def fn_batches(r: Relations) -> DataFrame:
 
 @query("SELECT user_id, event_id, lead(event_id) OVER (PARTITION BY user_id ORDER BY event_id) AS next_id FROM events QUALIFY next_id IS NOT NULL")
 def fn_pairwise(r: Relations) -> DataFrame:
-    follows = F.lead("event_id").over(W.partitionBy("user_id").orderBy("event_id"))
-    return r.t("events").select("user_id", "event_id", follows.alias("next_id")).where("next_id IS NOT NULL")
+    rows = features.ahead(r.t("events").select("user_id", "event_id"), ["user_id"], ["event_id"], 1)
+    return rows.select("user_id", "event_id", F.get("ahead", 0)["event_id"].alias("next_id")).where("next_id IS NOT NULL")
 
 
 @query("""SELECT c_custkey, '{"k":' || c_custkey || CASE WHEN c_acctbal >= 0 THEN ',"s":"' || c_mktsegment || '"' ELSE '' END || '}' AS doc FROM customer""")
@@ -95,8 +97,8 @@ def fn_sanitize(r: Relations) -> DataFrame:
 @query("""SELECT vec_id, next_id, round(list_dot_product(e, f) / sqrt(list_dot_product(e, e)) / sqrt(list_dot_product(f, f)), 6) AS similarity
 FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e, lead(vec_id) OVER w AS next_id, CAST(lead(embedding) OVER w AS DOUBLE[]) AS f FROM embeddings WINDOW w AS (PARTITION BY label ORDER BY vec_id)) WHERE next_id IS NOT NULL""")
 def cosine(r: Relations) -> DataFrame:
-    w = W.partitionBy("label").orderBy("vec_id")
-    pairs = r.t("embeddings").select("vec_id", F.lead("vec_id").over(w).alias("next_id"), "embedding", F.lead("embedding").over(w).alias("other")).where("next_id IS NOT NULL")
+    rows = features.ahead(r.t("embeddings").select("label", "vec_id", "embedding"), ["label"], ["vec_id"], 1)
+    pairs = rows.select("vec_id", F.get("ahead", 0)["vec_id"].alias("next_id"), "embedding", F.get("ahead", 0)["embedding"].alias("other")).where("next_id IS NOT NULL")
     return pairs.select("vec_id", "next_id", F.round(scalars.cosine(F.col("embedding"), F.col("other")), 6).alias("similarity"))
 
 
@@ -110,7 +112,57 @@ def numeric_coercion(r: Relations) -> DataFrame:
 @query("""WITH p AS (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k FROM events)
 SELECT a.event_type AS left_type, b.event_type AS right_type, CAST(b.k - a.k AS INT) AS distance, count(*) AS n FROM p a JOIN p b ON a.user_id = b.user_id AND b.k - a.k BETWEEN 1 AND 10 GROUP BY ALL""")
 def cooccurrence(r: Relations) -> DataFrame:
-    w = W.partitionBy("user_id").orderBy("event_id")
-    ahead = F.array(*(F.struct(F.lit(d).alias("distance"), F.lead("event_type", d).over(w).alias("right_type")) for d in range(1, 11)))
-    spread = r.t("events").select(F.col("event_type").alias("left_type"), ahead.alias("ahead")).select("left_type", F.inline("ahead"))
-    return spread.where("right_type IS NOT NULL").groupBy("left_type", "right_type", "distance").agg(F.count("*").alias("n"))
+    rows = features.ahead(r.t("events").select("user_id", "event_id", "event_type"), ["user_id"], ["event_id"], 10)
+    spread = rows.select(F.col("event_type").alias("left_type"), F.posexplode("ahead").alias("place", "right")).select("left_type", F.col("right.event_type").alias("right_type"), (F.col("place") + 1).alias("distance"))
+    return spread.groupBy("left_type", "right_type", "distance").agg(F.count("*").alias("n"))
+
+
+@query("SELECT * FROM (VALUES ('bsc', '0x38', 3.0::DOUBLE, 'bep20_abi'), ('ethereum', '0x1', 12, 'erc20_abi'), ('fantom', '0xfa', 1, 'erc20_abi'), ('polygon', '0x89', 2, 'erc20_abi'), ('arbitrum', '0xa4b1', 0.3, 'erc20_abi'), ('optimism', '0xa', NULL, 'erc20_abi'), ('avalanche', '0xa86a', 2, 'erc20_abi')) v(name, chain_id, block_seconds, abi)")
+def chain_table(r: Relations) -> DataFrame:
+    return chains.chains(r.spark)
+
+
+@query("""SELECT l_orderkey, l_linenumber, n AS chain, CASE n WHEN 'bsc' THEN '0x38' WHEN 'ethereum' THEN '0x1' ELSE '0x89' END AS chain_id,
+  CASE WHEN n = 'bsc' THEN '' ELSE n || '_' END || 'blockchain_etl' AS chain_schema FROM (SELECT *, CASE l_suppkey % 4 WHEN 0 THEN 'bsc' WHEN 1 THEN 'ethereum' WHEN 2 THEN 'polygon' END AS n FROM lineitem) WHERE n IS NOT NULL""")
+def transfers_by_chain(r: Relations) -> DataFrame:
+    """Transfers with their chain and its schema; those of a chain that isn't supported go."""
+    k = F.col("l_suppkey") % 4
+    named = F.when(k == 0, "bsc").when(k == 1, "ethereum").when(k == 2, "polygon").otherwise("elsewhere")
+    rows = r.t("lineitem").select("l_orderkey", "l_linenumber", named.alias("chain"))
+    return chains.with_chain(rows, F.col("chain")).select("l_orderkey", "l_linenumber", "chain", "chain_id", "chain_schema")
+
+
+@query("SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN 'cex_hot_wallet' WHEN 1 THEN 'cex_deposit_wallet,cex_hot_wallet' ELSE '' END AS tags FROM customer")
+def wallet_tags(r: Relations) -> DataFrame:
+    """Tags that aren't known are ignored, and repeats are added once."""
+    k = F.col("c_custkey") % 3
+    given = F.when(k == 0, F.array(F.lit("cex_hot_wallet"), F.lit("whale"), F.lit("cex_hot_wallet"))).when(k == 1, F.array(F.lit("cex_deposit_wallet"), F.lit("cex_hot_wallet"))).otherwise(F.array(F.lit("dust")))
+    return r.t("customer").select("c_custkey", F.array_join(chains.known_tags(given), ",").alias("tags"))
+
+
+@query("SELECT event_id, coalesce(c = -32603 OR c BETWEEN -32099 AND -32000, false) AS retriable FROM (SELECT event_id, CASE WHEN event_id % 10 = 0 THEN NULL WHEN event_id % 10 = 1 THEN -32603 ELSE -31900 - event_id % 300 END AS c FROM events)")
+def fn_codes(r: Relations) -> DataFrame:
+    k = F.col("event_id") % 10
+    code = F.when(k == 1, -32603).when(k != 0, -31900 - F.col("event_id") % 300)
+    return r.t("events").select("event_id", chains.retriable(code).alias("retriable"))
+
+
+@query(f"""SELECT event_id, CASE WHEN first <= until THEN (until - first) // 3600 + 1 ELSE 0 END AS n, CASE WHEN first <= until THEN first + (until - first) // 3600 * 3600 END AS last_end
+FROM (SELECT event_id, (t + 3600) // 3600 * 3600 + 60 AS first, t + event_id % 20000 AS until FROM {_T})""")
+def fn_schedule(r: Relations) -> DataFrame:
+    """How many windows of an hour, a minute late, are due within some time, and where the last ends."""
+    due = schedule.ends(F.col("t"), 3600, 60, F.col("t") + F.col("event_id") % 20000)
+    return times(r).select("event_id", due.alias("due")).select("event_id", F.size("due").cast("long").alias("n"), F.when(F.size("due") > 0, F.element_at("due", -1)).alias("last_end"))
+
+
+@query(f"SELECT event_id, t - 1209600 AS low, t - 86400 AS high, CAST(epoch(date_trunc('month', make_timestamp((t + 25200) * 1000000)) + INTERVAL 1 MONTH) AS BIGINT) + 5400 - 25200 AS due FROM {_T}")
+def fn_monthly(r: Relations) -> DataFrame:
+    low, high = schedule.monthly_window(F.col("t"))
+    return times(r).select("event_id", low.alias("low"), high.alias("high"), schedule.next_month(F.col("t")).alias("due"))
+
+
+@query("SELECT c_custkey, c_name AS \"who.name\", c_mktsegment AS \"who.at.segment\", c_acctbal AS balance FROM customer")
+def fn_flatten(r: Relations) -> DataFrame:
+    c = r.t("customer")
+    nested = c.select("c_custkey", F.struct(F.col("c_name").alias("name"), F.struct(F.col("c_mktsegment").alias("segment")).alias("at")).alias("who"), F.col("c_acctbal").alias("balance"))
+    return store.flattened(nested)

@@ -11,27 +11,27 @@ from ..sources import scans, store
 from .graph import edges, logs, vertices, vertices_with_degree
 from .registry import query
 
-#: Block ranges of the scans: any range may be asked for; these hold for the numbers of the test tables.
-LOW, HIGH = 0, 10**9
-
 
 def token_transfers(r: Relations) -> DataFrame:
     return r.transfers().withColumn("block_number", F.expr("l_orderkey div 10"))
 
 
-@query("SELECT l_orderkey // 10 AS block_number, f, t, tok, amt FROM tf WHERE l_orderkey // 10 BETWEEN 0 AND 1000000000")
+@query("SELECT l_orderkey // 10 AS block_number, f, t, tok, amt FROM tf, (SELECT min(l_orderkey // 10) AS lo, max(l_orderkey // 10) AS hi FROM lineitem) WHERE l_orderkey // 10 BETWEEN lo + 1 AND hi - 1")
 def scan_token_transfers(r: Relations) -> DataFrame:
-    return scans.in_range(token_transfers(r), "block_number", LOW, HIGH).select("block_number", "f", "t", "tok", "amt")
+    """A range with both of its ends, here all blocks but the first and the last."""
+    low, high = scans.ends(r.t("lineitem").select(F.expr("l_orderkey div 10").alias("block_number")), "block_number")
+    return scans.in_range(token_transfers(r), "block_number", low + 1, high - 1).select("block_number", "f", "t", "tok", "amt")
 
 
-@query("SELECT hash, block_number, from_address FROM txs WHERE block_number BETWEEN 0 AND 999")
+@query("SELECT hash, block_number, from_address, block_number // 1000 AS bucket FROM txs")
 def scan_bucket(r: Relations) -> DataFrame:
-    return scans.bucket(r.transactions(), "block_number", 0).select("hash", "block_number", "from_address")
+    return scans.bucketed(r.transactions(), "block_number").select("hash", "block_number", "from_address", "bucket")
 
 
-@query("SELECT number, timestamp FROM blocks WHERE number BETWEEN 0 AND 1000000000")
+@query("SELECT number, timestamp FROM blocks WHERE number BETWEEN (SELECT min(number) + 1 FROM blocks) AND (SELECT max(number) - 1 FROM blocks)")
 def scan_blocks(r: Relations) -> DataFrame:
-    return scans.in_range(r.blocks(), "number", LOW, HIGH).select("number", "timestamp")
+    low, high = scans.ends(r.blocks(), "number")
+    return scans.in_range(r.blocks(), "number", low + 1, high - 1).select("number", "timestamp")
 
 
 @query("SELECT DISTINCT f, t FROM tf WHERE t IN (SELECT address FROM hot)")
@@ -91,7 +91,7 @@ def deposit_users_scan(r: Relations) -> DataFrame:
 
 
 def users(r: Relations) -> DataFrame:
-    t = r.transfers()
+    t = r.share().transfers()
     found = deposits.exchange_deposits(t, r.hot(), r.burn()).select("address").distinct()
     return deposits.deposit_users(t, found, r.hot(), r.burn())
 
@@ -116,9 +116,11 @@ def token_ids(r: Relations) -> DataFrame:
     return r.t("part").where("p_type IS NOT NULL").groupBy(F.col("p_brand").alias("tok")).agg(F.max("p_type").alias("market_id"))
 
 
-@query("SELECT event_id, user_id, event_type FROM events WHERE event_id >= 0 AND event_id < 1000000000000")
+@query("SELECT event_id, user_id, event_type FROM events WHERE event_id >= (SELECT min(event_id) + 1 FROM events) AND event_id < (SELECT max(event_id) FROM events)")
 def range_scan(r: Relations) -> DataFrame:
-    return r.t("events").where((F.col("event_id") >= 0) & (F.col("event_id") < 10**12)).select("event_id", "user_id", "event_type")
+    """A range without its end."""
+    low, high = scans.ends(r.t("events"), "event_id")
+    return r.t("events").where((F.col("event_id") >= low + 1) & (F.col("event_id") < high)).select("event_id", "user_id", "event_type")
 
 
 @query("SELECT event_id, user_id FROM events ORDER BY event_id LIMIT 100")
@@ -144,10 +146,11 @@ def contract_flags(r: Relations) -> DataFrame:
     return vertices(r).select("address").join(flags, "address", "left").select("address", F.coalesce("is_contract", F.lit(False)).alias("is_contract"))
 
 
-@query("SELECT DISTINCT hash, block_number, from_address, to_address FROM txs WHERE from_address IN (SELECT 'c' || c_custkey FROM customer WHERE c_nationkey < 5) OR to_address IN (SELECT 'c' || c_custkey FROM customer WHERE c_nationkey < 5)")
+@query("SELECT DISTINCT hash, block_number, from_address, to_address FROM txs WHERE block_number >= (SELECT min(block_number) + 1 FROM txs) AND block_number < (SELECT max(block_number) FROM txs) AND (from_address IN (SELECT 'c' || c_custkey FROM customer WHERE c_nationkey < 5) OR to_address IN (SELECT 'c' || c_custkey FROM customer WHERE c_nationkey < 5))")
 def related_transactions(r: Relations) -> DataFrame:
     wallets = r.t("customer").where("c_nationkey < 5").select(concat("c", F.col("c_custkey")).alias("address"))
-    return scans.related(r.transactions(), wallets, LOW, HIGH).select("hash", "block_number", "from_address", "to_address")
+    low, high = scans.ends(r.transactions(), "block_number")
+    return scans.related(r.transactions(), wallets, low + 1, high).select("hash", "block_number", "from_address", "to_address")
 
 
 @query("SELECT hash, block_number, f, t, amt FROM native")
@@ -162,8 +165,8 @@ def transfers_with_ts(r: Relations) -> DataFrame:
 
 @query("SELECT 'native' AS source, f, t, 'native' AS tok, amt FROM native UNION ALL SELECT 'token', f, t, tok, amt FROM tf")
 def all_transfers(r: Relations) -> DataFrame:
-    native = scans.native_transfers(r.transactions(), r.receipts()).select(F.lit("native").alias("source"), "f", "t", F.lit("native").alias("tok"), "amt")
-    return native.unionByName(r.transfers().select(F.lit("token").alias("source"), "f", "t", "tok", "amt"))
+    native = scans.native_transfers(r.transactions(), r.receipts()).select("f", "t", F.lit("native").alias("tok"), "amt")
+    return scans.sources(["native", "token"], native=native, token=r.transfers().select("f", "t", "tok", "amt"))
 
 
 @query("SELECT f, t, tok, ts, amt FROM logs")

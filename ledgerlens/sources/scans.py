@@ -16,6 +16,11 @@ def bucket(df: DataFrame, column: str, number: int, width: int = 1000) -> DataFr
     return in_range(df, column, number * width, (number + 1) * width - 1)
 
 
+def bucketed(df: DataFrame, column: str, width: int = 1000) -> DataFrame:
+    """All rows with the number of their bucket."""
+    return df.withColumn("bucket", F.expr(f"{column} div {width}"))
+
+
 def by_list(df: DataFrame, keys: DataFrame, key: str, fields: list[str] | None = None) -> DataFrame:
     out = df.join(keys.select(key).distinct(), key, "left_semi")
     return out.select(*fields) if fields else out
@@ -39,8 +44,10 @@ def native_transfers(transactions: DataFrame, receipts: DataFrame) -> DataFrame:
 
 
 def with_time(transfers: DataFrame, blocks: DataFrame) -> DataFrame:
-    """With the time of the block. Every block must be known; ``missing_blocks`` tells which aren't."""
-    return transfers.join(blocks.select(F.col("number").alias("block_number"), F.col("timestamp").alias("ts")), "block_number")
+    """With the time of the block. A block that isn't known is an error; ``missing_blocks`` lists them all."""
+    met = transfers.join(blocks.select(F.col("number").alias("block_number"), F.col("timestamp").alias("ts")), "block_number", "left")
+    unknown = F.raise_error(F.concat(F.lit("no time for block "), F.coalesce(F.col("block_number").cast("string"), F.lit("null")))).cast("long")
+    return met.withColumn("ts", F.when(F.col("ts").isNull(), unknown).otherwise(F.col("ts")))
 
 
 def missing_blocks(transfers: DataFrame, blocks: DataFrame) -> DataFrame:
@@ -64,3 +71,21 @@ def page(df: DataFrame, key: str, offset: int, limit: int) -> DataFrame:
 def slice_after(df: DataFrame, key: str, start, end, limit: int) -> DataFrame:
     """The first rows strictly between two keys: where a run resumes."""
     return df.where((F.col(key) > start) & (F.col(key) < end)).orderBy(key).limit(limit)
+
+
+def ends(df: DataFrame, column: str) -> tuple[int, int]:
+    """Least and largest value, one row of the driver's; an empty range where there are none."""
+    low, high = df.agg(F.min(column), F.max(column)).first()
+    return (1, 0) if low is None else (low, high)
+
+
+def sources(names: list[str], **tables: DataFrame) -> DataFrame:
+    """The union of the named tables in the order of ``names``, each row with its source; an unknown name is an error."""
+    unknown = [n for n in names if n not in tables]
+    if unknown or not names:
+        raise ValueError(f"no such sources: {unknown}")
+    parts = [tables[n].select(F.lit(n).alias("source"), *tables[n].columns) for n in names]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out

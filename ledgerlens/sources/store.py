@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 @cache
@@ -16,8 +18,13 @@ def _own_dir() -> str:
 
 
 def shared_path(spark: SparkSession) -> str:
-    """A new path in the folder that ``spark.checkpoint.dir`` names; a local one only where it is unset."""
+    """A new path in the folder that ``spark.checkpoint.dir`` names.
+
+    Where that is unset a local folder stands in, if all tasks run in the driver's process; it is an error elsewhere.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not root and not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     return f"{(root or _own_dir()).rstrip('/')}/tables/{uuid.uuid4().hex}"
 
 
@@ -27,6 +34,27 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete what ``written`` has kept for ``tables``, once nothing reads it any more."""
+    for df in tables:
+        spark = df.sparkSession
+        for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            at = spark._jvm.org.apache.hadoop.fs.Path(file)
+            if re.search(r"/tables/[0-9a-f]{32}$", file):
+                at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def flattened(df: DataFrame) -> DataFrame:
+    """Fields of nested structs, however deep, as columns with dotted names."""
+
+    def leaves(kind, path: tuple[str, ...]):
+        for f in kind.fields:
+            own = (*path, f.name)
+            yield from leaves(f.dataType, own) if isinstance(f.dataType, StructType) else [own]
+
+    return df.select(*(F.col(".".join(f"`{p}`" for p in path)).alias(".".join(path)) for path in leaves(df.schema, ())))
+
+
 def csv_copy(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write ``df`` as CSV with a header and read it with its own types."""
     path = path or shared_path(df.sparkSession)
@@ -46,9 +74,10 @@ def upsert_add_to_set(old: DataFrame, patch: DataFrame, key: str, sets: list[str
     """As ``upsert_set``, but the columns ``sets`` hold arrays, of which the union is kept, sorted."""
     scalars = upsert_set(old.drop(*sets), patch.drop(*sets), key)
     both = old.select(key, *sets).unionByName(patch.select(key, *sets))
-    empty = lambda c: F.coalesce(F.col(c), F.array().cast(old.schema[c].dataType))
-    joined = both.groupBy(key).agg(*(F.sort_array(F.array_distinct(F.flatten(F.collect_list(empty(c))))).alias(c) for c in sets))
-    return scalars.join(joined, key)
+    for c in sets:  # members are made distinct as rows, and gathered only then
+        members = both.select(key, F.explode_outer(c).alias("member")).distinct()
+        scalars = scalars.join(members.groupBy(key).agg(F.sort_array(F.collect_list("member")).alias(c)), key)
+    return scalars
 
 
 def upsert_merge(old: DataFrame, patch: DataFrame, key: str, sets: tuple[str, ...] = (), cleared: str = "cleared") -> DataFrame:

@@ -30,6 +30,38 @@ def test_stream_equals_batch(spark, tmp_path):
     assert rows(target.read("vertices").select("address", "last_transfer_at", "hot_wallet", "deposit_wallet")) == rows(graph.vertices_of(admitted, r.hot()))
 
 
+def test_batch_runs_twice(spark, tmp_path):
+    """A batch that runs again after its list was written, or in the middle of its files, gives the same tables."""
+    r = Relations(spark, DIR)
+    transfers = written(r.transfers())
+    target = windows.GraphStore(spark, str(tmp_path / "store"), parts=4)
+    fold = windows.fold_batch(target, written(r.hot()), written(r.burn()), written(r.prices()), LAST)
+    batches = [transfers.where(x) for x in ("ts < 852076800", "ts >= 852076800 AND leg = 0", "ts >= 852076800 AND leg = 1 AND f < 'c2'")]
+    fold(batches[0], 0)
+    for k in (1, 2):
+        fold(batches[k], k)
+        once = {name: rows(target.read(name)) for name in ("logs", "vertices")}
+        fold(batches[k], k)
+        assert {name: rows(target.read(name)) for name in ("logs", "vertices")} == once
+    admitted = graph.admit(batches[0].union(batches[1]).union(batches[2]), r.hot(), r.burn())
+    logs = graph.fold_logs(graph.price(admitted, r.prices()), LAST)
+    assert rows(target.read("logs").select("f", "t", "tok", "ts", "amt", "usd")) == rows(logs)
+    assert target._lists() == [1, 2] and target.version(2) == 1
+
+
+def test_once_per_key(spark, tmp_path):
+    """Repeats within the watermark go, also those that a later batch brings; other rows stay."""
+    r, source = Relations(spark, DIR), str(tmp_path / "in")
+    some = written(r.transfers().where("leg = 0"))
+    keys = ["f", "t", "tok", "ts", "l_orderkey", "l_linenumber"]
+    for _ in range(2):
+        some.write.mode("append").parquet(source)
+    stream = windows.once_per_key(spark.readStream.schema(some.schema).option("maxFilesPerTrigger", 1000).parquet(source), keys, "4000 days")
+    q = stream.writeStream.outputMode("append").format("memory").queryName("once").trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert spark.table("once").count() == some.select(*keys).distinct().count()
+
+
 def test_windows(spark, tmp_path):
     r = Relations(spark, DIR)
     path = str(tmp_path / "in")
