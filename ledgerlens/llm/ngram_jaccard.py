@@ -241,7 +241,7 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", join
     again = known.join(twice, "doc_id").select("a", F.col("node").alias("b")).where("a <> b").distinct()
 
     # signatures whose buckets hold different sets, one of them in the band itself
-    each = known.select("node", F.explode("own").alias("sig"), F.lit(True).alias("own")).union(known.select("node", F.explode("below").alias("sig"), F.lit(False).alias("own")))
+    each = known.select("node", "n", F.explode("own").alias("sig"), F.lit(True).alias("own")).union(known.select("node", "n", F.explode("below").alias("sig"), F.lit(False).alias("own")))
     shared = (
         each.groupBy("sig")
         .agg(F.min("node").alias("least"), F.max("node").alias("most"), F.min(F.when(F.col("own"), F.col("node").bitwiseXOR(F.col("sig")))).alias("hub"))
@@ -249,7 +249,7 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", join
         .select("sig", F.col("hub").bitwiseXOR(F.col("sig")).alias("hub"))
     )
     shared = materialize(shared)
-    bucket = materialize(each.join(shared, "sig").groupBy("sig", "node").agg(F.max("own").alias("own"), F.first("hub").alias("hub")))
+    bucket = materialize(each.join(shared, "sig").groupBy("sig", "node").agg(F.max("own").alias("own"), F.first("n").alias("n"), F.first("hub").alias("hub")))
     marked = materialize(known.select("node", "n", *marks).join(bucket.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]))
 
     # every node meets the hubs of its buckets
@@ -259,14 +259,16 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", join
 
     def apart(labels: DataFrame) -> DataFrame:
         """Pairs that share a bucket, may link and are in different components so far."""
-        placed = bucket.select("sig", "node", "own").join(labels, "node", "left").select("sig", "node", "own", F.coalesce("label", "node").alias("label"))
-        placed = materialize(placed.join(marked, "node"))
+        placed = bucket.select("sig", "node", "own", "n").join(labels, "node", "left").select("sig", "node", "own", "n", F.coalesce("label", "node").alias("label"))
+        placed = materialize(placed)
         mixed = materialize(placed.groupBy("sig").agg(F.min("label").alias("l"), F.max("label").alias("h"), F.count("*").alias("nodes"), F.max("n").alias("most")).where("l <> h").select("sig", "nodes", "most"))
-        side = placed.join(mixed, "sig")
-        keys = F.when(F.col("nodes") < CROWD, F.array("sig")).otherwise(_parts(join))
-        side = materialize(side.withColumn("key", F.explode(keys)).select("key", "sig", "node", "own", "label", "n", *marks))
+        side = placed.join(mixed, "sig").drop("n").join(marked, "node")
+        side = side.withColumn("keys", F.when(F.col("nodes") < CROWD, F.array("sig")).otherwise(_parts(join)))
+        side = materialize(side.select(F.explode("keys").alias("key"), "keys", "sig", "node", "own", "label", "n", *marks))
         p, q = side.alias("p"), side.where("own").alias("q")
         fits = (F.col("p.key") == F.col("q.key")) & (F.col("p.sig") == F.col("q.sig")) & (F.col("p.label") != F.col("q.label")) & _may_link(join, "p", "q")
+        # a pair counts at the first key that its nodes share
+        fits = fits & ((F.size("p.keys") == 1) | (F.get(F.array_intersect("p.keys", "q.keys"), 0) == F.col("p.key")))
         return p.join(q, fits).select(F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b")).distinct()
 
     across = materialize(apart(components(star)))
