@@ -133,9 +133,9 @@ def classify(docs: DataFrame, model: Classifier, id_col: str = "doc_id", text_co
     return scored.select("doc_id", "n_tokens", *(F.round(p, 9).alias(f"p_{d}") for p, d in zip(posts, DOMAINS, strict=True)))
 
 
-def rate(pull: list[float]) -> Column:
-    """The rate of a row of posteriors: 1 plus the summed steps ``pull``, projected."""
-    return F.greatest(F.lit(0.0), _unprojected(pull))
+def rate(pull: list[float], most: float = math.inf) -> Column:
+    """The rate of a row of posteriors: 1 plus the summed steps ``pull``, projected between 0 and ``most``."""
+    return F.least(F.greatest(F.lit(0.0), _unprojected(pull)), F.lit(most))
 
 
 def _unprojected(pull: list[float]) -> Column:
@@ -162,22 +162,23 @@ class Rates:
         return max((abs(t - w) / w if w else float(t > 0) for t, w in zip(self.totals, self.wanted, strict=True)), default=0.0)
 
 
-def fit_rates(posts: DataFrame, targets: dict[str, float] = TARGETS, tokens: float | None = None, close: float = 1e-4) -> Rates:
-    """Rates whose expected token totals are ``targets`` (shares) of ``tokens``, by default such that the first domain keeps what it has.
+def fit_rates(posts: DataFrame, targets: dict[str, float] = TARGETS, keep: float = 1.0, most: float = math.inf, close: float = 1e-4) -> Rates:
+    """Rates from 0 to ``most`` whose expected token totals are ``targets`` (shares), of so many tokens that the first domain keeps ``keep`` of its own.
 
-    Least squares with a slight pull towards 1. Where no non-negative rates meet the targets the least residual is
-    reached, and a warning gives it; a domain without documents leaves the others as they would be.
+    Least squares with a slight pull towards 1. Where no such rates meet the targets, steps end when they move no total
+    by a millionth of all; that leaves nearly the least residual, and a warning gives the totals. A domain without
+    documents leaves the others as they would be.
     """
     k = len(DOMAINS)
     p = [F.col(f"p_{d}") for d in DOMAINS]
 
     def sums(pull: np.ndarray, name: str) -> list[Column]:
         # expected totals, the metric of the rows that move freely, and the integral of the rates
-        n, free, y = F.col("n_tokens"), F.col(f"y{name}") > 0, F.col(f"y{name}")
-        part = F.when(free, n * y).otherwise(0.0)
-        own = [F.sum(a * part).alias(f"e{name}_{i}") for i, a in enumerate(p)]
+        n, y = F.col("n_tokens"), F.col(f"y{name}")
+        free, held = (y > 0) & (y <= most), F.least(F.greatest(F.lit(0.0), y), F.lit(most))
+        own = [F.sum(a * n * held).alias(f"e{name}_{i}") for i, a in enumerate(p)]
         own += [F.sum(F.when(free, p[i] * p[j] * n).otherwise(0.0)).alias(f"g{name}_{i}_{j}") for i in range(k) for j in range(i, k)]
-        return [*own, F.sum(part * y / 2).alias(f"o{name}")]
+        return [*own, F.sum(n * held * (y - held / 2)).alias(f"o{name}")]
 
     def at(pulls: list[np.ndarray]) -> list[tuple[float, np.ndarray, np.ndarray]]:
         held = posts.select("n_tokens", *p, *(_unprojected(x.tolist()).alias(f"y{i}") for i, x in enumerate(pulls)))
@@ -189,7 +190,7 @@ def fit_rates(posts: DataFrame, targets: dict[str, float] = TARGETS, tokens: flo
     if totals[0] is None or not sum(totals) > 0:
         return Rates((0.0,) * k, (0.0,) * k, (0.0,) * k)
     share = np.array([targets[d] for d in DOMAINS], float)
-    wanted = share * (tokens if tokens is not None else totals[0] / share[0])
+    wanted = share * keep * totals[0] / share[0]
     near = NEAR_ONE * totals.sum()
 
     def height(whole: float, pull: np.ndarray) -> float:
@@ -198,13 +199,16 @@ def fit_rates(posts: DataFrame, targets: dict[str, float] = TARGETS, tokens: flo
     best = height(whole, pull)
     while (np.abs(totals - wanted) > close * wanted).any():
         slope = totals - wanted + near * pull
-        step = -np.linalg.pinv(metric, rcond=1e-7, hermitian=True) @ slope  # only where the rows that move freely reach
+        step = -np.linalg.pinv(metric + near * np.eye(k), rcond=1e-7, hermitian=True) @ slope  # only where the rows that move freely reach
         tried = [pull + x * step for x in LENGTHS]
         found = at(tried)
         lowest, i = min((height(got[0], x), i) for i, (got, x) in enumerate(zip(found, tried, strict=True)))
         if not lowest < best - 1e-12 * abs(best):
             break
+        moved = np.abs(found[i][1] - totals).max()
         best, pull, (_, totals, metric) = lowest, tried[i], found[i]
+        if moved < 1e-6 * wanted.sum():
+            break
     rates = Rates(tuple(pull.tolist()), tuple(totals.tolist()), tuple(wanted.tolist()))
     if rates.residual > 10 * close:
         warnings.warn(f"no rates meet the targets: expected totals {rates.totals} for {rates.wanted}", stacklevel=2)
@@ -216,7 +220,7 @@ def _posteriors(docs: DataFrame, model: Classifier, text_col: str) -> DataFrame:
     return materialize(classify(docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text")), model, "row").withColumnRenamed("doc_id", "row"))
 
 
-def mix(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", targets: dict[str, float] = TARGETS, tokens: float | None = None) -> DataFrame:
+def mix(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", targets: dict[str, float] = TARGETS, keep: float = 1.0) -> DataFrame:
     """One row for each row of ``docs``: ``doc_id, n_tokens, p_clean, p_low, p_toxic, rate``.
 
     Rates are how often a document shall be drawn; above 1 it repeats. Null and empty texts have no tokens and the
@@ -225,12 +229,14 @@ def mix(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """
     model = fit(docs, labels, id_col, text_col)
     posts = materialize(classify(docs, model, id_col, text_col))
-    return posts.withColumn("rate", F.lit(1.0) if model.blind else F.round(rate(fit_rates(posts, targets, tokens).pull), 6))
+    return posts.withColumn("rate", F.lit(1.0) if model.blind else F.round(rate(fit_rates(posts, targets, keep).pull), 6))
 
 
-def drawn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", targets: dict[str, float] = TARGETS, tokens: float | None = None, labelled_docs: DataFrame | None = None) -> DataFrame:
+def drawn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", targets: dict[str, float] = TARGETS, keep: float = 1.0, most: float = math.inf, labelled_docs: DataFrame | None = None) -> DataFrame:
     """The rows of ``docs`` as often as they are drawn: the whole part of the rate, and once more by the hash of id and text.
 
+    With ``most`` = 1 no row repeats: the bound is part of the fit, not a cut made afterwards.
+
     Equal rows are drawn alike, whatever their id, null among them; null and empty texts are drawn at the rate of
     their posterior; columns of any name are kept as they are; an empty table stays empty. The labels may speak of
     ``labelled_docs``, where ``docs`` are what an earlier step has left of these.
@@ -239,7 +245,7 @@ def drawn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if model.blind:
         return docs
     posts = _posteriors(docs, model, text_col)
-    own = rate(fit_rates(posts, targets, tokens).pull)
+    own = rate(fit_rates(posts, targets, keep, most).pull, most)
     chance = F.pmod(F.xxhash64(F.col("row").getField(id_col).cast("string"), F.col("row").getField(text_col), F.lit("drawn")), F.lit(1 << 30)) / float(1 << 30)
     times = (F.floor(own) + F.when(chance < own - F.floor(own), 1).otherwise(0)).cast("int")
     return posts.select("row", times.alias("times")).where("times > 0").select("row", F.explode(F.expr("sequence(1, times)"))).select("row.*")

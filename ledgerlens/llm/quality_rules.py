@@ -98,27 +98,30 @@ def _repeated_words(hashes: Column, size: int) -> Column:
 
 
 def measure(docs: DataFrame, text_col: str = "text", *, window: int = 5) -> DataFrame:
-    """``docs`` with the counts that the rules read, in columns whose names start with ``q_`` until renamed.
+    """``docs`` with the counts that the rules read, in columns whose names are ``q_`` and those of ``COUNTS``.
 
-    Nulls and empty texts have no words, lines or symbols. Columns of ``docs`` are kept; a clashing ``q_`` column
-    is overwritten.
+    Nulls and empty texts have no words, lines or symbols. Columns of ``docs`` are kept; one that is called like a
+    count is an error.
     """
+    if clash := {f"q_{c}" for c in COUNTS} & set(docs.columns):
+        raise ValueError(f"columns called like counts: {sorted(clash)}")
     text = text_of(text_col)
-    out = docs.withColumns({"q_words": words_of(text), "q_lines": F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))})
-    out = out.withColumns({"q_hashes": F.transform("q_words", lambda w: F.xxhash64(w))})
+    words, lines, hashes = (f"measure_{k}_{'_' * max(map(len, docs.columns))}" for k in ("words", "lines", "hashes"))  # longer than any column
+    out = docs.withColumns({words: words_of(text), lines: F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))})
+    out = out.withColumns({hashes: F.transform(words, lambda w: F.xxhash64(w))})
     return out.withColumns(
         {
-            "q_n_words": F.size("q_words").cast("long"),
+            "q_n_words": F.size(words).cast("long"),
             "q_word_chars": F.char_length(F.regexp_replace(text, SPACE + "+", "")).cast("long"),
             "q_n_symbols": F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("long"),
-            "q_n_lines": F.size("q_lines").cast("long"),
-            "q_n_dup_lines": (F.size("q_lines") - F.size(F.array_distinct("q_lines"))).cast("long"),
-            "q_n_repeat_words": _repeated_words(F.col("q_hashes"), window).cast("long"),
+            "q_n_lines": F.size(lines).cast("long"),
+            "q_n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
+            "q_n_repeat_words": _repeated_words(F.col(hashes), window).cast("long"),
             "q_n_capitals": F.regexp_count(text, F.lit("[A-Z]")).cast("long"),
-            "q_n_stop_words": F.size(F.filter("q_words", lambda w: F.lower(w).isin(STOP_WORDS))).cast("long"),
-            "q_n_stutters": let(F.col("q_hashes"), lambda h: F.size(F.filter(h, lambda x, i: x == F.get(h, i - 1)))).cast("long"),
+            "q_n_stop_words": F.size(F.filter(words, lambda w: F.lower(w).isin(STOP_WORDS))).cast("long"),
+            "q_n_stutters": let(F.col(hashes), lambda h: F.size(F.filter(h, lambda x, i: x == F.get(h, i - 1)))).cast("long"),
         }
-    ).drop("q_words", "q_lines", "q_hashes")
+    ).drop(words, lines, hashes)
 
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals", "n_stop_words", "n_stutters")

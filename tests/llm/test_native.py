@@ -1,5 +1,6 @@
 """Mixing, line dedup, quality rules, URL filters and license scans against plain Python."""
 
+import math
 import re
 from collections import Counter
 
@@ -48,6 +49,14 @@ def test_quality_keeps_columns(spark):
     assert {r["doc_id"] for r in kept.collect()} == {r["doc_id"] for r in quality_rules.judge(d).where("kept").collect()}
 
 
+def test_quality_clashing_columns(spark):
+    d = docs(spark, ODD)
+    counted = quality_rules.measure(d)
+    assert counted.columns[: len(d.columns)] == d.columns and counted.where("q_words <> 'y'").isEmpty()
+    with pytest.raises(ValueError, match="q_n_words"):
+        quality_rules.measure(counted)
+
+
 def test_quality_on_labels(spark):
     d, labels = queries.table(spark, "/root/testdata/sf0.01", "documents"), queries.table(spark, "/root/testdata/sf0.01", "labels")
     n = quality_rules.judge(d).where("NOT base_failed").join(labels, "doc_id").groupBy("quality", "kept").count().collect()
@@ -134,12 +143,12 @@ def test_line_dedup_long(spark):
     assert want[1][0] > 100 and want[3][0] == 19999 and want[5] == (1, "")
 
 
-def nearest_rates(p, n, want, rounds=20000):
+def nearest_rates(p, n, want, most=np.inf, rounds=20000):
     """Rates nearest to 1 with the wanted totals, by plain ascent on the multipliers with a safe fixed step."""
     inverse, pull = np.linalg.inv((p * n[:, None]).T @ p), np.zeros(p.shape[1])
     for _ in range(rounds):
-        pull += inverse @ (want - p.T @ (n * np.maximum(0, 1 + p @ pull)))
-    return np.maximum(0, 1 + p @ pull)
+        pull += inverse @ (want - p.T @ (n * np.clip(1 + p @ pull, 0, most)))
+    return np.clip(1 + p @ pull, 0, most)
 
 
 def test_mixing_rates(spark):
@@ -148,12 +157,12 @@ def test_mixing_rates(spark):
     data = [(i, int(t), *map(float, x)) for i, (t, x) in enumerate(zip(rng.integers(1, 500, 400), p, strict=True))]
     posts = spark.createDataFrame(data, "doc_id long, n_tokens long, p_clean double, p_low double, p_toxic double")
     n = np.array([d[1] for d in data], float)
-    for tokens in (None, 40000.0):
-        rates = mixing.fit_rates(posts, tokens=tokens)
-        want = np.array([mixing.TARGETS[d] for d in mixing.DOMAINS]) * (tokens or (p.T @ n)[0] / mixing.TARGETS["clean"])
-        got = np.array([r["rate"] for r in posts.withColumn("rate", mixing.rate(rates.pull)).orderBy("doc_id").collect()])
-        assert got.min() == 0 and np.abs(p.T @ (n * got) / want - 1).max() < 1e-3 and rates.residual < 1e-3
-        assert np.abs(got - nearest_rates(p, n, want)).max() < 1e-2
+    for keep, most in ((1.0, math.inf), (1.3, math.inf), (0.4, 1.0)):
+        rates = mixing.fit_rates(posts, keep=keep, most=most)
+        want = np.array([mixing.TARGETS[d] for d in mixing.DOMAINS]) * keep * (p.T @ n)[0] / mixing.TARGETS["clean"]
+        got = np.array([r["rate"] for r in posts.withColumn("rate", mixing.rate(rates.pull, most)).orderBy("doc_id").collect()])
+        assert got.min() == 0 and got.max() <= most and np.abs(p.T @ (n * got) / want - 1).max() < 1e-3 and rates.residual < 1e-3
+        assert np.abs(got - nearest_rates(p, n, want, most)).max() < 1e-2
 
 
 def test_mixing_rates_out_of_reach(spark):
@@ -163,7 +172,7 @@ def test_mixing_rates_out_of_reach(spark):
     assert rates.residual == 1 and abs(rates.totals[0] / rates.wanted[0] - 1) < 1e-3 and abs(rates.totals[1] / rates.wanted[1] - 1) < 1e-3
     same = spark.range(5).selectExpr("10L AS n_tokens", "0.5D AS p_clean", "0.25D AS p_low", "0.25D AS p_toxic")
     with pytest.warns(UserWarning, match="no rates meet"):
-        rates = mixing.fit_rates(same, tokens=50.0)
+        rates = mixing.fit_rates(same, keep=1.92)
     p, want = np.array([0.5, 0.25, 0.25]), 50 * np.array([mixing.TARGETS[d] for d in mixing.DOMAINS])
     assert np.allclose(rates.totals, p * (p @ want) / (p @ p), rtol=1e-3)  # the least squares of one direction
 
@@ -182,6 +191,10 @@ def test_mixing_drawn_totals(spark):
     rates = mixing.mix(d, labels).toPandas().set_index("doc_id")
     times = mixing.drawn(d, labels).groupBy("doc_id").count().toPandas().set_index("doc_id")["count"].reindex(rates.index).fillna(0)
     assert ((times - rates["rate"]).abs() < 1 + 1e-6).all() and times.max() > 1
+    once = mixing.drawn(d, labels, keep=0.95, most=1.0).join(labels, "doc_id", "left").toPandas()
+    assert once["doc_id"].is_unique and len(once) < 1000
+    clean = labels.where("quality = 1 AND toxic = 0").count()
+    assert ((once["quality"] == 1) & (once["toxic"] == 0)).sum() > 0.95 * clean and (once["toxic"] == 1).sum() < 0.15 * labels.where("toxic = 1").count()
     for x in mixing.DOMAINS:
         mass, part = rates[f"p_{x}"] * rates["n_tokens"], rates["rate"] % 1
         assert abs((mass * (times - rates["rate"])).sum()) < 5 * np.sqrt((mass**2 * part * (1 - part)).sum())
@@ -223,8 +236,6 @@ def test_licenses(spark):
 
 def scan_by_hand(text, model):
     """``license, probability, n_paragraphs, families`` by loops over lines, spans, n-grams and templates."""
-    import math
-
     import regex
 
     words_of = lambda x: [w for w in regex.split(r"[^\p{L}\p{N}]+", x.lower()) if w]
