@@ -11,32 +11,36 @@ from ledgerlens.llm.queries import vocabulary
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep; null and empty texts go, equal rows stay or go together, null ids stay."""
     return quality_rules.keep_good(docs)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without runs of lines that occurred before; those of which nothing is left go."""
+    """Documents without runs of lines that occurred before; those of which nothing is left go.
+
+    Rows that repeat an id and its text are one occurrence and keep the same lines; null texts stay null.
+    """
     cut = line_dedup.dedup(docs).where(r"line_dedup_removed = 0 OR text RLIKE '[^\\x20\\x09-\\x0D]'")
     return cut.withColumn("n_chars", F.when(F.col("line_dedup_removed") > 0, F.char_length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that links make."""
+    """One document of each group that links make: the smallest id, with all rows of it; null ids and null texts stay."""
     return ngram_jaccard.keep_one(docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as they are drawn at the rates that bring the domains to their target weights.
+    """Documents drawn at the rates that bring the domains to their target weights, each at most once.
 
-    Equal rows, ids and null texts: see ``mixing.drawn``; without labels all stay.
+    The clean domain aims at 0.95 of its tokens, which leaves room to meet the others' weights without repeating any.
+    Equal rows are drawn alike; null ids and texts, and tables without labels: see ``mixing.drawn``.
     """
     labels, raw = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("labels", "documents"))
-    return mixing.drawn(docs, labels, labelled_docs=raw)
+    return mixing.drawn(docs, labels, keep=0.95, most=1.0, labelled_docs=raw)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Tokens of each document: their number and digests of the ids and of the decoded text."""
+    """Tokens of each row: their number and digests of the ids and of the decoded text; a null text has none."""
     return bpe.round_trip(docs, vocabulary())
 
 
