@@ -249,8 +249,11 @@ def paragraphs(docs: DataFrame, model: Model, least_share: float = 0.5, id_col:
     family holds. A window, which may be any fragment, must also have ``least_cover`` of the n-grams of that template.
     """
     spark = docs.sparkSession
-    # text without any of these words has no weighted n-gram, so it is unknown
-    gate = sorted({next(w for w in sorted(g.split(), key=len, reverse=True) if w not in SMALL_WORDS) for g in model.weights})
+    # text without any of these words has no n-gram that speaks for a family rather than against all, so it is unknown
+    bare = max(model.intercepts[:-1]) - model.intercepts[-1]
+    if bare >= math.log(model.threshold / (1 - model.threshold)):
+        raise ValueError("a text without words would have a licence")
+    gate = sorted({next(w for w in sorted(g.split(), key=len, reverse=True) if w not in SMALL_WORDS) for g, w in model.weights.items() if max(w[:-1]) > w[-1]})
     in_templates = sorted({g for _, t in model.templates for g in t})
     own = F.struct(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"))
     lines = docs.select(own.alias("own"), F.posexplode(F.split(text_of(text_col), "\n", -1)).alias("paragraph", "line"))

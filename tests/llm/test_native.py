@@ -240,7 +240,6 @@ def scan_by_hand(text, model):
 
     words_of = lambda x: [w for w in regex.split(r"[^\p{L}\p{N}]+", x.lower()) if w]
     grams_of = lambda ws: set(ws) | {f"{a} {b}" for a, b in zip(ws, ws[1:], strict=False)}
-    gate = {next(w for w in sorted(g.split(), key=len, reverse=True) if w not in license_scans.SMALL_WORDS) for g in model.weights}
     known = {g for _, t in model.templates for g in t}
     families, best, lines, names = model.families[:-1], None, 0, set()
     for line in (text or "").split("\n"):
@@ -256,7 +255,7 @@ def scan_by_hand(text, model):
         found = []
         for kind, start, ws in spans:
             grams = grams_of(ws)
-            if not gate & set(ws) or len(grams & known) < 0.5 * len(grams):
+            if not grams or len(grams & known) < 0.5 * len(grams):
                 continue
             s = [b + sum(model.weights.get(g, (0.0,) * len(model.families))[k] for g in grams) for k, b in enumerate(model.intercepts)]
             e = [math.exp(x - max(s)) for x in s]
