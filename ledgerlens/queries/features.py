@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..fixtures import Relations, concat, wallet_of
-from ..operators import features
+from ..operators import embedding, features
 from .graph import logs, subgraphs
 from .registry import query
 from .reuse import reuse
@@ -27,6 +27,29 @@ def edge_first_claim(r: Relations) -> DataFrame:
     return features.first_claim(subgraphs(r))
 
 
+_MEMBERS = "v AS (SELECT center, f AS a FROM sub UNION SELECT center, t FROM sub)"
+
+
+def walks(r: Relations) -> DataFrame:
+    return r.share().kept("walks", lambda: embedding.walks(subgraphs(r), replicates=1))
+
+
+@query(f"WITH {_MEMBERS}, n AS (SELECT center, count(*) AS n FROM v GROUP BY center) SELECT center AS sg, a AS start, 2 * least(40, n) - 1 AS steps, true AS closed FROM v JOIN n USING (center)")
+def diffusion_walks(r: Relations) -> DataFrame:
+    """What any walk over a connected subgraph has, whichever way it went: its length, and both ends at its start."""
+    closed = (F.get("walk", 0) == F.col("start")) & (F.element_at("walk", -1) == F.col("start"))
+    return walks(r).select("sg", "start", F.size("walk").cast("long").alias("steps"), closed.alias("closed"))
+
+
+@query(f"WITH {_MEMBERS} SELECT DISTINCT a AS address, 24 AS n, true AS found FROM v UNION ALL SELECT 'nobody', 24, false")
+def node_embeddings(r: Relations) -> DataFrame:
+    """Every member of a subgraph gets a vector, and zeros stand in for an address that has none."""
+    found = embedding.embed(walks(r))
+    members = found.select("address").union(r.spark.sql("SELECT 'nobody' AS address"))
+    some = F.exists("embedding", lambda x: x != 0)
+    return embedding.filled(members, found).select("address", F.size("embedding").alias("n"), some.alias("found"))
+
+
 @query("SELECT sg, address, token, usd FROM ffrom")
 def token_usd_features(r: Relations) -> DataFrame:
     return features.token_usd(entries(r), top(r), "f")

@@ -170,12 +170,19 @@ def subgraph_preprocess(r: Relations) -> DataFrame:
     return graph.preprocess(written(subgraphs(r))).withColumn("members", F.array_join("members", ","))
 
 
-@query("""WITH e AS (SELECT DISTINCT deposit AS a, usr AS b FROM du UNION SELECT DISTINCT usr, deposit FROM du),
-reach AS (SELECT a, a AS b FROM e UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a)
-SELECT a AS address, min(b) AS component FROM reach GROUP BY a""")
+_REACH = """e AS (SELECT DISTINCT deposit AS a, usr AS b FROM du UNION SELECT DISTINCT usr, deposit FROM du),
+reach AS (SELECT a, a AS b FROM e UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a)"""
+
+
+@query(f"WITH {_REACH} SELECT a AS address, min(b) AS component FROM reach GROUP BY a")
 def components(r: Relations) -> DataFrame:
-    r.share()
-    t = r.transfers()
+    t = r.share().transfers()
     found = deposits.exchange_deposits(t, r.hot(), r.burn()).select("address").distinct()
     users = deposits.deposit_users(t, found, r.hot(), r.burn())
     return graph.components(users.select(F.col("deposit").alias("f"), F.col("usr").alias("t")), written)
+
+
+@query(f"WITH {_REACH} SELECT component, count(*) AS size FROM (SELECT a, min(b) AS component FROM reach GROUP BY a) GROUP BY component ORDER BY size DESC, component")
+def component_sizes(r: Relations) -> DataFrame:
+    """The largest components first."""
+    return components(r).groupBy("component").agg(F.count("*").alias("size")).orderBy(F.desc("size"), "component")
