@@ -144,8 +144,9 @@ def _unprojected(pull: list[float]) -> Column:
 
 #: Lengths of which the best is taken.
 LENGTHS = (4.0, 2.0, 1.0, 0.25, 1 / 32, 1 / 1024)
-#: Weight of staying near the rates of 1, as a share of all tokens: it picks one of the many solutions.
-NEAR_ONE = 1e-9
+#: Weight of staying near the rates of 1, as a share of all tokens: it picks one of the many solutions. It falls tenfold
+#: from the first to the last, or until, below the third, it no longer keeps the totals from their targets.
+FIRST_NEAR, LAST_NEAR, PLATEAU = 1e-2, 1e-10, 1e-3
 
 
 @dataclass(frozen=True)
@@ -165,9 +166,9 @@ class Rates:
 def fit_rates(posts: DataFrame, targets: dict[str, float] = TARGETS, keep: float = 1.0, most: float = math.inf, close: float = 1e-4) -> Rates:
     """Rates from 0 to ``most`` whose expected token totals are ``targets`` (shares), of so many tokens that the first domain keeps ``keep`` of its own.
 
-    Least squares with a slight pull towards 1. Where no such rates meet the targets, steps end when they move no total
-    by a millionth of all; that leaves nearly the least residual, and a warning gives the totals. A domain without
-    documents leaves the others as they would be.
+    Least squares with a pull towards 1 that falls until the targets are met. Where no such rates meet them, it falls
+    until the residual no longer does; that leaves nearly the least one, and a warning gives the totals. A domain
+    without documents leaves the others as they would be.
     """
     k = len(DOMAINS)
     p = [F.col(f"p_{d}") for d in DOMAINS]
@@ -191,24 +192,25 @@ def fit_rates(posts: DataFrame, targets: dict[str, float] = TARGETS, keep: float
         return Rates((0.0,) * k, (0.0,) * k, (0.0,) * k)
     share = np.array([targets[d] for d in DOMAINS], float)
     wanted = share * keep * totals[0] / share[0]
-    near = NEAR_ONE * totals.sum()
+    size, near, left, now = totals.sum(), FIRST_NEAR, math.inf, totals / wanted
 
     def height(whole: float, pull: np.ndarray) -> float:
-        return whole - pull @ wanted + near / 2 * pull @ pull
-
-    best = height(whole, pull)
-    while (np.abs(totals - wanted) > close * wanted).any():
-        slope = totals - wanted + near * pull
-        step = -np.linalg.pinv(metric + near * np.eye(k), rcond=1e-7, hermitian=True) @ slope  # only where the rows that move freely reach
-        tried = [pull + x * step for x in LENGTHS]
-        found = at(tried)
-        lowest, i = min((height(got[0], x), i) for i, (got, x) in enumerate(zip(found, tried, strict=True)))
-        if not lowest < best - 1e-12 * abs(best):
-            break
-        moved = np.abs(found[i][1] - totals).max()
-        best, pull, (_, totals, metric) = lowest, tried[i], found[i]
-        if moved < 1e-6 * wanted.sum():
+        return whole - pull @ wanted + near * size / 2 * pull @ pull
+
+    while (np.abs(totals - wanted) > close * wanted).any() and near > LAST_NEAR:
+        best = height(whole, pull)
+        while (np.abs(slope := totals - wanted + near * size * pull) > close / 10 * wanted).any():
+            step = -np.linalg.pinv(metric + near * size * np.eye(k), rcond=1e-12, hermitian=True) @ slope
+            tried = [pull + x * step for x in LENGTHS]
+            found = at(tried)
+            lowest, i = min((height(got[0], x), i) for i, (got, x) in enumerate(zip(found, tried, strict=True)))
+            if not lowest < best - 1e-12 * size:
+                break
+            best, pull, (whole, totals, metric) = lowest, tried[i], found[i]
+        before, left, was, now = left, float(np.linalg.norm(totals - wanted)), now, totals / wanted
+        if near < PLATEAU and left > 0.99 * before and np.abs(now - was).max() < 5e-3:
             break
+        near /= 10
     rates = Rates(tuple(pull.tolist()), tuple(totals.tolist()), tuple(wanted.tolist()))
     if rates.residual > 10 * close:
         warnings.warn(f"no rates meet the targets: expected totals {rates.totals} for {rates.wanted}", stacklevel=2)
