@@ -6,7 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.scalars import cosine
 from ..sources.store import written
+from . import encoding
+
+#: Members of a pair: the prefix of their columns, and the column with their address.
+PLACES = (("X", "x"), ("SubX", "subx"))
 
 
 def subgraph_logs(sub: DataFrame, logs: DataFrame) -> DataFrame:
@@ -71,12 +76,32 @@ def label(rows: DataFrame, reuse: DataFrame) -> DataFrame:
     return rows.join(known, ["x", "subx"], "left").withColumn("label", F.coalesce("known", F.lit(False))).drop("known")
 
 
-def long_features(rows: DataFrame, tokens: DataFrame) -> DataFrame:
-    """``sg, x, subx, feature, usd``: token values of both members, with the prefix of their place in the pair."""
-    each = rows.select("sg", "x", "subx", F.inline(F.array(F.struct(F.lit("X_From_").alias("prefix"), F.col("x").alias("address")), F.struct(F.lit("SubX_From_").alias("prefix"), F.col("subx").alias("address")))))
+def long_features(rows: DataFrame, tokens: DataFrame, side: str = "From") -> DataFrame:
+    """``sg, x, subx, feature, usd``: token values of both members, with the prefix of their place in the pair and ``side``."""
+    each = rows.select("sg", "x", "subx", F.inline(F.array(*(F.struct(F.lit(f"{p}_{side}_").alias("prefix"), F.col(c).alias("address")) for p, c in PLACES))))
     return each.join(tokens, ["sg", "address"]).select("sg", "x", "subx", F.concat("prefix", "token").alias("feature"), "usd")
 
 
+def pair_table(rows: DataFrame, sent: DataFrame, received: DataFrame, members: DataFrame, embeddings: DataFrame | None = None, most: int = encoding.MOST) -> DataFrame:
+    """Labelled pairs with everything known of both members, as a wide table whose token columns are found in the data.
+
+    ``sent`` and ``received`` are token values by member, ``members`` has the 24 hours. Names begin with the member's
+    place: ``X_From_<token>``, ``X_To_<token>``, ``X_Time_<hour>``, ``X_Kind`` (the first letter of the address), and the
+    same for ``SubX``; with ``embeddings`` (address, embedding) also ``Similarity``, their cosine.
+    """
+    keys = ["sg", "x", "subx"]
+    long = written(long_features(rows, sent, "From").unionByName(long_features(rows, received, "To")))
+    wide = rows
+    for place, c in PLACES:
+        hours = members.select("sg", F.col("address").alias(c), *(F.coalesce(F.get("time", h), F.lit(0)).cast("double").alias(f"{place}_Time_{h}") for h in range(24)))
+        wide = wide.join(hours, ["sg", c], "left").withColumn(f"{place}_Kind", F.substring(c, 1, 1))
+        if embeddings is not None:
+            wide = wide.join(embeddings.select(F.col("address").alias(c), F.col("embedding").alias(f"_{place}")), c, "left")
+    if embeddings is not None:
+        wide = wide.withColumn("Similarity", F.coalesce(cosine(*(F.col(f"_{place}") for place, _ in PLACES)), F.lit(0.0))).drop(*(f"_{place}" for place, _ in PLACES))
+    return encoding.pivoted(wide.select(*rows.columns, *(c for c in wide.columns if c not in rows.columns)), keys, long, "feature", "usd", most=most)
+
+
 def numbered(df: DataFrame, *order: Column | str) -> DataFrame:
     """With ``place`` from 0 in the given total order, counted by ranges and never gathered in one task.
 

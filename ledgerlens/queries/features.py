@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..fixtures import Relations, concat, wallet_of
+from ..functions.scalars import cosine
 from ..operators import embedding, features
+from ..sources.store import written
 from .graph import logs, subgraphs
 from .registry import query
 from .reuse import reuse
@@ -31,23 +33,39 @@ _MEMBERS = "v AS (SELECT center, f AS a FROM sub UNION SELECT center, t FROM sub
 
 
 def walks(r: Relations) -> DataFrame:
-    return r.share().kept("walks", lambda: embedding.walks(subgraphs(r), replicates=1))
+    return r.share().kept("walks", lambda: embedding.walks(subgraphs(r)))
 
 
-@query(f"WITH {_MEMBERS}, n AS (SELECT center, count(*) AS n FROM v GROUP BY center) SELECT center AS sg, a AS start, 2 * least(40, n) - 1 AS steps, true AS closed FROM v JOIN n USING (center)")
+@query(f"WITH {_MEMBERS}, n AS (SELECT center, count(*) AS n FROM v GROUP BY center) SELECT center AS sg, CAST(s AS INT) AS seed, a AS start, 2 * least(40, n) - 1 AS steps, true AS closed FROM v JOIN n USING (center), range(4) AS r(s)")
 def diffusion_walks(r: Relations) -> DataFrame:
     """What any walk over a connected subgraph has, whichever way it went: its length, and both ends at its start."""
     closed = (F.get("walk", 0) == F.col("start")) & (F.element_at("walk", -1) == F.col("start"))
-    return walks(r).select("sg", "start", F.size("walk").cast("long").alias("steps"), closed.alias("closed"))
+    return walks(r).select("sg", "seed", "start", F.size("walk").cast("long").alias("steps"), closed.alias("closed"))
 
 
-@query(f"WITH {_MEMBERS} SELECT DISTINCT a AS address, 24 AS n, true AS found FROM v UNION ALL SELECT 'nobody', 24, false")
+def vectors(r: Relations) -> DataFrame:
+    return r.share().kept("vectors", lambda: embedding.embed(walks(r)))
+
+
+@query(f"WITH {_MEMBERS} SELECT DISTINCT center AS sg, a AS address, 24 AS n, true AS found, 'diff2vec' AS model, '0x1' AS chain_id, 2 AS radius FROM v")
 def node_embeddings(r: Relations) -> DataFrame:
-    """Every member of a subgraph gets a vector, and zeros stand in for an address that has none."""
-    found = embedding.embed(walks(r))
-    members = found.select("address").union(r.spark.sql("SELECT 'nobody' AS address"))
+    """Every member of every subgraph with its vector and what it was made by."""
     some = F.exists("embedding", lambda x: x != 0)
-    return embedding.filled(members, found).select("address", F.size("embedding").alias("n"), some.alias("found"))
+    return embedding.exported(subgraphs(r), vectors(r), "Ethereum").select("sg", "address", F.size("embedding").alias("n"), some.alias("found"), "model", "chain_id", "radius")
+
+
+@query(f"WITH {_MEMBERS} SELECT count(DISTINCT a) AS addresses, (SELECT count(*) FROM (SELECT DISTINCT f, t FROM sub WHERE f <> t)) AS edges, true AS nearer FROM v")
+def embedding_nearness(r: Relations) -> DataFrame:
+    """Ends of an edge have nearer vectors, on the mean over all edges, than each start with the end of another edge."""
+    v = vectors(r)
+    ends = written(subgraphs(r).where("f <> t").select("f", "t").distinct())
+    side = lambda c: v.select(F.col("address").alias(c), F.col("embedding").alias(f"{c}_v"))
+    known = written(ends.join(side("f"), "f").join(side("t"), "t"))
+    # every edge's end by turns in hash order goes to the start of the edge before it
+    placed = features.numbered(known.withColumn("h", F.xxhash64("f", "t")), "h", "f", "t")
+    moved = placed.select((F.col("place") - 1).alias("place"), F.col("t_v").alias("other_v"))
+    near = placed.join(moved, "place", "left").agg(F.count("*").alias("edges"), (F.avg(cosine(F.col("f_v"), F.col("t_v"))) > F.avg(cosine(F.col("f_v"), F.col("other_v")))).alias("nearer"))
+    return near.select(F.lit(v.count()).cast("long").alias("addresses"), "edges", "nearer")
 
 
 @query("SELECT sg, address, token, usd FROM ffrom")

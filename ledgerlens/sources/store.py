@@ -28,9 +28,10 @@ def shared_path(spark: SparkSession) -> str:
     return f"{(root or _own_dir()).rstrip('/')}/tables/{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame, *by: str) -> DataFrame:
+    """``df`` as a table of its own; a folder for each value of the columns ``by``, which then come last."""
     path = shared_path(df.sparkSession)
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
