@@ -4,7 +4,8 @@ Rolling-hash cuts depend on the bytes around them only, so a passage yields the
 Documents are dealt out by their smallest line hash, which brings copies together; a task keeps the encoded chunks
 that it has met, up to a bound on their text, and encodes each of them once. A cut may split a token, so each join is
 repaired: the text around it is encoded again over a window that doubles until its outer tokens agree with those of
-both chunks. Joins at which no window agrees are given up together, the chunks around them become one and are
+both chunks. Tokens of which any two neighbours are what the encoder makes of both are what it makes of the whole, so
+agreement at one token on either side is enough, also within a run of letters without a blank. Joins at which no window agrees are given up together, the chunks around them become one and are
 encoded anew, until every join agrees exactly.
 """
 
@@ -19,6 +20,7 @@ from functools import cached_property, lru_cache
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -89,6 +91,11 @@ class Codec:
             out[token] = len(self.fast.decode_single_token_bytes(token))
         return out
 
+    @cached_property
+    def reach(self) -> int:
+        """Bytes of the longest special string."""
+        return max((len(t.encode()) for t in self.special), default=0)
+
     @cached_property
     def names(self) -> list[str]:
         """Each id in decimal."""
@@ -128,33 +135,69 @@ def cuts(data: bytes, bits: int = 11, least: int = 512, most: int = 65536) -> li
 
 #: Any text splits before a white-space character that follows another kind, for this pattern and special tokens.
 SAFE = re.compile(rb"(?<=[!-~])[ \n](?=[!-~])")
-#: A cut needs two safe points among so many bytes on either side.
-NEAR = 256
+#: Where text has few of these: a blank beside letters of any script, a place between letters and digits, within digits,
+#: or within a run of letters whose last four no short form such as 've can hold. Only those that begin a token count.
+INNER = regex.compile(r"(?<=[\p{L}\p{N}\p{M}!-~])(?=[ \n][\p{L}\p{N}!-~])|(?<=\p{L}{4})(?=\p{L})|(?<=\p{L})(?=\p{N})|(?<=\p{N})(?=[\p{L}\p{N}])")
+#: A cut needs two safe points, or ``INNER_POINTS`` of the others, among so many bytes on either side.
+NEAR, INNER_POINTS = 256, 4
+
+
+def inner(data: bytes, low: int, high: int) -> list[int]:
+    """Bytes of ``INNER`` points in a part of ``data``, which may begin and end within characters."""
+    low += next((k for k in range(4) if low + k >= high or data[low + k] & 0xC0 != 0x80), 0)
+    part = data[low:high].decode("utf-8", "ignore")
+    points = np.frombuffer(part.encode("utf-32-le"), np.uint32)
+    at = low + np.concatenate([[0], np.cumsum(1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF))])
+    return [int(at[m.start()]) for m in INNER.finditer(part)]
 
 
 class Chunk:
     """An encoded chunk and what its parts give, kept for the next document that holds it."""
 
-    __slots__ = ("c", "data", "ids", "starts", "parts")
+    __slots__ = ("c", "data", "ids", "marks", "parts", "safe")
 
     def __init__(self, data: bytes, c: Codec):
-        self.c, self.data, self.ids, self.starts, self.parts = c, data, c.encode(data.decode()), None, {}
+        self.c, self.data, self.ids, self.marks, self.parts, self.safe = c, data, c.encode(data.decode()), None, {}, {}
+
+    @property
+    def starts(self) -> np.ndarray:
+        """The byte at which each token begins, and the end."""
+        if self.marks is None:
+            self.marks = np.concatenate([[0], np.cumsum(self.c.lengths[np.array(self.ids, np.int32)])])
+        return self.marks
 
     def point(self, k: int) -> tuple[int, int] | None:
-        """Byte and token of the ``k``-th safe point from the start, or from the end where ``k`` is negative."""
-        n, size = abs(k), NEAR * abs(k)
+        """Byte and token of the ``k``-th point from the start, or from the end where ``k`` is negative.
+
+        A side with safe points near its end has only these; another has those inner ones that begin a token, so far
+        from the end that no special string reaches from there to the join.
+        """
+        n, size, side, whole = abs(k), NEAR * abs(k), k > 0, len(self.data)
+
+        def safe_points(size: int) -> list[int]:
+            return [m.start() for m in (SAFE.finditer(self.data, 0, size) if side else SAFE.finditer(self.data, max(0, whole - size)))]
+
+        if side not in self.safe:
+            self.safe[side] = len(safe_points(NEAR)) > 1
         while True:
-            found = [m.start() for m in (SAFE.finditer(self.data, 0, size) if k > 0 else SAFE.finditer(self.data, max(0, len(self.data) - size)))]
+            if self.safe[side]:
+                found = safe_points(size)
+            else:
+                low, high = (self.c.reach, size) if side else (whole - size, whole - self.c.reach)
+                found = [p for p in inner(self.data, max(0, low - 32), min(whole, high)) if p >= low and self.token(p) is not None]
             if len(found) >= n:
                 break
-            if size >= len(self.data):
+            if size >= whole:
                 return None
             size *= 2
-        if self.starts is None:
-            self.starts = np.concatenate([[0], np.cumsum(self.c.lengths[np.array(self.ids, np.int32)])])
         byte = found[k - 1 if k > 0 else k]
+        token = self.token(byte)
+        return None if token is None else (byte, token)
+
+    def token(self, byte: int) -> int | None:
+        """The token that begins at a byte, if one does."""
         token = int(np.searchsorted(self.starts, byte))
-        return (byte, token) if self.starts[token] == byte else None
+        return token if token < len(self.starts) and self.starts[token] == byte else None
 
     def part(self, first: int, last: int) -> tuple[int, str, bytes]:
         """Number of tokens, decimal ids and bytes from one token to another."""
@@ -207,7 +250,7 @@ class Encoder:
         """The text as parts of chunks, from one token to another, and tokens of repaired joins, in order."""
         data = text.encode()
         ends, spread = (cuts(data) if self.c.plain else [len(data)]), 1
-        enough = lambda a, b: len(SAFE.findall(data, a, b)) > 1
+        enough = lambda a, b: len(SAFE.findall(data, a, b)) > 1 or len(inner(data, a, min(b, len(data)))) >= INNER_POINTS
         ends = [e for e in ends[:-1] if enough(max(0, e - NEAR), e) and enough(e, e + NEAR)] + ends[-1:]
         while True:
             parts = [self.chunk(data[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
@@ -279,7 +322,8 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     """One row for each row of ``docs``: ``doc_id, n_tokens, ids_sha256, decoded_sha256``.
 
     A null text counts as empty: no tokens, and the digests of nothing. Repeated rows are encoded once in a task and
-    returned as often as they came; an empty table gives an empty result; other columns are ignored.
+    returned as often as they came; an empty table gives an empty result; other columns are ignored. Texts of any
+    length and script are cut into chunks; one without letters, digits and blanks is encoded whole.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

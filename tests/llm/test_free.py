@@ -69,6 +69,32 @@ def test_chunks_are_reused():
     assert e.encoded - before <= 2 and e.reused >= 5
 
 
+@pytest.mark.parametrize("letters", ["абвгдежзийклмнопрст ", "的一是不了人我在有他这中大来上国", "abcdefghij0123456789", "あいうえおかきくけこ漢字", "אבגדהו ", "कखगघङचछजािीु "])
+def test_chunks_of_any_script(library, letters):
+    """A body that five texts share is encoded about once, in any script and without blanks too."""
+    rng, e = random.Random(letters), bpe.Encoder(queries.vocabulary())
+    body = "".join(rng.choice(letters) for _ in range(40_000))
+    texts = [f"{''.join(rng.choice(letters) for _ in range(50 + 31 * k))}{body}{''.join(rng.choice(letters) for _ in range(700))}" for k in range(5)]
+    for t in texts:
+        assert e.ids(t) == library.encode(t, add_special_tokens=False).ids
+    assert e.reused > 1.5 * e.encoded
+
+
+def test_specials_at_inner_cuts(library, monkeypatch):
+    """Special strings and short forms near cuts in text without blanks."""
+    cuts = bpe.cuts
+    monkeypatch.setattr(bpe, "cuts", lambda data: cuts(data, bits=4, least=16))
+    monkeypatch.setattr(bpe, "INNER_POINTS", 2)
+    monkeypatch.setattr(bpe, "NEAR", 64)
+    rng, e = random.Random(5), bpe.Encoder(queries.vocabulary())
+    parts = ["абв", "слово", "漢字", "word", "'ve", "'s", "<|endoftext|>", "123", "é", "。", "x", "endoftext", "\u00a0", "|>", "<|"]
+    for k in range(150):
+        few = rng.sample(parts, 2 + k % 12)
+        t = "".join(rng.choice(few) for _ in range(rng.randrange(100, 900)))
+        assert e.ids(t) == library.encode(t, add_special_tokens=False).ids
+    assert e.reused > 50
+
+
 def test_repairs_any_text(library):
     rng, e = random.Random(11), bpe.Encoder(queries.vocabulary())
     parts = ["word", " ", "\n", "  ", "'s", "'ll", "é", "12", "!?", "<|endoftext|>", "\t", " x", "ZZZ", "\u00a0", "漢"]
