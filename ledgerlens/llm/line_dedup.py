@@ -69,19 +69,39 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return materialize(later.groupBy("doc_id", "text_hash").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("at")))).alias("removed")))
 
 
+def _without(lines: Column, removed: Column) -> Column:
+    """``lines`` without those numbered in the ascending ``removed``: the stretches between them, each taken once."""
+    ends = F.concat(removed, F.array(F.size(lines)))
+
+    def stretches(at: Column) -> Column:
+        before = lambda k: F.coalesce(F.get(at, k - 1), F.lit(-1))
+        return F.flatten(F.transform(at, lambda end, k: F.slice(lines, before(k) + 2, end - before(k) - 1)))
+
+    return let(ends, stretches)
+
+
+def removed_column(docs: DataFrame, column: str = "line_dedup_removed") -> str:
+    """A name that no column of ``docs`` has, in any case, for the number of lines removed."""
+    taken = {c.lower() for c in docs.columns}
+    while column.lower() in taken:
+        column += "_"
+    return column
+
+
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = 3, min_words: int = 50) -> DataFrame:
-    """``docs`` with repeated runs cut out of the text; its other columns stay as they are.
+    """``docs`` with repeated runs cut out of the text, and a last column ``removed_column(docs)``; other columns stay.
 
     The first occurrence is the one with the smallest id, then text hash, then line; it stays. Lines without a word
     are kept and don't interrupt a run. A null text stays null, a text that goes wholly becomes empty, rows that
-    repeat an id and its text count as one occurrence, null ids come first, and an empty table stays empty.
+    repeat an id and its text count as one occurrence, null ids come first, and an empty table stays empty. Columns may
+    have any names. Work is in proportion to the lines of a text, of which there may be very many.
     """
     gone = repeated_lines(docs, id_col, text_col, min_lines, min_words).select(F.col("doc_id").alias("gone_id"), "text_hash", "removed")
     rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("own_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("own_hash"))
     met = rows.join(gone.hint("merge"), F.col("own_id").eqNullSafe(F.col("gone_id")) & (F.col("own_hash") == F.col("text_hash")), "left")
-    kept = F.array_join(F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains("removed", i)), "\n")
+    kept = let(F.split("text", "\n", -1), lambda lines: F.array_join(_without(lines, F.col("removed")), "\n"))
     text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(kept)
-    return met.select(*(text.alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns), F.coalesce(F.size("removed"), F.lit(0)).alias("line_dedup_removed"))
+    return met.select(*(text.alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns), F.coalesce(F.size("removed"), F.lit(0)).alias(removed_column(docs)))
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -125,6 +125,30 @@ def test_line_dedup(spark):
     assert sorted(r["line_dedup_removed"] for r in twice) == [0, 5, 5]  # the null id comes first; equal rows are one
 
 
+def test_line_dedup_clashing_columns(spark):
+    """Names that the operator itself uses, and the stage of the pipeline on such a table."""
+    import corpus_pipeline
+
+    text = "\n".join(f"line number {k} of a text" for k in range(6))
+    d = spark.createDataFrame([(1, text, "a", 7, 3, "z"), (2, text, "b", 8, 4, None)], "doc_id long, text string, line_dedup_removed string, removed long, n_chars long, own_id string")
+    out = line_dedup.dedup(d)
+    assert out.columns == [*d.columns, "line_dedup_removed_"]
+    assert sorted(map(tuple, out.collect())) == [(1, text, "a", 7, 3, "z", 0), (2, "", "b", 8, 4, None, 6)]
+    assert corpus_pipeline.lines(spark, d, DIR).collect() == [(1, text, "a", 7, 3, "z")]
+
+
+def test_line_dedup_many_lines(spark):
+    """A text of 200,000 lines and its copy with a line in front: time in proportion to the lines."""
+    import time
+
+    text = "\n".join(f"this is line {k}" for k in range(200_000))
+    d = docs(spark, [(1, text), (2, "new\n" + text + "\n\nlast"), (3, "new\nand\nother")])
+    began = time.time()
+    got = {r["doc_id"]: (r["line_dedup_removed"], r["text"]) for r in line_dedup.dedup(d).collect()}
+    assert got == {1: (0, text), 2: (200_000, "new\n\nlast"), 3: (0, "new\nand\nother")}
+    assert time.time() - began < 60
+
+
 def test_line_dedup_long(spark):
     rng = np.random.default_rng(4)
     long = ["\n".join(f"w{x}" for x in rng.integers(0, 12, 3000)) for _ in range(3)]
