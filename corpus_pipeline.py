@@ -20,8 +20,9 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows that repeat an id and its text are one occurrence and keep the same lines; null texts stay null.
     """
-    cut = line_dedup.dedup(docs).where(r"line_dedup_removed = 0 OR text RLIKE '[^\\x20\\x09-\\x0D]'")
-    return cut.withColumn("n_chars", F.when(F.col("line_dedup_removed") > 0, F.char_length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    removed = F.col(line_dedup.removed_column(docs))
+    cut = line_dedup.dedup(docs).where((removed == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    return cut.withColumn("n_chars", F.when(removed > 0, F.char_length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
