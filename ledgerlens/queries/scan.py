@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..fixtures import BORDER, LAST, Relations, concat, seconds
+from ..functions import chains
 from ..operators import deposits, features, graph
-from ..sources import scans, store
+from ..sources import layout, scans, store
+from ..sources.store import shared_path, written
 from .graph import edges, logs, vertices, vertices_with_degree
 from .registry import query
 
@@ -23,9 +25,39 @@ def scan_token_transfers(r: Relations) -> DataFrame:
     return scans.in_range(token_transfers(r), "block_number", low + 1, high - 1).select("block_number", "f", "t", "tok", "amt")
 
 
-@query("SELECT hash, block_number, from_address, block_number // 1000 AS bucket FROM txs")
+_LAID = "SELECT *, CASE WHEN length(from_address) % 2 = 0 THEN '0x1' ELSE '0x38' END AS chain_id FROM txs"
+
+
+def laid(r: Relations) -> str:
+    """Where the transactions stand, laid out by chain and bucket."""
+    path, chain = shared_path(r.spark), F.when(F.length("from_address") % 2 == 0, chains.chain_id("ethereum")).otherwise(chains.chain_id("bsc"))
+    layout.write(r.transactions().withColumn("chain_id", chain), path)
+    return path
+
+
+@query(f"WITH l AS ({_LAID}) SELECT hash, block_number, from_address, chain_id, block_number // 1000 AS bucket FROM l WHERE chain_id = '0x38' AND block_number // 1000 = (SELECT max(block_number) // 1000 FROM txs)")
 def scan_bucket(r: Relations) -> DataFrame:
-    return scans.bucketed(r.transactions(), "block_number").select("hash", "block_number", "from_address", "bucket")
+    """One bucket of one chain, of which alone the folder is read."""
+    last = scans.ends(r.transactions().select("block_number"), "block_number")[1] // layout.WIDTH
+    rows = layout.bucket(r.spark, laid(r), last, chains.chain_id("bsc"))
+    return rows.select("hash", "block_number", "from_address", "chain_id", F.col("bucket").cast("long").alias("bucket"))
+
+
+@query(f"WITH l AS ({_LAID}) SELECT hash, block_number, chain_id FROM l WHERE block_number IN (SELECT number FROM oblocks WHERE timestamp >= (SELECT max(timestamp) - 86400 * 30 FROM oblocks))")
+def scan_at_blocks(r: Relations) -> DataFrame:
+    """Transactions of the blocks of the last 30 days, whose buckets select the folders."""
+    blocks = r.order_blocks()
+    last = scans.ends(blocks, "timestamp")[1]
+    recent = blocks.where(F.col("timestamp") >= last - 86400 * 30).select(F.col("number").alias("block_number"))
+    return layout.at_blocks(r.spark.read.parquet(laid(r)), recent).select("hash", "block_number", "chain_id")
+
+
+@query("SELECT 'orders' AS name, count(*) AS n, min(o_orderkey) AS low, max(o_orderkey) AS high FROM orders UNION ALL SELECT 'lineitem', count(*), min(l_partkey), max(l_partkey) FROM lineitem UNION ALL SELECT 'events', count(*), min(event_id), max(event_id) FROM events")
+def metadata_counts(r: Relations) -> DataFrame:
+    """Counts and ends from the files' footers."""
+    keys = {"orders": "o_orderkey", "lineitem": "l_partkey", "events": "event_id"}
+    found = [(name, *map(int, layout.from_footers(r.spark, f"{r.dir}/{name}.parquet", key))) for name, key in keys.items()]
+    return r.spark.createDataFrame(found, "name string, n long, low long, high long")
 
 
 @query("SELECT number, timestamp FROM blocks WHERE number BETWEEN (SELECT min(number) + 1 FROM blocks) AND (SELECT max(number) - 1 FROM blocks)")
@@ -128,9 +160,11 @@ def parallel_scan_limit(r: Relations) -> DataFrame:
     return scans.page(r.t("events").select("event_id", "user_id"), "event_id", 0, 100)
 
 
-@query("SELECT event_id, user_id FROM events WHERE event_id > 10 AND event_id < 1000000 ORDER BY event_id LIMIT 100")
+@query("SELECT event_id, user_id FROM events, (SELECT min(event_id) AS lo, max(event_id) AS hi FROM events) WHERE event_id > lo + 10 AND event_id < least(hi, lo + 60) ORDER BY event_id LIMIT 100")
 def resume_slice(r: Relations) -> DataFrame:
-    return scans.slice_after(r.t("events").select("event_id", "user_id"), "event_id", 10, 1000000, 100)
+    """What a slice has left after the key at which a run stopped; here its end comes before the limit."""
+    low, high = scans.ends(r.t("events"), "event_id")
+    return scans.slice_after(r.t("events").select("event_id", "user_id"), "event_id", low + 10, min(high, low + 60), 100)
 
 
 @query("SELECT DISTINCT center AS sg, f, t FROM sub")
@@ -214,11 +248,13 @@ def merge_vertices(r: Relations) -> DataFrame:
     return store.merge_vertices(old, new)
 
 
-@query("SELECT f, t, tok, ts, amt, usd FROM logs")
+@query(f"""SELECT f, t, tok, ts, amt, CASE WHEN ts < {BORDER} THEN -1.0 ELSE usd END AS usd FROM logs WHERE ts < {BORDER} + 86400 * 90""")
 def merge_edges(r: Relations) -> DataFrame:
+    """Entries of 90 days upon older ones, on some of which they fall: old entries that no new one has stay, and equal keys take the new values."""
     priced = graph.price(graph.admit(r.transfers(), r.hot(), r.burn()), r.prices())
-    old = graph.fold_logs(priced.where("leg = 0"), LAST)
-    return store.merge_logs(old, graph.fold_logs(priced, LAST))
+    folded = written(graph.fold_logs(priced, LAST))
+    old = folded.where(F.col("ts") < BORDER + 86400 * 45).withColumn("usd", F.lit(-1.0))
+    return store.merge_logs(old, folded.where(F.col("ts").between(BORDER, BORDER + 86400 * 90 - 1)))
 
 
 @query("SELECT CAST(json_extract_string(props, '$.k') AS VARCHAR) AS k, count(*) AS n FROM events GROUP BY 1")

@@ -206,16 +206,6 @@ def test_label_and_metrics(spark):
         table(spark, [("maybe",)], "x string").select(training.mapped_label(F.col("x")).alias("y")).collect()
 
 
-def test_smote_and_model(spark):
-    data = [(float(i % 7) + (3 if i % 10 == 0 else 0), float(i % 3), int(i % 10 == 0)) for i in range(200)]
-    df = table(spark, data, "a double, b double, label int")
-    new = training.oversampled(df, ["a", "b"], "label")
-    assert new.where("label <> 1").isEmpty()
-    assert rows(new, "a", "b") == rows(training.oversampled(df, ["a", "b"], "label"), "a", "b")
-    model = training.train(df, ["a", "b"], "label", rounds=3)
-    assert training.predict(model, df, ["a", "b"]).count() == 200
-
-
 def test_smote_whole(spark):
     """The missing number exactly, each between a minority row and one of its five nearest."""
     made = random.Random(3)

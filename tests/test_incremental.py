@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.fixtures import LAST, Relations
 from ledgerlens.operators import graph
+from ledgerlens.operators.boosting import Growth
 from ledgerlens.plans import pipeline
 from ledgerlens.sources.store import written
 from ledgerlens.streaming import windows
@@ -92,9 +93,16 @@ def test_degrees_add_up(spark):
 def test_pipeline(spark):
     r = Relations(spark, DIR)
     t = pipeline.Tables(written(r.transfers()), r.hot(), r.burn(), r.prices(), r.contracts(), r.t("part").select(F.col("p_brand").alias("tok")).distinct())
-    s = pipeline.Settings(order=LAST, stages=("export", "exchange_deposits", "deposit_users", "subgraphs"))
+    s = pipeline.Settings(order=LAST, stages=("export", "exchange_deposits", "deposit_users", "subgraphs"), growth=Growth(rounds=2, leaves=4), replicates=1)
     made = pipeline.run_all(t, s).made
     assert made["pairs"].where("x_address = subx_address").isEmpty()
     flipped = made["pairs"].select(F.col("subx_address").alias("x_address"), F.col("x_address").alias("subx_address"), "deposit_address")
     assert made["pairs"].exceptAll(flipped).isEmpty()
     assert not made["split"].isEmpty()
+    columns = made["split"].columns
+    assert {"X_Time_0", "SubX_Time_23", "X_Kind", "Similarity"} <= set(columns) and any(c.startswith("SubX_To_") for c in columns)
+    members = made["sub"].select("center", F.explode(F.array("f", "t")).alias("address")).distinct().count()
+    assert made["embeddings"].count() == members and made["embeddings"].where("size(embedding) <> 24 OR chain_id <> '0x1'").isEmpty()
+    m = made["metrics"].first()
+    assert m.tp + m.fp + m.fn + m.tn == made["split"].where("part = 'test'").count() == made["scored"].count()
+    assert len(t.models["model"].trees) == 2 and t.models["encoding"].names == t.models["model"].columns
