@@ -11,16 +11,6 @@ def in_range(df: DataFrame, column: str, low: int, high: int) -> DataFrame:
     return df.where(F.col(column).between(low, high))
 
 
-def bucket(df: DataFrame, column: str, number: int, width: int = 1000) -> DataFrame:
-    """Rows of one bucket of ``width`` numbers."""
-    return in_range(df, column, number * width, (number + 1) * width - 1)
-
-
-def bucketed(df: DataFrame, column: str, width: int = 1000) -> DataFrame:
-    """All rows with the number of their bucket."""
-    return df.withColumn("bucket", F.expr(f"{column} div {width}"))
-
-
 def by_list(df: DataFrame, keys: DataFrame, key: str, fields: list[str] | None = None) -> DataFrame:
     out = df.join(keys.select(key).distinct(), key, "left_semi")
     return out.select(*fields) if fields else out
