@@ -43,14 +43,19 @@ def edges_of(logs: DataFrame) -> DataFrame:
     return logs.groupBy("f", "t").agg(F.min("ts").alias("oldest"), F.max("ts").alias("newest"))
 
 
-def vertices_of(transfers: DataFrame, hot: DataFrame) -> DataFrame:
-    """Last transfer and tags: receivers that are hot, and senders to them, which are deposit wallets."""
+def ends_of(transfers: DataFrame, hot: DataFrame) -> DataFrame:
+    """``address, ts, hot, deposit`` of both ends of each transfer: receivers that are hot, and senders to them, which are deposit wallets."""
     flagged = transfers.join(hot.select(F.col("address").alias("t"), F.lit(True).alias("is_hot")).distinct(), "t", "left")
     flagged = flagged.select("f", "t", "ts", F.coalesce("is_hot", F.lit(False)).alias("is_hot"))
-    ends = flagged.select(F.inline(F.array(
+    return flagged.select(F.inline(F.array(
         F.struct(F.col("f").alias("address"), "ts", F.lit(False).alias("hot"), F.col("is_hot").alias("deposit")),
         F.struct(F.col("t").alias("address"), "ts", F.col("is_hot").alias("hot"), F.lit(False).alias("deposit")),
     )))
+
+
+def vertices_of(transfers: DataFrame, hot: DataFrame) -> DataFrame:
+    """Last transfer and tags of each address."""
+    ends = ends_of(transfers, hot)
     return ends.groupBy("address").agg(F.max("ts").alias("last_transfer_at"), F.bool_or("hot").alias("hot_wallet"), F.bool_or("deposit").alias("deposit_wallet"))
 
 

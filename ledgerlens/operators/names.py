@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,7 +44,7 @@ def forget(vertices: DataFrame, names: DataFrame, key: str = "address") -> DataF
 #: The rotation of each lane of the permutation, and the feedback of the register behind its constants.
 _ROTATIONS = ((0, 36, 3, 41, 18), (1, 44, 10, 45, 2), (62, 6, 43, 15, 61), (28, 55, 25, 21, 56), (27, 20, 39, 8, 14))
 _FEEDBACK = 0x171
-_FULL = (1 << 64) - 1
+_RATE = 136
 
 
 def _constants() -> list[int]:
@@ -58,47 +59,68 @@ def _constants() -> list[int]:
     return out
 
 
-_ROUNDS = _constants()
+_ROUNDS = np.array(_constants(), np.uint64)
 
 
-def _permute(a: list[list[int]]) -> list[list[int]]:
-    turn = lambda x, n: ((x << n) | (x >> (64 - n))) & _FULL
+def _permute(a: np.ndarray) -> np.ndarray:
+    """The permutation of many states at once: ``a[x, y]`` is a lane of each of them."""
+    turn = lambda x, n: x << np.uint64(n) | x >> np.uint64(64 - n) if n else x
+    b = np.empty_like(a)
     for constant in _ROUNDS:
-        c = [a[x][0] ^ a[x][1] ^ a[x][2] ^ a[x][3] ^ a[x][4] for x in range(5)]
-        d = [c[x - 1] ^ turn(c[(x + 1) % 5], 1) for x in range(5)]
-        b = [[0] * 5 for _ in range(5)]
+        c = np.bitwise_xor.reduce(a, axis=1)
+        d = np.roll(c, 1, axis=0) ^ turn(np.roll(c, -1, axis=0), 1)
         for x in range(5):
             for y in range(5):
-                b[y][(2 * x + 3 * y) % 5] = turn(a[x][y] ^ d[x], _ROTATIONS[x][y])
-        a = [[b[x][y] ^ (~b[(x + 1) % 5][y] & b[(x + 2) % 5][y]) for y in range(5)] for x in range(5)]
-        a[0][0] ^= constant
+                b[y, (2 * x + 3 * y) % 5] = turn(a[x, y] ^ d[x], _ROTATIONS[x][y])
+        a = b ^ (~np.roll(b, -1, axis=0) & np.roll(b, -2, axis=0))
+        a[0, 0] ^= constant
     return a
 
 
-def keccak256(data: bytes) -> bytes:
-    """The hash with the original padding, as chains use it."""
-    rate, a = 136, [[0] * 5 for _ in range(5)]
-    padded = bytearray(data + b"\x01" + bytes(-(len(data) + 1) % rate))
-    padded[-1] |= 0x80
-    for at in range(0, len(padded), rate):
-        for i in range(rate // 8):
-            a[i % 5][i // 5] ^= int.from_bytes(padded[at + 8 * i : at + 8 * i + 8], "little")
-        a = _permute(a)
-    return b"".join(a[i % 5][i // 5].to_bytes(8, "little") for i in range(4))
-
-
-def namehash(name: str | None) -> str:
-    node = bytes(32)
-    for label in reversed((name or "").split(".")) if name else ():
-        node = keccak256(node + keccak256(label.encode()))
-    return "0x" + node.hex()
+def keccak256(messages: list[bytes], pad: int = 1) -> list[bytes]:
+    """The hash of each message; ``pad`` 1 is the original padding, as chains use it, and 6 that of the later standard."""
+    padded = []
+    for m in messages:
+        block = bytearray(m + bytes([pad]) + bytes(-(len(m) + 1) % _RATE))
+        block[-1] |= 0x80
+        padded.append(bytes(block))
+    blocks = np.array([len(p) // _RATE for p in padded], np.int64)
+    state = np.zeros((5, 5, len(messages)), np.uint64)
+    for k in range(int(blocks.max(initial=0))):
+        on = np.flatnonzero(blocks > k)
+        lanes = np.frombuffer(b"".join(padded[i][_RATE * k : _RATE * (k + 1)] for i in on), "<u8").reshape(len(on), -1)
+        part = state[:, :, on]
+        for i in range(lanes.shape[1]):
+            part[i % 5, i // 5] ^= lanes[:, i]
+        state[:, :, on] = _permute(part)
+    out = np.ascontiguousarray(state[:4, 0].T.astype("<u8")).tobytes()
+    return [out[32 * i : 32 * i + 32] for i in range(len(messages))]
+
+
+def namehash(names: list[str | None]) -> list[str]:
+    """The hash of each dotted name, from its last label to its first. Names that end alike share the work on what is alike."""
+    labels = [n.split(".")[::-1] if n else [] for n in names]
+    distinct = sorted({x for one in labels for x in one})
+    own = dict(zip(distinct, keccak256([x.encode() for x in distinct]), strict=True))
+    nodes: list[bytes] = [bytes(32)] * len(labels)
+    for depth in range(max(map(len, labels), default=0)):
+        at = [i for i, one in enumerate(labels) if len(one) > depth]
+        parts = [nodes[i] + own[labels[i][depth]] for i in at]
+        new = list(dict.fromkeys(parts))
+        hashed = dict(zip(new, keccak256(new), strict=True))
+        for i, p in zip(at, parts, strict=True):
+            nodes[i] = hashed[p]
+    return ["0x" + n.hex() for n in nodes]
 
 
 def with_namehash(names: DataFrame, column: str = "name") -> DataFrame:
-    """With ``namehash`` of the dotted name; there is no built-in of this hash, so batches go to Python."""
+    """With ``namehash`` of the dotted name; there is no built-in of this hash, so Arrow batches go to numpy.
+
+    Null and empty names have the hash of the root, 32 bytes of 0.
+    """
 
     @F.pandas_udf("string")
     def hashed(s: pd.Series) -> pd.Series:
-        return s.map(namehash)
+        return pd.Series(namehash([x or None for x in s]), index=s.index)
 
     return names.withColumn("namehash", hashed(F.col(column)))

@@ -1,16 +1,9 @@
-"""Incremental runs: a stream of transfers folded into vertex and edge tables, batch by batch."""
+"""Event-time windows and repeats within a watermark."""
 
 from __future__ import annotations
 
-import json
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-
-from ..operators import graph
-from ..sources import store
 
 
 def tumbling_counts(transfers: DataFrame, seconds: int = 900, late: str = "1 hour") -> DataFrame:
@@ -22,92 +15,3 @@ def tumbling_counts(transfers: DataFrame, seconds: int = 900, late: str = "1 hou
 def once_per_key(transfers: DataFrame, keys: list[str], late: str = "1 hour") -> DataFrame:
     """Transfers without repeats of ``keys`` within the watermark."""
     return transfers.withColumn("at", F.timestamp_seconds("ts")).withWatermark("at", late).dropDuplicatesWithinWatermark(keys)
-
-
-class GraphStore:
-    """Vertices and logs as Parquet in parts by a hash of their key; a batch rewrites only the parts it touches.
-
-    Each batch writes its parts below its own number and then, by a rename, a list of where every part stands. It
-    reads what the batches before it have left, never its own files: one that runs again, even after its list was
-    written, gives the same tables. Files that no list of the last ``keep`` batches names are deleted.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, parts: int = 16, keep: int = 2):
-        self.spark, self.path, self.parts, self.keep = spark, path.rstrip("/"), parts, keep
-
-    def _at(self, name: str):
-        at = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-        return at, at.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _lists(self) -> list[int]:
-        at, fs = self._at("lists")
-        return sorted(int(f.getPath().getName()) for f in fs.listStatus(at) if f.getPath().getName().isdigit()) if fs.exists(at) else []
-
-    def version(self, before: int | None = None) -> int | None:
-        """The last batch that is whole, or the last one below ``before``."""
-        return max((v for v in self._lists() if before is None or v < before), default=None)
-
-    def _where(self, version: int) -> dict[str, dict[str, int]]:
-        return json.loads("".join(r[0] for r in self.spark.read.text(f"{self.path}/lists/{version}").collect()))
-
-    def _part(self, key: str) -> Column:
-        return F.pmod(F.xxhash64(key), F.lit(self.parts)).cast("int")
-
-    def read(self, name: str, before: int | None = None, parts: list[int] | None = None) -> DataFrame | None:
-        v = self.version(before)
-        where = {} if v is None else self._where(v).get(name, {})
-        paths = [f"{self.path}/{name}/v={b}/part={p}" for p, b in where.items() if parts is None or int(p) in parts]
-        return self.spark.read.parquet(*paths) if paths else None
-
-    def fold(self, batch: int, name: str, new: DataFrame, key: str, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> dict[str, int]:
-        """Merge ``new`` into its parts of the table; the parts that hold it, each with this batch's number."""
-        placed = store.written(new.withColumn("part", self._part(key)))
-        touched = sorted(r[0] for r in placed.select("part").distinct().collect())  # no more than there are parts
-        old = self.read(name, batch, touched)
-        rows = placed.drop("part") if old is None else merge(old, placed.drop("part"))
-        out = rows.withColumn("part", self._part(key))
-        out.repartition("part").write.mode("overwrite").partitionBy("part").parquet(f"{self.path}/{name}/v={batch}")
-        return {str(p): batch for p in touched}
-
-    def commit(self, batch: int, tables: dict[str, dict[str, int]]) -> None:
-        before = self.version(batch)
-        known = {} if before is None else self._where(before)
-        text = json.dumps({name: known.get(name, {}) | tables.get(name, {}) for name in {*known, *tables}})
-        at, fs = self._at(f"lists/_{batch}")
-        out = fs.create(at, True)
-        out.write(bytearray(text.encode()))
-        out.close()
-        to, _ = self._at(f"lists/{batch}")
-        fs.delete(to, False)
-        fs.rename(at, to)
-        self._expire(batch)
-
-    def _expire(self, batch: int) -> None:
-        lists = [v for v in self._lists() if v <= batch]
-        old, kept = lists[: -self.keep], lists[-self.keep :]
-        used = {(name, v) for k in kept for name, where in self._where(k).items() for v in where.values()}
-        for v in old:
-            for name in self._where(v):
-                at, fs = self._at(f"{name}/v={v}")
-                if (name, v) not in used:
-                    fs.delete(at, True)
-            at, fs = self._at(f"lists/{v}")
-            fs.delete(at, False)
-
-
-def fold_batch(target: GraphStore, hot: DataFrame, burn: DataFrame, prices: DataFrame, order: tuple[str, ...]) -> Callable[[DataFrame, int], None]:
-    """What one batch does: admit, price, fold, and merge with what is stored."""
-
-    def run(batch: DataFrame, number: int) -> None:
-        admitted = store.written(graph.admit(batch, hot, burn))
-        logs, vertices = graph.fold_logs(graph.price(admitted, prices), order), graph.vertices_of(admitted, hot)
-        target.commit(number, {"logs": target.fold(number, "logs", logs, "f", store.merge_logs), "vertices": target.fold(number, "vertices", vertices, "address", store.merge_vertices)})
-
-    return run
-
-
-def run_available(transfers: DataFrame, fold: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
-    """Fold what has arrived since the checkpoint, then stop."""
-    query = transfers.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
-    return query

@@ -1,5 +1,6 @@
 """Cases worked out by hand."""
 
+import hashlib
 import random
 
 import pytest
@@ -147,8 +148,20 @@ def test_names(spark):
     e = [(10, "NAMEREGISTERED", "n1", "a", "x"), (11, "NAMEREGISTERED", "n2", "b", "y"), (12, "ADDRESSCHANGED", "n1", "a", "addr1"), (13, "ADDRESSCHANGED", "n3", "c", "addr3")]
     got = names.merge_events(table(spark, e, "block_number long, event_type string, node string, name string, new_address string"))
     assert rows(got, "node", "kind", "new_address", "block_number") == [("n1", "registered", "addr1", 12), ("n2", "registered", None, 11), ("n3", "leftover", "addr3", 13)]
-    assert names.namehash("") == "0x" + "0" * 64
-    assert names.namehash("eth") == "0x93cdeb708b7545dc668eb9280176169d1c33cfd8ed6f04690a0bcc88a93fc4ae"
+
+
+def test_namehash(spark):
+    """Published hashes; nulls, empty names, empty labels and repeats; and the permutation against the standard library."""
+    root, eth = "0x" + "0" * 64, "0x93cdeb708b7545dc668eb9280176169d1c33cfd8ed6f04690a0bcc88a93fc4ae"
+    foo = "0xde9b09fd7c5f901e23a3f19fecc54828e9c848539801e86591bd9801b019f84f"
+    assert names.namehash([None, "", "eth", "foo.eth", "eth"]) == [root, root, eth, foo, eth]
+    assert names.namehash([]) == [] and len(set(names.namehash(["a.eth", ".eth", "a..eth", "eth."]))) == 4
+    assert names.keccak256([b""])[0].hex() == "c5d2460186f7233c927e7db2dcc703c0e500b653ca82273b7bfad8045d85a470"
+    rng = random.Random(3)
+    texts = [rng.randbytes(n) for n in (*range(0, 600, 7), 135, 136, 137, 271, 272, 273, 5000)]
+    assert names.keccak256(texts, pad=6) == [hashlib.sha3_256(t).digest() for t in texts]
+    got = names.with_namehash(table(spark, [("foo.eth",), (None,), ("eth",), ("foo.eth",)], "name string"))
+    assert rows(got, "name", "namehash") == [("foo.eth", foo), (None, root), ("eth", eth), ("foo.eth", foo)]
 
 
 def test_prune_vertices(spark):

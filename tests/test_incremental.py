@@ -1,5 +1,6 @@
 """Batches and streams give the same graph; pruning twice changes nothing; the whole pipeline runs."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.fixtures import LAST, Relations
@@ -7,7 +8,7 @@ from ledgerlens.operators import graph
 from ledgerlens.operators.boosting import Growth
 from ledgerlens.plans import pipeline
 from ledgerlens.sources.store import written
-from ledgerlens.streaming import windows
+from ledgerlens.streaming import state, windows
 
 DIR = "/root/testdata/sf0.001"
 
@@ -16,38 +17,95 @@ def rows(df):
     return sorted(map(repr, df.collect()))
 
 
-def test_stream_equals_batch(spark, tmp_path):
-    r = Relations(spark, DIR)
-    transfers, source = r.transfers(), str(tmp_path / "in")
-    target = windows.GraphStore(spark, str(tmp_path / "store"))
-    fold = windows.fold_batch(target, written(r.hot()), written(r.burn()), written(r.prices()), LAST)
-    for k, rule in enumerate(("ts < 852076800", "ts >= 852076800 AND leg = 0", "ts >= 852076800 AND leg = 1")):
-        transfers.where(rule).write.mode("append").parquet(source)
-        windows.run_available(spark.readStream.schema(transfers.schema).parquet(source), fold, str(tmp_path / "checkpoint"))
-        assert target.version() == k
-    admitted = graph.admit(transfers, r.hot(), r.burn())
-    logs = graph.fold_logs(graph.price(admitted, r.prices()), LAST)
-    assert rows(target.read("logs").select("f", "t", "tok", "ts", "amt", "usd")) == rows(logs)
-    assert rows(target.read("vertices").select("address", "last_transfer_at", "hot_wallet", "deposit_wallet")) == rows(graph.vertices_of(admitted, r.hot()))
-
-
-def test_batch_runs_twice(spark, tmp_path):
-    """A batch that runs again after its list was written, or in the middle of its files, gives the same tables."""
+VERTEX = ["address", "last_transfer_at", "hot_wallet", "deposit_wallet"]
+EVER = "20000 days"
+
+
+@pytest.fixture(scope="module")
+def given(spark):
     r = Relations(spark, DIR)
-    transfers = written(r.transfers())
-    target = windows.GraphStore(spark, str(tmp_path / "store"), parts=4)
-    fold = windows.fold_batch(target, written(r.hot()), written(r.burn()), written(r.prices()), LAST)
-    batches = [transfers.where(x) for x in ("ts < 852076800", "ts >= 852076800 AND leg = 0", "ts >= 852076800 AND leg = 1 AND f < 'c2'")]
-    fold(batches[0], 0)
-    for k in (1, 2):
-        fold(batches[k], k)
-        once = {name: rows(target.read(name)) for name in ("logs", "vertices")}
-        fold(batches[k], k)
-        assert {name: rows(target.read(name)) for name in ("logs", "vertices")} == once
-    admitted = graph.admit(batches[0].union(batches[1]).union(batches[2]), r.hot(), r.burn())
-    logs = graph.fold_logs(graph.price(admitted, r.prices()), LAST)
-    assert rows(target.read("logs").select("f", "t", "tok", "ts", "amt", "usd")) == rows(logs)
-    assert target._lists() == [1, 2] and target.version(2) == 1
+    return [written(x) for x in (r.transfers(), r.hot(), r.burn(), r.prices())]
+
+
+def arrive(spark, transfers, source):
+    transfers.write.mode("append").parquet(source)
+    return spark.readStream.schema(transfers.schema).parquet(source)
+
+
+def test_stream_equals_batch(spark, tmp_path, given):
+    """Three runs, the oldest transfers last, give what one batch gives; a run without input changes nothing."""
+    transfers, hot, burn, prices = given
+    source, v, e = (str(tmp_path / x) for x in ("in", "vertices", "entries"))
+    for rule in ("ts >= 852076800 AND leg = 1", "ts >= 852076800 AND leg = 0", "ts < 852076800", "false"):
+        stream = arrive(spark, transfers.where(rule), source)
+        state.run_available(state.vertices(stream, hot, burn, EVER), v)
+        state.run_available(state.entries(stream, hot, burn, prices, LAST, EVER), e)
+    admitted = graph.admit(transfers, hot, burn)
+    assert rows(state.table(spark, v, "vertex").select(*VERTEX)) == rows(graph.vertices_of(admitted, hot))
+    assert rows(state.table(spark, e, "entry")) == rows(graph.fold_logs(graph.price(admitted, prices), LAST))
+
+
+def test_stream_cut_off(spark, tmp_path, given):
+    """A batch whose sink fails runs again from the state before it, which stays readable by its number."""
+    transfers, hot, burn, _ = given
+    source, checkpoint, seen = str(tmp_path / "in"), str(tmp_path / "checkpoint"), []
+    state.run_available(state.vertices(arrive(spark, transfers.where("leg = 0"), source), hot, burn, EVER), checkpoint)
+    done = state.last_batch(spark, checkpoint)
+    first = rows(state.table(spark, checkpoint, "vertex").select(*VERTEX))
+    assert first == rows(graph.vertices_of(graph.admit(transfers.where("leg = 0"), hot, burn), hot))
+
+    def fail(batch, number):
+        batch.count()  # the batch's work is done, and lost
+        raise ValueError("lost")
+
+    stream = arrive(spark, transfers.where("leg = 1"), source)
+    with pytest.raises(Exception, match="lost"):
+        state.run_available(state.vertices(stream, hot, burn, EVER), checkpoint, fail)
+    assert rows(state.table(spark, checkpoint, "vertex", done).select(*VERTEX)) == first
+
+    def keep(batch, number):
+        seen.append((number, batch.count()))
+
+    state.run_available(state.vertices(stream, hot, burn, EVER), checkpoint, keep)
+    admitted = graph.admit(transfers, hot, burn)
+    assert rows(state.table(spark, checkpoint, "vertex").select(*VERTEX)) == rows(graph.vertices_of(admitted, hot))
+    changed = graph.vertices_of(graph.admit(transfers.where("leg = 1"), hot, burn), hot).count()
+    assert sum(n for _, n in seen) == changed and min(k for k, _ in seen) > done
+
+
+def tiny(spark, data):
+    return spark.createDataFrame([(f, t, "T", ts, amt, leg) for f, t, ts, amt, leg in data], "f string, t string, tok string, ts long, amt double, leg int")
+
+
+def test_stream_expires(spark, tmp_path):
+    """What is older than ``keep`` before the watermark leaves, what is on the border stays, and late rows stay out."""
+    hot, burn = (spark.createDataFrame([(x,)], "address string") for x in ("H", "X"))
+    prices = spark.createDataFrame([("T", 0, 2.0)], "tok string, day long, px double")
+    source, v, e, gone = str(tmp_path / "in"), str(tmp_path / "v"), str(tmp_path / "e"), []
+    batches = [
+        [("a", "b", 100, 1.0, 0), ("a", "b", 100, 9.0, None), ("b", "H", 200, 1.0, 0), ("X", "a", 100, 1.0, 0)],
+        [("c", "H", 1000, 5.0, 1), ("c", "H", 1000, 4.0, 2), (None, "c", 1000, 1.0, 0)],  # to 900: 100 + 700 is before it, 200 + 700 is not
+        [("late", "H", 899, 1.0, 0), ("d", None, 950, 1.0, 0)],
+        [("b", "H", 1001, 7.0, 0)],  # to 901: the entry of 200 leaves, the vertex b has a newer transfer
+    ]
+    for data in batches:
+        stream = arrive(spark, tiny(spark, data), source)
+        state.run_available(state.vertices(stream, hot, burn, "100 seconds", 700), v, lambda b, _: gone.extend(r.address for r in b.where("gone").collect()))
+        state.run_available(state.entries(stream, hot, burn, prices, ("leg",), "100 seconds", 700), e)
+        if data is batches[2]:
+            assert {(r.f, r.t, r.ts) for r in state.table(spark, e, "entry").collect()} == {("b", "H", 200), ("c", "H", 1000), (None, "c", 1000), ("d", None, 950)}
+    assert {tuple(r) for r in state.table(spark, e, "entry").collect()} == {("b", "H", "T", 1001, 7.0, 14.0), ("c", "H", "T", 1000, 4.0, 8.0), (None, "c", "T", 1000, 1.0, 2.0), ("d", None, "T", 950, 1.0, 2.0)}
+    held = {r.address: (r.last_transfer_at, r.hot_wallet, r.deposit_wallet) for r in state.table(spark, v, "vertex").collect()}
+    assert held == {"b": (1001, False, True), "H": (1001, True, False), "c": (1000, False, True), None: (1000, False, False), "d": (950, False, False)}
+    assert gone == ["a"]
+
+
+def test_busy_address_shuffles_few_rows(spark):
+    """Rows of one address are put together before the shuffle."""
+    hot = spark.createDataFrame([("H",)], "address string")
+    many = spark.range(50000, numPartitions=2).select(F.lit("a").alias("f"), F.lit("H").alias("t"), F.col("id").alias("ts"))
+    got = state._combined(graph.ends_of(many, hot))
+    assert got.count() < 100 and got.groupBy("address").agg(F.max("ts")).count() == 2
 
 
 def test_once_per_key(spark, tmp_path):
