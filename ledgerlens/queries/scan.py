@@ -160,11 +160,11 @@ def parallel_scan_limit(r: Relations) -> DataFrame:
     return scans.page(r.t("events").select("event_id", "user_id"), "event_id", 0, 100)
 
 
-@query("SELECT event_id, user_id FROM events, (SELECT min(event_id) AS lo, max(event_id) AS hi FROM events) WHERE event_id > lo + 10 AND event_id < least(hi, lo + 60) ORDER BY event_id LIMIT 100")
+@query("SELECT event_id, user_id FROM events, (SELECT min(event_id) AS lo, max(event_id) AS hi FROM events) WHERE event_id > lo + 10 AND event_id < hi ORDER BY event_id")
 def resume_slice(r: Relations) -> DataFrame:
-    """What a slice has left after the key at which a run stopped; here its end comes before the limit."""
+    """All that a slice has left after the key at which a run stopped."""
     low, high = scans.ends(r.t("events"), "event_id")
-    return scans.slice_after(r.t("events").select("event_id", "user_id"), "event_id", low + 10, min(high, low + 60), 100)
+    return scans.slice_after(r.t("events").select("event_id", "user_id"), "event_id", low + 10, high)
 
 
 @query("SELECT DISTINCT center AS sg, f, t FROM sub")

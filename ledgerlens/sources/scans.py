@@ -58,9 +58,10 @@ def page(df: DataFrame, key: str, offset: int, limit: int) -> DataFrame:
     return df.orderBy(key).offset(offset).limit(limit)
 
 
-def slice_after(df: DataFrame, key: str, start, end, limit: int) -> DataFrame:
-    """The first rows strictly between two keys: where a run resumes."""
-    return df.where((F.col(key) > start) & (F.col(key) < end)).orderBy(key).limit(limit)
+def slice_after(df: DataFrame, key: str, start, end, limit: int | None = None) -> DataFrame:
+    """The rows strictly between two keys, or the first ``limit`` of them: where a run resumes."""
+    left = df.where((F.col(key) > start) & (F.col(key) < end)).orderBy(key)
+    return left if limit is None else left.limit(limit)
 
 
 def ends(df: DataFrame, column: str) -> tuple[int, int]:
