@@ -248,13 +248,12 @@ def merge_vertices(r: Relations) -> DataFrame:
     return store.merge_vertices(old, new)
 
 
-@query(f"""SELECT f, t, tok, ts, amt, CASE WHEN ts < {BORDER} THEN -1.0 ELSE usd END AS usd FROM logs WHERE ts < {BORDER} + 86400 * 90""")
+@query(f"""SELECT f, t, tok, ts, amt, CASE WHEN ts < {BORDER} THEN -1.0 ELSE usd END AS usd FROM logs""")
 def merge_edges(r: Relations) -> DataFrame:
-    """Entries of 90 days upon older ones, on some of which they fall: old entries that no new one has stay, and equal keys take the new values."""
-    priced = graph.price(graph.admit(r.transfers(), r.hot(), r.burn()), r.prices())
-    folded = written(graph.fold_logs(priced, LAST))
+    """All entries since the border upon older ones, on some of which they fall: old entries that no new one has stay, and equal keys take the new values."""
+    folded = written(logs(r))
     old = folded.where(F.col("ts") < BORDER + 86400 * 45).withColumn("usd", F.lit(-1.0))
-    return store.merge_logs(old, folded.where(F.col("ts").between(BORDER, BORDER + 86400 * 90 - 1)))
+    return store.merge_logs(old, folded.where(F.col("ts") >= BORDER))
 
 
 @query("SELECT CAST(json_extract_string(props, '$.k') AS VARCHAR) AS k, count(*) AS n FROM events GROUP BY 1")

@@ -14,3 +14,8 @@ def test_resume_slice_whole(spark):
     got = QUERIES["resume_slice"](spark, DIR)
     assert got.count() == left > 100
     assert [x[0] for x in got.collect()] == sorted(x[0] for x in got.collect())
+
+
+def test_merge_edges_whole(spark):
+    every = QUERIES["edge_logs"](spark, DIR).agg(F.count("*"), F.max("ts")).first()
+    assert QUERIES["merge_edges"](spark, DIR).agg(F.count("*"), F.max("ts")).first() == every
