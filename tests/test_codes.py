@@ -23,3 +23,23 @@ def test_codes_of_nothing(spark):
     assert named(rows).first()[0] is None
     with pytest.raises(Exception, match="no code"):
         spark.range(1).select(code("p", F.lit(10**12))).collect()
+
+
+def test_components_shrink(spark):
+    """What a round reads shrinks, also along a path in the order of its addresses."""
+    from ledgerlens.operators import graph
+    from ledgerlens.sources.store import written
+
+    sizes = []
+
+    def cut(df):
+        out = written(df)
+        if {"a", "o"} <= set(out.columns):
+            sizes.append(out.count())
+        return out
+
+    path = spark.range(3000).select(F.col("id").alias("f"), (F.col("id") + 1).alias("t"))
+    apart = spark.createDataFrame([(9001, 9000), (9005, 9005), (9000, 9003)], "f long, t long")
+    got = {x.address: x.component for x in graph.components(path.union(apart), cut).collect()}
+    assert got == {i: 0 for i in range(3001)} | {9000: 9000, 9001: 9000, 9003: 9000, 9005: 9005}
+    assert sum(sizes) < 3 * sizes[0] and len(sizes) < 25
