@@ -11,8 +11,9 @@ Equal sets are one node, a hash of the set. In each signature's bucket nodes fir
 still in different components meet each other after that, so a group of copies costs links in proportion to its size.
 Where many such nodes share a bucket, as texts of one frame do, they meet only if the sketches agree too: the sketch is
 cut into groups of four parts, so many that linked sets differ in at most one part of some group, and nodes are dealt
-out by each group without one of its parts. That loses no link. Sets of more than about 300 shingles may differ in too
-many bits for that; they meet in their bucket, where the agreeing segment already holds many shingles.
+out by each group without one of its parts, once for all of their buckets. That loses no link. Sets of more than about
+300 shingles may differ in too many bits for that; they meet in their bucket, where the agreeing segment already holds
+many shingles.
 """
 
 from __future__ import annotations
@@ -199,17 +200,20 @@ def _may_link(join: Join, p: str, q: str) -> Column:
 CROWD = 64
 
 
-def _parts(join: Join) -> Column:
-    """Keys of a node in a crowded bucket whose largest set has ``most`` shingles: each group of the sketch without one part."""
-    apart = F.floor(F.col("most") * (2 * (join.den - join.num)) / (join.den + join.num))
+def _groups(join: Join, most: Column) -> Column:
+    """Groups that the sketch is cut into for pairs whose larger set has ``most`` shingles; 0 where it has too few parts."""
+    apart = F.floor(most * (2 * (join.den - join.num)) / (join.den + join.num))
     groups = F.when(apart > 31, 0)  # 2 * groups > apart, so some group has at most one part that differs
     for g in (1, 2, 4, 8):
         groups = groups.when(apart < 2 * g, g)
-    groups = groups.otherwise(16)
+    return groups.otherwise(16)
+
+
+def _parts(groups: int) -> list[Column]:
+    """Keys of a node for so many groups of its sketch: each group without one of its four parts."""
     bits = F.concat(*(F.lpad(F.hex(f"k{i}"), 16, "0") for i in range(SKETCH)))
-    size = (F.lit(4 * SKETCH) / groups).cast("int")  # hex digits of a part
-    key = lambda i: F.xxhash64("sig", i, F.overlay(F.substr(bits, F.floor(i / 4).cast("int") * 4 * size + 1, 4 * size), F.lit("-"), F.pmod(i, F.lit(4)) * size + 1, size))
-    return F.when(groups == 0, F.array("sig")).otherwise(F.transform(F.sequence(F.lit(0), 4 * groups - 1), key))
+    size = 16 * SKETCH // (4 * groups)  # hex digits of a part
+    return [F.xxhash64(F.lit(groups), F.lit(i), F.overlay(F.substring(bits, i // 4 * 4 * size + 1, 4 * size), F.lit("-"), F.lit(i % 4 * size + 1), F.lit(size))) for i in range(4 * groups)]
 
 
 def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", join: Join = Join()) -> DataFrame:
@@ -261,15 +265,26 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", join
         """Pairs that share a bucket, may link and are in different components so far."""
         placed = bucket.select("sig", "node", "own", "n").join(labels, "node", "left").select("sig", "node", "own", "n", F.coalesce("label", "node").alias("label"))
         placed = materialize(placed)
-        mixed = materialize(placed.groupBy("sig").agg(F.min("label").alias("l"), F.max("label").alias("h"), F.count("*").alias("nodes"), F.max("n").alias("most")).where("l <> h").select("sig", "nodes", "most"))
-        side = placed.join(mixed, "sig").drop("n").join(marked, "node")
-        side = side.withColumn("keys", F.when(F.col("nodes") < CROWD, F.array("sig")).otherwise(_parts(join)))
-        side = materialize(side.select(F.explode("keys").alias("key"), "keys", "sig", "node", "own", "label", "n", *marks))
-        p, q = side.alias("p"), side.where("own").alias("q")
-        fits = (F.col("p.key") == F.col("q.key")) & (F.col("p.sig") == F.col("q.sig")) & (F.col("p.label") != F.col("q.label")) & _may_link(join, "p", "q")
+        mixed = materialize(placed.groupBy("sig").agg(F.min("label").alias("l"), F.max("label").alias("h"), F.count("*").alias("nodes")).where("l <> h").select("sig", "nodes"))
+        # a pair has the groups of its larger set, which lie between those of a node and those of its largest partner
+        own, beyond = _groups(join, F.col("n")), _groups(join, F.floor(F.col("n") * join.den / join.num))
+        met = placed.join(mixed, "sig").select("sig", "node", "own", "label", (F.col("nodes") >= CROWD).alias("crowd"), own.alias("g"), beyond.alias("h"))
+        few = met.where("NOT crowd OR h = 0").select(F.col("sig").alias("key"), F.lit(None).cast("array<bigint>").alias("keys"), "node", "own", "label")
+        # in crowds a node has the same keys in all of its buckets
+        many = met.where("crowd AND g > 0").select("node", "label", "g", "h").distinct().join(marked, "node")
+        at = lambda k: (F.col("g") <= k) & ((F.col("h") >= k) | (F.col("h") == 0))
+        many = many.withColumn("keys", F.concat(*(F.when(at(k), F.array(*_parts(k))).otherwise(F.array().cast("array<bigint>")) for k in (1, 2, 4, 8, 16))))
+        many = many.select(F.explode("keys").alias("key"), "keys", "node", F.lit(True).alias("own"), "label")
+
+        def meet(side: DataFrame, once: Column) -> DataFrame:
+            side = materialize(side.join(marked, "node"))
+            p, q = side.alias("p"), side.where("own").alias("q")
+            fits = (F.col("p.key") == F.col("q.key")) & (F.col("p.label") != F.col("q.label")) & _may_link(join, "p", "q") & once
+            return p.join(q, fits).select(F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b"))
+
         # a pair counts at the first key that its nodes share
-        fits = fits & ((F.size("p.keys") == 1) | (F.get(F.array_intersect("p.keys", "q.keys"), 0) == F.col("p.key")))
-        return p.join(q, fits).select(F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b")).distinct()
+        once = (F.col("p.node") < F.col("q.node")) & (F.get(F.array_intersect("p.keys", "q.keys"), 0) == F.col("p.key"))
+        return meet(few.drop("keys"), F.lit(True)).union(meet(many, once)).distinct()
 
     across = materialize(apart(components(star)))
     asked = star.union(across).distinct()

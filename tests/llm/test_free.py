@@ -506,3 +506,38 @@ def test_one_deletion_neighbours():
         band = int(np.searchsorted(lows, len(small), "right")) - 1
         if plans[band][0]:
             assert set(ngram_jaccard.signatures(small, band, plans[band])) & set(ngram_jaccard.signatures(large, band, plans[band]))
+
+
+def test_jaccard_crowd_rows(spark, monkeypatch):
+    """A node in several crowded buckets has its keys once, and its links are kept."""
+    rng = np.random.default_rng(7)
+    base = [f"w{i}" for i in range(60)]
+    texts = []
+    for i in range(300):  # near copies, most of which link with few others only
+        words = list(base)
+        for at in rng.choice(60, 2 + i % 3, replace=False):
+            words[at] = f"x{i}_{at}"
+        texts.append((i, " ".join(words)))
+    sets = [set(map(int, ngram_jaccard.shingles(t))) for _, t in texts]
+    made, real = [], ngram_jaccard.materialize
+
+    def seen(df):
+        out = real(df)
+        if "keys" in out.columns:
+            made.append((out.count(), out.select("node").distinct().count()))
+        return out
+
+    monkeypatch.setattr(ngram_jaccard, "materialize", seen)
+    got = {r["doc_id"]: r["component_id"] for r in ngram_jaccard.linked(docs(spark, texts)).collect()}
+    root = list(range(300))
+
+    def find(i):
+        return i if root[i] == i else find(root[i])
+
+    for i in range(300):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 90 * len(sets[i] | sets[j]):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    assert got == {i: find(i) for i in range(300)}
+    assert made and all(rows <= 48 * nodes for rows, nodes in made)
