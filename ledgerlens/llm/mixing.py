@@ -138,8 +138,8 @@ def rate(pull: list[float], most: float = math.inf) -> Column:
     return F.least(F.greatest(F.lit(0.0), _unprojected(pull)), F.lit(most))
 
 
-def _unprojected(pull: list[float]) -> Column:
-    return sum((F.col(f"p_{d}") * float(x) for d, x in zip(DOMAINS, pull, strict=True)), F.lit(1.0))
+def _unprojected(pull: list[float] | list[Column]) -> Column:
+    return sum((F.col(f"p_{d}") * x for d, x in zip(DOMAINS, pull, strict=True)), F.lit(1.0))
 
 
 #: Lengths of which the best is taken.
@@ -173,18 +173,23 @@ def fit_rates(posts: DataFrame, targets: dict[str, float] = TARGETS, keep: float
     k = len(DOMAINS)
     p = [F.col(f"p_{d}") for d in DOMAINS]
 
-    def sums(pull: np.ndarray, name: str) -> list[Column]:
+    def sums() -> list[Column]:
         # expected totals, the metric of the rows that move freely, and the integral of the rates
-        n, y = F.col("n_tokens"), F.col(f"y{name}")
+        n, y = F.col("n_tokens"), F.col("y")
         free, held = (y > 0) & (y <= most), F.least(F.greatest(F.lit(0.0), y), F.lit(most))
-        own = [F.sum(a * n * held).alias(f"e{name}_{i}") for i, a in enumerate(p)]
-        own += [F.sum(F.when(free, p[i] * p[j] * n).otherwise(0.0)).alias(f"g{name}_{i}_{j}") for i in range(k) for j in range(i, k)]
-        return [*own, F.sum(n * held * (y - held / 2)).alias(f"o{name}")]
+        own = [F.sum(a * n * held).alias(f"e_{i}") for i, a in enumerate(p)]
+        own += [F.sum(F.when(free, p[i] * p[j] * n).otherwise(0.0)).alias(f"g_{i}_{j}") for i in range(k) for j in range(i, k)]
+        return [*own, F.sum(n * held * (y - held / 2)).alias("o")]
 
     def at(pulls: list[np.ndarray]) -> list[tuple[float, np.ndarray, np.ndarray]]:
-        held = posts.select("n_tokens", *p, *(_unprojected(x.tolist()).alias(f"y{i}") for i, x in enumerate(pulls)))
-        row = held.agg(*(c for i, x in enumerate(pulls) for c in sums(x, str(i)))).first()
-        return [(row[f"o{i}"], np.array([row[f"e{i}_{a}"] for a in range(k)]), np.array([[row[f"g{i}_{min(a, b)}_{max(a, b)}"] for b in range(k)] for a in range(k)])) for i in range(len(pulls))]
+        # pulls come as rows of data: as literals they would make a plan and code of its own, many times as large, of every pass
+        names = [f"x{a}" for a in range(k)]
+        steps = posts.sparkSession.createDataFrame([(i, *map(float, x)) for i, x in enumerate(pulls)], ", ".join(["i int", *(f"{n} double" for n in names)]))
+        met = posts.select("n_tokens", *p).crossJoin(F.broadcast(steps))  # a row for each pull, no more than LENGTHS
+        found = {r["i"]: r for r in met.withColumn("y", _unprojected([F.col(n) for n in names])).groupBy("i").agg(*sums()).collect()}
+        nothing = (None, np.array([None] * k), None)
+        sides = lambda row: (row["o"], np.array([row[f"e_{a}"] for a in range(k)]), np.array([[row[f"g_{min(a, b)}_{max(a, b)}"] for b in range(k)] for a in range(k)]))
+        return [sides(found[i]) if i in found else nothing for i in range(len(pulls))]
 
     pull = np.zeros(k)
     whole, totals, metric = at([pull])[0]
