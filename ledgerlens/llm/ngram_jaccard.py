@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, materialize, text_of
+from .common import SPACE, let, materialize, text_of
 
 SKETCH = 8  # 64-bit words of parity bits
 _K = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
@@ -209,11 +209,20 @@ def _groups(join: Join, most: Column) -> Column:
     return groups.otherwise(16)
 
 
-def _parts(groups: int) -> list[Column]:
-    """Keys of a node for so many groups of its sketch: each group without one of its four parts."""
+def _keys(least: Column, most: Column) -> Column:
+    """Keys of a node for each number of groups from ``least`` to ``most`` (no bound where that is 0): each group without one of its four parts.
+
+    One small function of the number and the part: written out, the 124 keys are more code than a method may hold.
+    """
     bits = F.concat(*(F.lpad(F.hex(f"k{i}"), 16, "0") for i in range(SKETCH)))
-    size = 16 * SKETCH // (4 * groups)  # hex digits of a part
-    return [F.xxhash64(F.lit(groups), F.lit(i), F.overlay(F.substring(bits, i // 4 * 4 * size + 1, 4 * size), F.lit("-"), F.lit(i % 4 * size + 1), F.lit(size))) for i in range(4 * groups)]
+
+    def of(bits: Column, groups: Column) -> Column:
+        size = F.call_function("div", F.lit(4 * SKETCH), groups).cast("int")  # hex digits of a part
+        own = lambda i: F.substring(bits, F.call_function("div", i, F.lit(4)).cast("int") * 4 * size + 1, 4 * size)
+        return F.transform(F.sequence(F.lit(0), groups * 4 - 1), lambda i: F.xxhash64(groups, i, F.overlay(own(i), F.lit("-"), i % 4 * size + 1, size)))
+
+    fit = F.filter(F.array(*map(F.lit, (1, 2, 4, 8, 16))), lambda k: (least <= k) & ((most >= k) | (most == 0)))
+    return let(bits, lambda b: F.flatten(F.transform(fit, lambda k: of(b, k))))
 
 
 def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", join: Join = Join()) -> DataFrame:
@@ -272,8 +281,7 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", join
         few = met.where("NOT crowd OR h = 0").select(F.col("sig").alias("key"), F.lit(None).cast("array<bigint>").alias("keys"), "node", "own", "label")
         # in crowds a node has the same keys in all of its buckets
         many = met.where("crowd AND g > 0").select("node", "label", "g", "h").distinct().join(marked, "node")
-        at = lambda k: (F.col("g") <= k) & ((F.col("h") >= k) | (F.col("h") == 0))
-        many = many.withColumn("keys", F.concat(*(F.when(at(k), F.array(*_parts(k))).otherwise(F.array().cast("array<bigint>")) for k in (1, 2, 4, 8, 16))))
+        many = many.withColumn("keys", _keys(F.col("g"), F.col("h")))
         many = many.select(F.explode("keys").alias("key"), "keys", "node", F.lit(True).alias("own"), "label")
 
         def meet(side: DataFrame, once: Column) -> DataFrame:
