@@ -91,9 +91,13 @@ def label(rows: DataFrame, reuse: DataFrame) -> DataFrame:
 
 
 def long_features(rows: DataFrame, tokens: DataFrame, side: str = "From") -> DataFrame:
-    """``sg, x, subx, feature, usd``: token values of both members, with the prefix of their place in the pair and ``side``."""
-    each = rows.select("sg", "x", "subx", F.inline(F.array(*(F.struct(F.lit(f"{p}_{side}_").alias("prefix"), F.col(c).alias("address")) for p, c in PLACES))))
-    return each.join(tokens, ["sg", "address"]).select("sg", "x", "subx", F.concat("prefix", "token").alias("feature"), "usd")
+    """``sg, x, subx, feature, usd``: token values of both members, with the prefix of their place in the pair and ``side``.
+
+    Tokens that have a column ``side`` of their own go by that, so values of several sides meet the pairs in one join.
+    """
+    own = tokens if "side" in tokens.columns else tokens.withColumn("side", F.lit(side))
+    place = sides(rows, sg=(F.col("sg"), F.col("sg")), x=(F.col("x"), F.col("x")), subx=(F.col("subx"), F.col("subx")), place=tuple(F.lit(p) for p, _ in PLACES), address=tuple(F.col(c) for _, c in PLACES))
+    return place.join(own, ["sg", "address"]).select("sg", "x", "subx", F.concat("place", F.lit("_"), "side", F.lit("_"), "token").alias("feature"), "usd")
 
 
 def pair_table(
@@ -107,7 +111,8 @@ def pair_table(
     address of what stands for it in the columns.
     """
     keys = ["sg", "x", "subx"]
-    long = written(long_features(rows, sent, "From").unionByName(long_features(rows, received, "To")))
+    both = sent.withColumn("side", F.lit("From")).unionByName(received.withColumn("side", F.lit("To")))
+    long = written(long_features(rows, both))
     wide = rows
     for place, c in PLACES:
         hours = members.select("sg", F.col("address").alias(c), *(F.coalesce(F.get("time", h), F.lit(0)).cast("double").alias(f"{place}_Time_{h}") for h in range(24)))

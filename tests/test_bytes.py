@@ -71,3 +71,18 @@ def test_reached_odd(spark):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and not got.isEmpty()
     single = deposits.without_bots(deposits.single_deposit(deposits.users_by_edges(edges, deposits.qualified(v))), v, 2)
     assert sorted(map(tuple, deposits.sharing_users(dealt, bot_sent=2).collect())) == sorted(map(tuple, single.collect()))
+
+
+def test_sides_meet_pairs_once(spark):
+    """Token values of both sides join the pairs together, and give what each gives on its own."""
+    from ledgerlens.operators import features
+
+    rows = spark.createDataFrame([("s", "a", "b"), ("s", "a", "c")], "sg string, x string, subx string")
+    sent = spark.createDataFrame([("s", "a", "T", 1.0), ("s", "b", "U", 2.0)], "sg string, address string, token string, usd double")
+    received = spark.createDataFrame([("s", "c", "T", 3.0), ("s", "a", None, 4.0)], sent.schema)
+    both = features.long_features(rows, sent.withColumn("side", F.lit("From")).unionByName(received.withColumn("side", F.lit("To"))))
+    each = features.long_features(rows, sent, "From").unionByName(features.long_features(rows, received, "To"))
+    assert sorted(map(tuple, both.collect()), key=repr) == sorted(map(tuple, each.collect()), key=repr)
+    assert ("s", "a", "c", "SubX_To_T", 3.0) in set(map(tuple, both.collect()))
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("Join ")
+    assert plan(both) == 1 and plan(each) == 2
