@@ -278,21 +278,21 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", join
         # a pair has the groups of its larger set, which lie between those of a node and those of its largest partner
         own, beyond = _groups(join, F.col("n")), _groups(join, F.floor(F.col("n") * join.den / join.num))
         met = placed.join(mixed, "sig").select("sig", "node", "own", "label", (F.col("nodes") >= CROWD).alias("crowd"), own.alias("g"), beyond.alias("h"))
-        few = met.where("NOT crowd OR h = 0").select(F.col("sig").alias("key"), F.lit(None).cast("array<bigint>").alias("keys"), "node", "own", "label")
-        # in crowds a node has the same keys in all of its buckets
+        few = met.where("NOT crowd OR h = 0").select(F.col("sig").alias("key"), "node", "own", "label").join(marked, "node")
+        # in crowds a node has the same keys in all of its buckets; it meets its sketch once, before it comes once for each key
         many = met.where("crowd AND g > 0").select("node", "label", "g", "h").distinct().join(marked, "node")
         many = many.withColumn("keys", _keys(F.col("g"), F.col("h")))
-        many = many.select(F.explode("keys").alias("key"), "keys", "node", F.lit(True).alias("own"), "label")
+        many = many.select(F.explode("keys").alias("key"), "keys", "node", F.lit(True).alias("own"), "label", "n", *marks)
 
         def meet(side: DataFrame, once: Column) -> DataFrame:
-            side = materialize(side.join(marked, "node"))
+            side = materialize(side)
             p, q = side.alias("p"), side.where("own").alias("q")
             fits = (F.col("p.key") == F.col("q.key")) & (F.col("p.label") != F.col("q.label")) & _may_link(join, "p", "q") & once
             return p.join(q, fits).select(F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b"))
 
         # a pair counts at the first key that its nodes share
         once = (F.col("p.node") < F.col("q.node")) & (F.get(F.array_intersect("p.keys", "q.keys"), 0) == F.col("p.key"))
-        return meet(few.drop("keys"), F.lit(True)).union(meet(many, once)).distinct()
+        return meet(few, F.lit(True)).union(meet(many, once)).distinct()
 
     across = materialize(apart(components(star)))
     asked = star.union(across).distinct()

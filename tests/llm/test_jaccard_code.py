@@ -14,3 +14,20 @@ def test_keys_are_small_code(spark):
     said = spark.sparkContext._jvm.PythonSQLUtils.explainString(keys.select(F.explode("keys"))._jdf.queryExecution(), "codegen")
     sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(-?\d+)", said)]
     assert sizes and all(0 < x < 8000 for x in sizes) and said.count("\n") < 3000
+
+
+def test_sketches_are_joined_before_keys(spark, monkeypatch):
+    """A node of a crowd meets its sketch once, not once for each of its keys."""
+    monkeypatch.setattr(ngram_jaccard, "CROWD", 2)
+    write, plans = ngram_jaccard.materialize, []
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(df)
+
+    monkeypatch.setattr(ngram_jaccard, "materialize", seen)
+    frame = " ".join(f"f{i}" for i in range(60))
+    texts = [(i, f"{frame} {' '.join(f'w{i}x{k}' for k in range(12))}") for i in range(40)]
+    assert ngram_jaccard.linked(spark.createDataFrame(texts, "doc_id long, text string")).where("component_id <> doc_id").isEmpty()
+    keyed = [p for p in plans if "explode(keys" in p]
+    assert keyed and all(p.index("explode(keys") < p.index("Join") for p in keyed)
