@@ -11,8 +11,8 @@ from ..sources.store import shared_path, written
 from ..streaming import state
 from .registry import query
 
-#: Behind no transfer of these tables, and half a year behind the newest.
-EVER, HALF_YEAR = "20000 days", "180 days"
+#: Behind the newest transfer.
+HALF_YEAR = "180 days"
 
 
 def streamed(r: Relations, changes: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
@@ -28,13 +28,13 @@ def streamed(r: Relations, changes: Callable[[DataFrame], DataFrame], name: str)
 @query("SELECT address, last_transfer_at, hot_wallet, deposit_wallet FROM vert")
 def stream_vertices(r: Relations) -> DataFrame:
     hot, burn = written(r.hot()), written(r.burn())
-    return streamed(r, lambda t: state.vertices(t, hot, burn, EVER), "vertex")
+    return streamed(r, lambda t: state.vertices(t, hot, burn, None), "vertex")
 
 
 @query("SELECT f, t, tok, ts, amt, usd FROM logs")
 def stream_entries(r: Relations) -> DataFrame:
     hot, burn, prices = written(r.hot()), written(r.burn()), written(r.prices())
-    return streamed(r, lambda t: state.entries(t, hot, burn, prices, LAST, EVER), "entry")
+    return streamed(r, lambda t: state.entries(t, hot, burn, prices, LAST, None), "entry")
 
 
 @query("SELECT f, t, tok, ts, amt, usd FROM logs WHERE ts >= (SELECT max(ts) FROM adm) - 180 * 86400")
