@@ -47,3 +47,11 @@ def test_among_first_shuffles_counts_only(spark, k):
     assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
     want = sorted((hashlib.md5(f"42a{i}".encode()).hexdigest(), f"a{i}") for i in range(300))[:k]
     assert sorted(r.x for r in got.collect()) == sorted(x for _, x in want)
+
+
+def test_labels_go_with_the_pairs(spark):
+    """Pairs keep their label through the join with token values, so they need no second one."""
+    pairs = spark.createDataFrame([("g", "a", "b", True), ("g", "a", "c", False)], "sg string, x string, subx string, label boolean")
+    tokens = spark.createDataFrame([("g", "b", "T", 2.0), ("g", "c", "T", 3.0)], "sg string, address string, token string, usd double")
+    got = features.long_features(pairs, tokens, keep=("label",))
+    assert {tuple(r) for r in got.collect()} == {("g", "a", "b", "SubX_From_T", 2.0, True), ("g", "a", "c", "SubX_From_T", 3.0, False)}
